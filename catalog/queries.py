@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -13,6 +14,8 @@ from ledgerloom.functions import dates, labels, text
 from ledgerloom.operators import merge, scaling
 from ledgerloom.operators.keys import fill_keys
 from ledgerloom.plans import products, profile, quality, scoring, staging, warehouse
+from ledgerloom.session import shared_folder
+from ledgerloom.sources.tables import STAGING, WAREHOUSE, TableStore
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +23,11 @@ Query = Callable[[SparkSession, str], DataFrame]
 # --- building blocks -------------------------------------------------------------------------------------
 
 
+def new_store(spark: SparkSession) -> TableStore:
+    """Tables of one query that runs several loads."""
+    return TableStore(spark, f"{shared_folder(spark)}/ledgerloom-{uuid.uuid4().hex}")
+
+
 def keyed_customers(spark: SparkSession, folder: str) -> DataFrame:
     """Customer dimension after a first load."""
     dim = warehouse.dim_customer(inputs.customers(spark, folder), AS_OF)
@@ -30,7 +38,7 @@ def keyed_customers(spark: SparkSession, folder: str) -> DataFrame:
 
 def base_fact(spark: SparkSession, folder: str) -> DataFrame:
     """Fact columns the profile and the trends read."""
-    rows = inputs.transactions(spark, folder)
+    rows = inputs.transactions(spark, folder, places=False)
     return rows.withColumn("transaction_date", F.to_date("timestamp")).withColumnRenamed("hour", "transaction_hour")
 
 
@@ -147,7 +155,8 @@ def surrogate_keys(spark: SparkSession, folder: str) -> DataFrame:
     everyone = warehouse.dim_customer(inputs.customers(spark, folder), AS_OF)
     early = everyone.filter(F.col("state").isin("AFRICA", "AMERICA"))
     nothing = schemas.empty(spark, schemas.DIM_CUSTOMER)
-    stored = warehouse.merge_dimension(nothing, early, "customer_key")
+    first = warehouse.merge_dimension(nothing, early, "customer_key")
+    stored = new_store(spark).replace(WAREHOUSE, "dim_customer", first)
     return warehouse.merge_dimension(stored, everyone, "customer_key").select("customer_id", "customer_key")
 
 
@@ -156,16 +165,20 @@ def fact_enriched(spark: SparkSession, folder: str) -> DataFrame:
     return comparable(fact)
 
 
-def _stored_first_load(spark: SparkSession, folder: str, keys: DataFrame) -> DataFrame:
+def _two_loads(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Fact rows stored by the first load, and those the second one adds."""
+    store = new_store(spark)
+    keys = store.replace(WAREHOUSE, "dim_customer", keyed_customers(spark, folder))
     nothing = schemas.empty(spark, schemas.FACT_TRANSACTIONS)
-    return warehouse.new_fact_rows(inputs.first_load(spark, folder), nothing, keys)
+    first = store.replace(STAGING, "transactions", inputs.first_load(spark, folder))
+    stored = store.replace(WAREHOUSE, "fact_transactions", warehouse.new_fact_rows(first, nothing, keys))
+    second = store.replace(STAGING, "transactions", inputs.second_load(spark, folder))
+    return stored, warehouse.new_fact_rows(second, stored, keys)
 
 
 def fact_incremental(spark: SparkSession, folder: str) -> DataFrame:
     """Two loads, the second overlapping the first; the running columns continue over both."""
-    keys = keyed_customers(spark, folder)
-    stored = _stored_first_load(spark, folder, keys)
-    added = warehouse.new_fact_rows(inputs.second_load(spark, folder), stored, keys)
+    stored, added = _two_loads(spark, folder)
     fact = warehouse.with_running_columns(stored.unionByName(added))
     return comparable(
         fact.select(
@@ -177,9 +190,7 @@ def fact_incremental(spark: SparkSession, folder: str) -> DataFrame:
 
 def fact_new_rows(spark: SparkSession, folder: str) -> DataFrame:
     """Rows the second load adds, with the keys that follow those of the first load."""
-    keys = keyed_customers(spark, folder)
-    stored = _stored_first_load(spark, folder, keys)
-    added = warehouse.new_fact_rows(inputs.second_load(spark, folder), stored, keys)
+    _, added = _two_loads(spark, folder)
     return comparable(added.select("transaction_key", "transaction_id", "customer_id", "amount"))
 
 

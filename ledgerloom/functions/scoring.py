@@ -24,7 +24,8 @@ DEBT_FALLBACK = 0.2
 INACTIVITY_FALLBACK = 0.0
 VOLATILITY_FALLBACK = 100.0
 
-# Upper ends of the risk buckets and their names.
+# Upper ends of the risk buckets and their names. The last one includes its end, and a customer
+# without a score falls into it.
 RISK_BUCKETS = [(20, "Very Low"), (40, "Low"), (60, "Medium"), (80, "High"), (100, "Very High")]
 UNGRADED_CATEGORY = "Very High"
 MODEL_VERSION = "Spark ML Pipeline v1.0"
@@ -115,8 +116,7 @@ def risk_bucket(score: Column) -> Column:
 
 def risk_category(score: Column) -> Column:
     """Name of the bucket; a customer without a score is treated as the riskiest."""
-    numbered = [(number + 0.5, name) for number, (_, name) in enumerate(RISK_BUCKETS)]
-    return bands.below(risk_bucket(score), numbered, UNGRADED_CATEGORY)
+    return bands.below(score, RISK_BUCKETS[:-1], UNGRADED_CATEGORY)
 
 
 def risk_factors() -> Column:

@@ -9,12 +9,12 @@ CUSTOMER_ID_PREFIX = "CUST-"
 CUSTOMER_ID_HEX_DIGITS = 16
 PHONE_LENGTH = 20
 
-# All white space at either end; trim() would remove blanks only.
-_OUTER_SPACE = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
+# Every white-space character. trim() alone would remove blanks only.
+WHITE_SPACE = "".join(chr(code) for code in range(0x3001) if chr(code).isspace())
 
 
 def strip(value: Column) -> Column:
-    return F.regexp_replace(value, _OUTER_SPACE, "")
+    return F.btrim(value, F.lit(WHITE_SPACE))
 
 
 def business_key(name: Column, email: Column) -> Column:

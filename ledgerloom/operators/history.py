@@ -31,10 +31,13 @@ def add_history(
     The windows and the join need the rows by customer, so all of it shares one shuffle of the transactions.
     Transactions of unknown customers stay, with a null key.
     """
+    columns = [*transactions.columns, *HISTORY_COLUMNS]
+    if keys is not None:
+        columns += [name for name in keys.columns if name != CUSTOMER]
     slicing = find_hot_keys(transactions, CUSTOMER, [time, unique], policy)
     if slicing is None:
         enriched = _running_columns(transactions, [CUSTOMER], time, unique)
-        return enriched if keys is None else enriched.join(keys, CUSTOMER, "left")
+        return (enriched if keys is None else enriched.join(keys, CUSTOMER, "left")).select(*columns)
 
     carry = _carry_between_slices(transactions, slicing, time)
     sliced = slicing.add_slice(transactions)
@@ -42,7 +45,7 @@ def add_history(
     enriched = _continue_slices(local, carry, transactions.columns, time)
     if keys is not None:
         enriched = enriched.join(_keys_per_slice(keys, carry), [CUSTOMER, SLICE], "left")
-    return enriched.drop(SLICE)
+    return enriched.select(*columns)
 
 
 def _running_columns(rows: DataFrame, group: list[str], time: str, unique: str) -> DataFrame:

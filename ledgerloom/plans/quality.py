@@ -183,8 +183,8 @@ def union_reports(*reports: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, reports).select(*schemas.QUALITY.fieldNames())
 
 
-def raise_on_fail(report: DataFrame, stop_on: Sequence[str] = (FAIL,)) -> None:
-    """Stop when a check has one of the given statuses."""
-    failed = report.filter(F.col("status").isin(*stop_on)).collect()
+def raise_on_fail(report: DataFrame, stop_on: Sequence[str] = (FAIL,), tolerate: Sequence[str] = ()) -> None:
+    """Stop when a check has one of the given statuses, unless its metric is tolerated."""
+    failed = report.filter(F.col("status").isin(*stop_on) & ~F.col("metric_name").isin(*tolerate)).collect()
     if failed:
         raise QualityFailure("; ".join(f"{r.table_name}.{r.metric_name} = {r.metric_value:g}" for r in failed))

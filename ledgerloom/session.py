@@ -1,9 +1,13 @@
-"""Session settings."""
+"""Session settings and the folder all executors share."""
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
+CHECKPOINT_DIR = "spark.checkpoint.dir"
+
 
 def build_session(app_name: str = "ledgerloom", **settings: str) -> SparkSession:
     """Session with adaptive execution.
@@ -21,3 +25,18 @@ def build_session(app_name: str = "ledgerloom", **settings: str) -> SparkSession
     for name, value in settings.items():
         builder = builder.config(name.replace("__", "."), value)
     return builder.getOrCreate()
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """Folder for intermediate tables: the cluster's ``spark.checkpoint.dir``.
+
+    Only a local session, where every task runs on this machine, gets a temporary folder when none is set.
+    """
+    folder = spark.conf.get(CHECKPOINT_DIR, None)
+    if folder:
+        return folder
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
+    folder = tempfile.mkdtemp(prefix="ledgerloom-")
+    spark.conf.set(CHECKPOINT_DIR, folder)
+    return folder
