@@ -120,15 +120,15 @@ def transactions(spark: SparkSession, folder: str, places: bool = True) -> DataF
     return delivered_transactions(spark, folder, places).drop("delivered")
 
 
-def first_load(spark: SparkSession, folder: str) -> DataFrame:
+def first_load(spark: SparkSession, folder: str, places: bool = True) -> DataFrame:
     """Transactions delivered before the second load."""
-    rows = delivered_transactions(spark, folder)
+    rows = delivered_transactions(spark, folder, places)
     return rows.filter(F.col("delivered") < F.lit(SECOND_LOAD).cast("timestamp_ntz")).drop("delivered")
 
 
-def second_load(spark: SparkSession, folder: str) -> DataFrame:
+def second_load(spark: SparkSession, folder: str, places: bool = True) -> DataFrame:
     """Transactions of the second load, with the last days of the first one delivered again."""
-    rows = delivered_transactions(spark, folder)
+    rows = delivered_transactions(spark, folder, places)
     return rows.filter(F.col("delivered") >= F.lit(REDELIVERED).cast("timestamp_ntz")).drop("delivered")
 
 

@@ -509,6 +509,35 @@ ORACLES: dict[str, str] = {
         _report(("credit_scores", "scores_out_of_range", _count("all_credit", "credit_score NOT BETWEEN 300 AND 850"), "0", "PASS", "FAIL")),
         "all_credit",
     ),
+    "dq_input_checks": _with(
+        _report(
+            ("customers", "rows", _count("customers"), None, "INFO", ""),
+            ("customers", "null_customer_id", _count("customers", "customer_id IS NULL"), "0", "PASS", "WARN"),
+            ("customers", "null_name", _count("customers", "name IS NULL"), "0", "PASS", "WARN"),
+            ("customers", "null_email", _count("customers", "email IS NULL"), "0", "PASS", "WARN"),
+            ("transactions", "rows", _count("transactions"), None, "INFO", ""),
+            ("transactions", "null_transaction_id", _count("transactions", "transaction_id IS NULL"), "0", "PASS", "WARN"),
+            ("transactions", "null_customer_id", _count("transactions", "customer_id IS NULL"), "0", "PASS", "WARN"),
+            ("transactions", "null_amount", _count("transactions", "amount IS NULL"), "0", "PASS", "WARN"),
+            ("credit_scores", "rows", _count("all_credit"), None, "INFO", ""),
+            ("credit_scores", "null_customer_id", _count("all_credit", "customer_id IS NULL"), "0", "PASS", "WARN"),
+            ("credit_scores", "null_credit_score", _count("all_credit", "credit_score IS NULL"), "0", "PASS", "WARN"),
+            ("customers", "duplicate_emails", "(SELECT count(*) - count(DISTINCT email) FROM customers)", "0", "PASS", "FAIL"),
+            ("customers", "null_emails", _count("customers", "email IS NULL"), "0", "PASS", "FAIL"),
+            ("customers", "null_customer_ids", _count("customers", "customer_id IS NULL"), "0", "PASS", "FAIL"),
+            ("customers", "duplicate_customer_ids", "(SELECT count(*) FROM customers) - (SELECT count(*) FROM (SELECT DISTINCT customer_id FROM customers))", "0", "PASS", "FAIL"),
+            ("customers", "malformed_customer_ids", _count("customers", "NOT starts_with(customer_id, 'CUST-')"), "0", "PASS", "FAIL"),
+            ("customers", "names_with_several_ids",
+             "(SELECT count(*) FROM (SELECT name FROM customers GROUP BY name HAVING count(DISTINCT customer_id) > 1))",
+             "0", "PASS", "WARN"),
+            ("transactions", "unknown_customer_ids", _count(_REPORT_KEYS.format("transactions")), "0", "PASS", "FAIL"),
+            ("transactions", "duplicate_transaction_ids", "(SELECT count(*) - count(DISTINCT transaction_id) FROM transactions)", "0", "PASS", "FAIL"),
+            ("credit_scores", "duplicate_customer_ids", "(SELECT count(*) - count(DISTINCT customer_id) FROM all_credit)", "0", "PASS", "FAIL"),
+            ("credit_scores", "unknown_customer_ids", _count(_REPORT_KEYS.format("all_credit")), "0", "PASS", "FAIL"),
+            ("credit_scores", "scores_out_of_range", _count("all_credit", "credit_score NOT BETWEEN 300 AND 850"), "0", "PASS", "FAIL"),
+        ),
+        "customers", "transactions", "all_credit",
+    ),
     "dq_names": _with(
         """SELECT job_title AS name, count(DISTINCT customer_id) AS unique_customer_ids, count(*) AS total_records
            FROM customers GROUP BY job_title HAVING count(DISTINCT customer_id) > 1""",

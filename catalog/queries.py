@@ -196,7 +196,7 @@ def fact_new_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 def fact_batch_restart(spark: SparkSession, folder: str) -> DataFrame:
     """Running columns that restart with the second load."""
-    rows = merge.new_rows(inputs.second_load(spark, folder), inputs.first_load(spark, folder), "transaction_id")
+    rows = merge.new_rows(inputs.second_load(spark, folder), inputs.first_load(spark, folder, places=False), "transaction_id")
     fact = warehouse.fact_transactions(rows, keyed_customers(spark, folder))
     return comparable(
         fact.select("transaction_id", "transaction_sequence", "running_total", "days_since_last_transaction", "amount_vs_avg")
@@ -262,7 +262,7 @@ def points_score(spark: SparkSession, folder: str) -> DataFrame:
 def _rescored(spark: SparkSession, folder: str) -> scoring.Rescored:
     """Customers seen in transactions are rescored; some of their ids are not in the profile."""
     rows = risk_profile(spark, folder).withColumn("last_updated", F.current_timestamp())
-    return scoring.rescore(rows, inputs.transactions(spark, folder), AS_OF)
+    return scoring.rescore(rows, inputs.transactions(spark, folder, places=False), AS_OF)
 
 
 def rescore_selected(spark: SparkSession, folder: str) -> DataFrame:
@@ -306,7 +306,7 @@ def v_ltv_selected(spark: SparkSession, folder: str) -> DataFrame:
 def dq_null_counts(spark: SparkSession, folder: str) -> DataFrame:
     reports = quality.union_reports(
         quality.null_counts(inputs.customers(spark, folder), "customers"),
-        quality.null_counts(inputs.transactions(spark, folder), "transactions"),
+        quality.null_counts(inputs.transactions(spark, folder, places=False), "transactions"),
         quality.null_counts(inputs.credit_scores(spark, folder), "credit_scores"),
     )
     return comparable(reports)
@@ -314,7 +314,7 @@ def dq_null_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 def dq_uniqueness(spark: SparkSession, folder: str) -> DataFrame:
     """Both loads taken together, so that the overlap shows as repeated transactions."""
-    both = inputs.first_load(spark, folder).unionByName(inputs.second_load(spark, folder))
+    both = inputs.first_load(spark, folder, places=False).unionByName(inputs.second_load(spark, folder, places=False))
     reports = quality.union_reports(
         quality.customer_uniqueness(inputs.customers(spark, folder)),
         quality.transaction_uniqueness(both),
@@ -326,20 +326,28 @@ def dq_uniqueness(spark: SparkSession, folder: str) -> DataFrame:
 def dq_referential(spark: SparkSession, folder: str) -> DataFrame:
     customers = inputs.customers(spark, folder)
     reports = quality.union_reports(
-        quality.referential(inputs.transactions(spark, folder), customers, "transactions"),
+        quality.referential(inputs.transactions(spark, folder, places=False), customers, "transactions"),
         quality.referential(inputs.raw_credit_scores(spark, folder), customers, "credit_scores"),
     )
     return comparable(reports)
 
 
 def dq_unknown_customers(spark: SparkSession, folder: str) -> DataFrame:
-    return quality.unknown_customers(inputs.transactions(spark, folder), inputs.customers(spark, folder))
+    return quality.unknown_customers(inputs.transactions(spark, folder, places=False), inputs.customers(spark, folder))
 
 
 def dq_ranges(spark: SparkSession, folder: str) -> DataFrame:
     return comparable(quality.score_range(inputs.raw_credit_scores(spark, folder)))
 
 
+def dq_input_checks(spark: SparkSession, folder: str) -> DataFrame:
+    """The whole gate before a load."""
+    report = quality.input_checks(
+        inputs.customers(spark, folder), inputs.transactions(spark, folder, places=False), inputs.raw_credit_scores(spark, folder)
+    )
+    return comparable(report)
+
+
 def dq_names(spark: SparkSession, folder: str) -> DataFrame:
     """Job titles stand in for names, so that there are names shared by several ids."""
     people = inputs.customers(spark, folder).withColumn("name", F.col("job_title"))
@@ -349,7 +357,7 @@ def dq_names(spark: SparkSession, folder: str) -> DataFrame:
 def dq_metrics(spark: SparkSession, folder: str) -> DataFrame:
     report = quality.metrics(
         inputs.customers(spark, folder),
-        inputs.transactions(spark, folder),
+        inputs.transactions(spark, folder, places=False),
         inputs.raw_credit_scores(spark, folder),
         risk_profile(spark, folder),
     )
@@ -359,7 +367,7 @@ def dq_metrics(spark: SparkSession, folder: str) -> DataFrame:
 def dq_table_counts(spark: SparkSession, folder: str) -> DataFrame:
     tables = {
         "customers": inputs.customers(spark, folder),
-        "transactions": inputs.transactions(spark, folder),
+        "transactions": inputs.transactions(spark, folder, places=False),
         "credit_scores": inputs.credit_scores(spark, folder),
         "customer_profile": wide_profile(spark, folder),
     }
@@ -412,6 +420,7 @@ QUERIES: dict[str, Query] = {
     "dq_referential": dq_referential,
     "dq_unknown_customers": dq_unknown_customers,
     "dq_ranges": dq_ranges,
+    "dq_input_checks": dq_input_checks,
     "dq_names": dq_names,
     "dq_metrics": dq_metrics,
     "dq_table_counts": dq_table_counts,

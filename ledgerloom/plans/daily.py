@@ -17,12 +17,14 @@ from pyspark.sql import Column, DataFrame, Observation, functions as F, types as
 from ledgerloom import schemas
 from ledgerloom.functions import dates, labels
 from ledgerloom.operators.hot_keys import HotKeyPolicy
+from ledgerloom.operators.merge import new_rows, require_unique
 from ledgerloom.plans import products, profile, quality, scoring, staging, warehouse
 from ledgerloom.sources.csv_files import MALFORMED, read_csv
 from ledgerloom.sources.tables import ANALYTICS, STAGING, WAREHOUSE, TableStore
 
 RUN_NAME = "daily_risk_run"
 SUCCESS, FAILED = "SUCCESS", "FAILED"
+OUT_OF_RANGE = "scores_out_of_range"
 CLEANERS = {
     "customers": staging.clean_customers,
     "transactions": staging.clean_transactions,
@@ -38,8 +40,16 @@ class Ingested:
     figures: dict[str, int] = field(default_factory=dict)
 
     def report(self, spark) -> DataFrame:
-        rows = [(self.table, name, float(value), None, quality.INFO) for name, value in self.figures.items()]
-        return spark.createDataFrame(rows, schemas.QUALITY)
+        """The counts as report rows: empty required columns are a warning, invalid scores a failure."""
+
+        def row(name: str, count: int) -> tuple:
+            if name.startswith("null_"):
+                return self.table, name, float(count), 0.0, quality.WARN if count else quality.PASS
+            if name == OUT_OF_RANGE:
+                return self.table, name, float(count), 0.0, quality.FAIL if count else quality.PASS
+            return self.table, name, float(count), None, quality.INFO
+
+        return spark.createDataFrame([row(name, count) for name, count in self.figures.items()], schemas.QUALITY)
 
 
 def ingest(
@@ -69,7 +79,7 @@ def ingest(
     typed = Observation(f"{table} typed")
     checks = [F.count_if(F.col(name).isNull()).alias(f"null_{name}") for name in quality.REQUIRED[table]]
     if table == "credit_scores":
-        checks.append(F.count_if(~labels.valid_credit_score(F.col("credit_score"))).alias("scores_out_of_range"))
+        checks.append(F.count_if(~labels.valid_credit_score(F.col("credit_score"))).alias(OUT_OF_RANGE))
     clean = clean.observe(typed, *checks)
     if table == "credit_scores":
         clean = staging.keep_valid_scores(clean)
@@ -92,40 +102,35 @@ def ingest_all(store: TableStore, data_dir: str, at: Column | None = None) -> li
 
 
 def check_input(store: TableStore, ingested: list[Ingested]) -> DataFrame:
-    """Quality report of the staged input, before anything reaches the warehouse."""
-    staged = {name: store.read(STAGING, name) for name in CLEANERS}
-    report = quality.input_checks(staged["customers"], staged["transactions"], staged["credit_scores"])
-    # the staged credit rows no longer hold invalid scores; their number was taken while they were dropped
-    invalid = sum(item.figures.get("scores_out_of_range", 0) for item in ingested)
-    dropped = F.col("metric_name") == "scores_out_of_range"
-    report = report.withColumns(
-        {
-            "metric_value": F.when(dropped, F.lit(float(invalid))).otherwise(F.col("metric_value")),
-            "status": F.when(dropped & F.lit(invalid > 0), F.lit(quality.FAIL)).otherwise(F.col("status")),
-        }
-    )
-    return quality.union_reports(report, *[item.report(store.spark) for item in ingested])
+    """Quality report of the staged input, before anything reaches the warehouse.
+
+    Counts that were taken while staging was written are not taken again.
+    """
+    staged = [store.read(STAGING, name) for name in CLEANERS]
+    return quality.union_reports(quality.relation_checks(*staged), *[item.report(store.spark) for item in ingested])
 
 
 def load_warehouse(store: TableStore, as_of: dates.AsOf = None, at: Column | None = None) -> None:
     """Bring dimensions and fact table up to date with staging."""
     staged = store.read(STAGING, "customers")
-    incoming = warehouse.require_unique(warehouse.dim_customer(staged, as_of, at), ["customer_id"])
+    incoming = require_unique(warehouse.dim_customer(staged, as_of, at), ["customer_id"])
     stored = store.read(WAREHOUSE, "dim_customer", schemas.DIM_CUSTOMER)
     customers = store.replace(
         WAREHOUSE, "dim_customer", warehouse.merge_dimension(stored, incoming, "customer_key")
     )
 
     batch = store.read(STAGING, "transactions")
-    warehouse.require_valid_batch(batch)
+    require_unique(batch, ["transaction_id"])
     fact = read_fact(store)
-    added = warehouse.with_month(warehouse.new_fact_rows(batch, fact, customers, at))
+    # stored, because telling new rows from known ones reads the ids of the whole history
+    fresh = store.replace(STAGING, "transactions_new", new_rows(batch, fact, "transaction_id"))
+    added = warehouse.with_month(warehouse.keyed_fact_rows(fresh, fact, customers, at))
     # rows of a month go to as few files as their size allows; adaptive execution splits a large month
     store.append(WAREHOUSE, "fact_transactions", added.hint("rebalance", warehouse.MONTH), [warehouse.MONTH])
 
     scores = warehouse.dim_credit(store.read(STAGING, "credit_scores"), customers, at)
     credit = store.read(WAREHOUSE, "dim_credit", schemas.DIM_CREDIT)
-    warehouse.require_unique(scores, ["customer_id"])
+    require_unique(scores, ["customer_id"])
     store.replace(WAREHOUSE, "dim_credit", warehouse.merge_dimension(credit, scores, "credit_key"))
 
 

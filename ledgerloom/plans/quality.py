@@ -140,18 +140,25 @@ def name_consistency(customers: DataFrame, table: str) -> DataFrame:
     return run_checks(named, table, [Check("names_with_several_ids", F.count("*"), otherwise=WARN)])
 
 
-def input_checks(customers: DataFrame, transactions: DataFrame, credit: DataFrame) -> DataFrame:
-    """Everything that is checked before a load. ``credit`` still holds scores outside the scale."""
+def relation_checks(customers: DataFrame, transactions: DataFrame, credit: DataFrame) -> DataFrame:
+    """Uniqueness and references between the tables."""
     return union_reports(
-        null_counts(customers, "customers"),
-        null_counts(transactions, "transactions"),
-        null_counts(credit, "credit_scores"),
         customer_uniqueness(customers),
         name_consistency(customers, "customers"),
         referential(transactions, customers, "transactions"),
         transaction_uniqueness(transactions),
         credit_uniqueness(credit),
         referential(credit, customers, "credit_scores"),
+    )
+
+
+def input_checks(customers: DataFrame, transactions: DataFrame, credit: DataFrame) -> DataFrame:
+    """Everything that is checked before a load. ``credit`` still holds scores outside the scale."""
+    return union_reports(
+        null_counts(customers, "customers"),
+        null_counts(transactions, "transactions"),
+        null_counts(credit, "credit_scores"),
+        relation_checks(customers, transactions, credit),
         score_range(credit),
     )
 

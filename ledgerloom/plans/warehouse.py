@@ -9,7 +9,7 @@ from ledgerloom.functions import dates, labels, text
 from ledgerloom.operators.history import add_history
 from ledgerloom.operators.hot_keys import HotKeyPolicy
 from ledgerloom.operators.keys import fill_keys
-from ledgerloom.operators.merge import new_rows, require_unique, upsert
+from ledgerloom.operators.merge import new_rows, upsert
 
 # Partition column of the stored fact table and of queries limited to recent months.
 MONTH = "transaction_month"
@@ -101,15 +101,23 @@ def fact_transactions(
     return _fact_columns(enriched, at).select(*FACT_COLUMNS)
 
 
+def keyed_fact_rows(fresh: DataFrame, stored: DataFrame, keys: DataFrame, at: Column | None = None) -> DataFrame:
+    """Staged transactions as rows to append to the stored fact table, numbered and with their customer key.
+
+    ``fresh`` is read twice, once to count ids and once for the rows; give it a stored table when finding the
+    fresh rows was expensive. Transactions of unknown customers stay, with a null customer key.
+    """
+    unkeyed = _fact_columns(fresh, at).withColumn("transaction_key", F.lit(None).cast("long"))
+    numbered = fill_keys(unkeyed, "transaction_id", "transaction_key", taken=stored)
+    known = numbered.join(keys.select("customer_id", "customer_key"), "customer_id", "left")
+    return known.select(*schemas.FACT_TRANSACTIONS.fieldNames())
+
+
 def new_fact_rows(
     transactions: DataFrame, stored: DataFrame, keys: DataFrame, at: Column | None = None
 ) -> DataFrame:
-    """Rows to append to the stored fact table: staged transactions it does not hold, keyed and numbered."""
-    fresh = new_rows(transactions, stored, "transaction_id")
-    known = fresh.join(keys.select("customer_id", "customer_key"), "customer_id", "left")
-    unkeyed = _fact_columns(known, at).withColumn("transaction_key", F.lit(None).cast("long"))
-    numbered = fill_keys(unkeyed, "transaction_id", "transaction_key", taken=stored)
-    return numbered.select(*schemas.FACT_TRANSACTIONS.fieldNames())
+    """Rows to append to the stored fact table for those staged transactions it does not hold yet."""
+    return keyed_fact_rows(new_rows(transactions, stored, "transaction_id"), stored, keys, at)
 
 
 def with_running_columns(stored_fact: DataFrame, policy: HotKeyPolicy | None = None) -> DataFrame:
@@ -131,7 +139,3 @@ def since(fact: DataFrame, first_day: Column) -> DataFrame:
     recent = fact.filter(F.col("transaction_date") >= first_day)
     return recent.filter(F.col(MONTH) >= dates.month_start(first_day)) if MONTH in fact.columns else recent
 
-
-def require_valid_batch(transactions: DataFrame) -> None:
-    """Refuse a batch that breaks the fact table's contract: transaction ids are unique."""
-    require_unique(transactions, ["transaction_id"])

@@ -263,7 +263,7 @@ def test_sql_access(spark):
     assert tuple(row) == ("Low Income", "High Income", "Very Good", "Poor", 20, 19)
 
 
-def test_database_options(spark, monkeypatch):
+def test_database_options():
     """No database is started here: only the options handed to Spark are looked at."""
     database = Database("jdbc:postgresql://db/warehouse", {"user": "u", "driver": "org.postgresql.Driver"})
     assert database._connection("staging.customers") == {
