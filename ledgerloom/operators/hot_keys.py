@@ -12,9 +12,10 @@ and the sample holds about one row per 1/SHARE of the table. Only these are ever
 from __future__ import annotations
 
 import math
+from collections import Counter
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 SHARE = 10_000
 SLICE = "_slice"
@@ -30,32 +31,33 @@ class HotKeyPolicy:
 
 @dataclass(frozen=True)
 class Slicing:
-    """Hot keys with their cut rows, ``coarse`` and ``fine``: a two-step search needs two short scans."""
+    """Hot keys with the sorted rows they are cut at; ``most`` is the largest number of cuts of one key."""
 
     key: str
     order: tuple[str, ...]
     cuts: DataFrame
+    most: int
 
     def hot_rows(self, rows: DataFrame) -> DataFrame:
         cuts = F.broadcast(self.cuts.select(F.col(self.key).alias("_hot_key")))
         return rows.join(cuts, F.col(self.key).eqNullSafe(F.col("_hot_key")), "left_semi")
 
     def add_slice(self, rows: DataFrame) -> DataFrame:
-        """Append the slice number, 0 for every key that is not hot."""
+        """Append the slice number: how many cuts lie at or before the row, so 0 for a key that is not hot.
+
+        A binary search over the key's cuts, one column per halving. Reading past the last cut gives null,
+        which counts as a cut that lies behind the row.
+        """
         cuts = F.broadcast(self.cuts.withColumnRenamed(self.key, "_hot_key"))
         here = F.struct(*[F.col(name).alias(name) for name in self.order])
-        coarse = _count_up_to("_coarse", here)
-        inside = F.filter(F.get("_fine", coarse - 1), lambda cut: cut <= here)
-        number = F.when(coarse > 0, (coarse - 1) * F.col("_width") + F.size(inside)).otherwise(0)
-        return (
-            rows.join(cuts, F.col(self.key).eqNullSafe(F.col("_hot_key")), "left")
-            .withColumn(SLICE, F.coalesce(F.when(F.col("_width").isNotNull(), number), F.lit(0)).cast("int"))
-            .drop("_hot_key", "_coarse", "_fine", "_width")
+        found = rows.join(cuts, F.col(self.key).eqNullSafe(F.col("_hot_key")), "left").withColumns(
+            {"_here": here, SLICE: F.lit(0)}
         )
-
-
-def _count_up_to(cuts: str, here: Column) -> Column:
-    return F.size(F.filter(F.col(cuts), lambda cut: cut <= here))
+        for power in reversed(range(self.most.bit_length())):
+            further = F.col(SLICE) + 2**power
+            reached = F.get("_cuts", further - 1) <= F.col("_here")
+            found = found.withColumn(SLICE, F.when(reached, further).otherwise(F.col(SLICE)))
+        return found.drop("_hot_key", "_cuts", "_here")
 
 
 def find_hot_keys(
@@ -88,18 +90,10 @@ def find_hot_keys(
     # About one row in `limit`, so about `share` rows at most. Collected once: both the slices and the carry
     # must see the same cuts.
     cut_rows = sample.collect()
-    width = F.ceil(F.sqrt(F.size("_cuts"))).cast("int")
-    starts = F.sequence(F.lit(1), F.size("_cuts"), F.col("_width"))
     cuts = (
         spark.createDataFrame(cut_rows, sample.schema)
         .groupBy(key)
         .agg(F.sort_array(F.collect_list(F.struct(*order))).alias("_cuts"))
-        .withColumn("_width", width)
-        .select(
-            key,
-            "_width",
-            F.transform(starts, lambda start: F.get("_cuts", start - 1)).alias("_coarse"),
-            F.transform(starts, lambda start: F.slice("_cuts", start, F.col("_width"))).alias("_fine"),
-        )
     )
-    return Slicing(key, tuple(order), cuts)
+    most = max(Counter(row[key] for row in cut_rows).values(), default=0)
+    return Slicing(key, tuple(order), cuts, most)

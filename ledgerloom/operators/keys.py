@@ -13,23 +13,23 @@ def fill_keys(rows: DataFrame, id_column: str, key_column: str, taken: DataFrame
 
     New rows are numbered without gaps in the order of (leading md5 digits of the id, id). The digits split
     the ids into 16**digits even groups that are numbered side by side; only the group sizes, at most 65,536
-    rows, pass through one task and are broadcast. Ids must be unique. ``taken`` holds keys already given out
-    to rows that are not in ``rows``.
+    rows, pass through one task and are broadcast. Ids must be unique. When no row has a key yet, ``taken``
+    may hold the keys given out elsewhere.
     """
     fresh = F.col(key_column).isNull()
     marked = rows.withColumns({_FRESH: fresh, _GROUP: F.substring(F.md5(F.col(id_column)), 1, digits)})
 
     # known keys form the group "", which sorts first and counts up to the largest key in use
-    sizes = marked.groupBy(F.when(F.col(_FRESH), F.col(_GROUP)).otherwise(F.lit("")).alias(_GROUP)).agg(
-        F.count("*").alias("_n"), F.max(key_column).cast("long").alias("_largest")
-    )
-    if taken is not None:
-        largest = taken.agg(F.max(key_column).cast("long").alias("_largest"))
-        sizes = sizes.unionByName(largest.select(F.lit("").alias(_GROUP), F.lit(0).cast("long").alias("_n"), "_largest"))
-    sizes = sizes.groupBy(_GROUP).agg(F.sum("_n").alias("_n"), F.max("_largest").alias("_largest"))
-    size = F.when(F.col(_GROUP) == "", F.coalesce("_largest", F.lit(0))).otherwise(F.col("_n"))
+    if taken is None:
+        group = F.when(F.col(_FRESH), F.col(_GROUP)).otherwise(F.lit("")).alias(_GROUP)
+        counted = marked.groupBy(group).agg(F.count("*").alias("_rows"), F.max(key_column).alias("_largest"))
+        size = F.when(F.col(_GROUP) == "", F.col("_largest")).otherwise(F.col("_rows"))
+        sizes = counted.select(_GROUP, size.alias("_size"))
+    else:
+        largest = taken.agg(F.max(key_column).alias("_size")).select(F.lit("").alias(_GROUP), "_size")
+        sizes = marked.groupBy(_GROUP).agg(F.count("*").alias("_size")).unionByName(largest)
     before = Window.orderBy(_GROUP).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(_GROUP, F.coalesce(F.sum(size).over(before), F.lit(0)).alias("_offset"))
+    offsets = sizes.select(_GROUP, F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
 
     place = F.row_number().over(Window.partitionBy(_GROUP, _FRESH).orderBy(id_column))
     number = F.when(F.col(_FRESH), F.col("_offset") + place).otherwise(F.col(key_column))

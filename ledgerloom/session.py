@@ -21,6 +21,8 @@ def build_session(app_name: str = "ledgerloom", **settings: str) -> SparkSession
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        # call sites of every expression are only needed while debugging
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for name, value in settings.items():
         builder = builder.config(name.replace("__", "."), value)
