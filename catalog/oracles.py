@@ -372,6 +372,13 @@ ORACLES: dict[str, str] = {
                  UNION ALL SELECT * FROM renewed)""",
         "credit", "renewed",
     ),
+    "sql_functions": _with(
+        """SELECT customer_id, income_bracket,
+               CASE WHEN credit_score >= 800 THEN 'Excellent' WHEN credit_score >= 740 THEN 'Very Good'
+                    WHEN credit_score >= 670 THEN 'Good' WHEN credit_score >= 580 THEN 'Fair' ELSE 'Poor' END AS credit_rating
+           FROM dim LEFT JOIN credit USING (customer_id)""",
+        "dim", "credit",
+    ),
     "transaction_metrics": _with(f"SELECT customer_id, {_BEHAVIOUR}, ~avg_transaction_hour FROM metrics", "metrics"),
     "favorite_category": _with("SELECT * FROM favorites", "favorites"),
     "customer_profile": _with(f"SELECT customer_key, {_PERSON}, {_BEHAVIOUR}, {_CREDIT} FROM profile", "profile"),

@@ -16,6 +16,7 @@ from ledgerloom.operators.keys import fill_keys
 from ledgerloom.plans import products, profile, quality, scoring, staging, warehouse
 from ledgerloom.session import shared_folder
 from ledgerloom.sources.tables import STAGING, WAREHOUSE, TableStore
+from ledgerloom.views import register_functions
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -212,6 +213,18 @@ def upsert_credit(spark: SparkSession, folder: str) -> DataFrame:
     return comparable(merge.upsert(stored, updates, ["customer_id"]))
 
 
+def sql_functions(spark: SparkSession, folder: str) -> DataFrame:
+    """The functions registered for SQL, called from SQL over all customers and their credit rows."""
+    register_functions(spark)
+    inputs.customers(spark, folder).createOrReplaceTempView("staged_customers")
+    inputs.credit_scores(spark, folder).createOrReplaceTempView("staged_credit_scores")
+    return spark.sql(
+        "SELECT customer_id, get_income_bracket(annual_income) AS income_bracket,"
+        " get_credit_rating(credit_score) AS credit_rating"
+        " FROM staged_customers LEFT JOIN staged_credit_scores USING (customer_id)"
+    )
+
+
 # --- profile and scores ----------------------------------------------------------------------------------
 
 
@@ -392,6 +405,7 @@ QUERIES: dict[str, Query] = {
     "fact_batch_restart": fact_batch_restart,
     "dim_credit": dim_credit,
     "upsert_credit": upsert_credit,
+    "sql_functions": sql_functions,
     "transaction_metrics": transaction_metrics,
     "favorite_category": favorite_category,
     "customer_profile": customer_profile,

@@ -42,9 +42,10 @@ def add_history(
     carry = _carry_between_slices(transactions, slicing, time)
     sliced = slicing.add_slice(transactions)
     local = _running_columns(sliced, [CUSTOMER, SLICE], time, unique)
-    enriched = _continue_slices(local, carry, transactions.columns, time)
+    enriched = _continue_slices(local, slicing.broadcast(carry), transactions.columns, time)
     if keys is not None:
-        enriched = enriched.join(_keys_per_slice(keys, carry), [CUSTOMER, SLICE], "left")
+        slices = carry.groupBy(CUSTOMER).agg(F.collect_set(SLICE).alias("_slices"))
+        enriched = enriched.join(_keys_per_slice(keys, slicing.broadcast(slices)), [CUSTOMER, SLICE], "left")
     return enriched.select(*columns)
 
 
@@ -93,7 +94,7 @@ def _sum_of_known(left: Column, right: Column) -> Column:
 
 
 def _continue_slices(local: DataFrame, carry: DataFrame, columns: list[str], time: str) -> DataFrame:
-    carry = F.broadcast(carry.withColumnsRenamed({CUSTOMER: "_carry_customer", SLICE: "_carry_slice"}))
+    carry = carry.withColumnsRenamed({CUSTOMER: "_carry_customer", SLICE: "_carry_slice"})
     same_slice = F.col(CUSTOMER).eqNullSafe(F.col("_carry_customer")) & (F.col(SLICE) == F.col("_carry_slice"))
     first_in_slice = F.col("transaction_sequence") == 1
     is_hot = F.col("_carry_slice").isNotNull()
@@ -109,8 +110,7 @@ def _continue_slices(local: DataFrame, carry: DataFrame, columns: list[str], tim
     )
 
 
-def _keys_per_slice(keys: DataFrame, carry: DataFrame) -> DataFrame:
+def _keys_per_slice(keys: DataFrame, slices: DataFrame) -> DataFrame:
     """Customer keys repeated for every slice, so that the join spreads a hot customer like the windows do."""
-    slices = F.broadcast(carry.groupBy(CUSTOMER).agg(F.collect_set(SLICE).alias("_slices")))
     every_slice = F.explode(F.coalesce("_slices", F.array(F.lit(0))))
     return keys.join(slices, CUSTOMER, "left").withColumn(SLICE, every_slice).drop("_slices")

@@ -19,6 +19,8 @@ from pyspark.sql import DataFrame, functions as F
 
 SHARE = 10_000
 SLICE = "_slice"
+# Tables above this many rows are left for Spark to join as it sees fit.
+MOST_BROADCAST_ROWS = 200_000
 
 
 @dataclass(frozen=True)
@@ -31,15 +33,23 @@ class HotKeyPolicy:
 
 @dataclass(frozen=True)
 class Slicing:
-    """Hot keys with the sorted rows they are cut at; ``most`` is the largest number of cuts of one key."""
+    """Hot keys with the sorted rows they are cut at.
+
+    ``most`` is the largest number of cuts of one key, ``slices`` the number of slices of all keys.
+    """
 
     key: str
     order: tuple[str, ...]
     cuts: DataFrame
     most: int
+    slices: int
+
+    def broadcast(self, table: DataFrame) -> DataFrame:
+        """Broadcast a table of at most one row per slice, as long as the slices are few."""
+        return F.broadcast(table) if self.slices <= MOST_BROADCAST_ROWS else table
 
     def hot_rows(self, rows: DataFrame) -> DataFrame:
-        cuts = F.broadcast(self.cuts.select(F.col(self.key).alias("_hot_key")))
+        cuts = self.broadcast(self.cuts.select(F.col(self.key).alias("_hot_key")))
         return rows.join(cuts, F.col(self.key).eqNullSafe(F.col("_hot_key")), "left_semi")
 
     def add_slice(self, rows: DataFrame) -> DataFrame:
@@ -48,7 +58,7 @@ class Slicing:
         A binary search over the key's cuts, one column per halving. Reading past the last cut gives null,
         which counts as a cut that lies behind the row.
         """
-        cuts = F.broadcast(self.cuts.withColumnRenamed(self.key, "_hot_key"))
+        cuts = self.broadcast(self.cuts.withColumnRenamed(self.key, "_hot_key"))
         here = F.struct(*[F.col(name).alias(name) for name in self.order])
         found = rows.join(cuts, F.col(self.key).eqNullSafe(F.col("_hot_key")), "left").withColumns(
             {"_here": here, SLICE: F.lit(0)}
@@ -96,4 +106,4 @@ def find_hot_keys(
         .agg(F.sort_array(F.collect_list(F.struct(*order))).alias("_cuts"))
     )
     most = max(Counter(row[key] for row in cut_rows).values(), default=0)
-    return Slicing(key, tuple(order), cuts, most)
+    return Slicing(key, tuple(order), cuts, most, len(cut_rows) + len(hot))

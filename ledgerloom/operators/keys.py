@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from ledgerloom.operators.hot_keys import MOST_BROADCAST_ROWS
+
 _FRESH = "_fresh"
 _GROUP = "_group"
 
@@ -34,7 +36,7 @@ def fill_keys(rows: DataFrame, id_column: str, key_column: str, taken: DataFrame
     place = F.row_number().over(Window.partitionBy(_GROUP, _FRESH).orderBy(id_column))
     number = F.when(F.col(_FRESH), F.col("_offset") + place).otherwise(F.col(key_column))
     return (
-        marked.join(F.broadcast(offsets), _GROUP, "left")
+        marked.join(F.broadcast(offsets) if 16**digits <= MOST_BROADCAST_ROWS else offsets, _GROUP, "left")
         .withColumn(key_column, number.cast("long"))
         .select(*rows.columns)
     )

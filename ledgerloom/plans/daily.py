@@ -25,6 +25,12 @@ from ledgerloom.sources.tables import ANALYTICS, STAGING, WAREHOUSE, TableStore
 RUN_NAME = "daily_risk_run"
 SUCCESS, FAILED = "SUCCESS", "FAILED"
 OUT_OF_RANGE = "scores_out_of_range"
+# Columns without which a row cannot be stored; other required columns only cause a warning when empty.
+NOT_NULL = {
+    "customers": ["customer_id", "name", "email"],
+    "transactions": ["transaction_id", "customer_id"],
+    "credit_scores": ["customer_id"],
+}
 CLEANERS = {
     "customers": staging.clean_customers,
     "transactions": staging.clean_transactions,
@@ -40,14 +46,14 @@ class Ingested:
     figures: dict[str, int] = field(default_factory=dict)
 
     def report(self, spark) -> DataFrame:
-        """The counts as report rows: empty required columns are a warning, invalid scores a failure."""
+        """The counts as report rows: empty keys and invalid scores fail, other empty columns are a warning."""
+        fatal = {OUT_OF_RANGE, *[f"null_{name}" for name in NOT_NULL[self.table]]}
 
         def row(name: str, count: int) -> tuple:
-            if name.startswith("null_"):
-                return self.table, name, float(count), 0.0, quality.WARN if count else quality.PASS
-            if name == OUT_OF_RANGE:
-                return self.table, name, float(count), 0.0, quality.FAIL if count else quality.PASS
-            return self.table, name, float(count), None, quality.INFO
+            if name not in fatal and not name.startswith("null_"):
+                return self.table, name, float(count), None, quality.INFO
+            broken = quality.FAIL if name in fatal else quality.WARN
+            return self.table, name, float(count), 0.0, broken if count else quality.PASS
 
         return spark.createDataFrame([row(name, count) for name, count in self.figures.items()], schemas.QUALITY)
 
