@@ -169,7 +169,8 @@ def fact_enriched(spark: SparkSession, folder: str) -> DataFrame:
 def _two_loads(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     """Fact rows stored by the first load, and those the second one adds."""
     store = new_store(spark)
-    keys = store.replace(WAREHOUSE, "dim_customer", keyed_customers(spark, folder))
+    customers = keyed_customers(spark, folder).select("customer_id", "customer_key")
+    keys = store.replace(WAREHOUSE, "dim_customer", customers)
     nothing = schemas.empty(spark, schemas.FACT_TRANSACTIONS)
     first = store.replace(STAGING, "transactions", inputs.first_load(spark, folder))
     stored = store.replace(WAREHOUSE, "fact_transactions", warehouse.new_fact_rows(first, nothing, keys))

@@ -25,6 +25,7 @@ from ledgerloom.sources.tables import ANALYTICS, STAGING, WAREHOUSE, TableStore
 RUN_NAME = "daily_risk_run"
 SUCCESS, FAILED = "SUCCESS", "FAILED"
 OUT_OF_RANGE = "scores_out_of_range"
+UNIQUE_IDS = ["duplicate_customer_ids", "duplicate_transaction_ids"]
 # Columns without which a row cannot be stored; other required columns only cause a warning when empty.
 NOT_NULL = {
     "customers": ["customer_id", "name", "email"],
@@ -116,17 +117,25 @@ def check_input(store: TableStore, ingested: list[Ingested]) -> DataFrame:
     return quality.union_reports(quality.relation_checks(*staged), *[item.report(store.spark) for item in ingested])
 
 
-def load_warehouse(store: TableStore, as_of: dates.AsOf = None, at: Column | None = None) -> None:
-    """Bring dimensions and fact table up to date with staging."""
+def load_warehouse(
+    store: TableStore, as_of: dates.AsOf = None, at: Column | None = None, known_unique: bool = False
+) -> None:
+    """Bring dimensions and fact table up to date with staging.
+
+    Every id may be staged once only. That is checked first, unless the caller has just done so.
+    """
     staged = store.read(STAGING, "customers")
-    incoming = require_unique(warehouse.dim_customer(staged, as_of, at), ["customer_id"])
+    if not known_unique:
+        require_unique(staged, ["customer_id"])
+        require_unique(store.read(STAGING, "transactions"), ["transaction_id"])
+        require_unique(store.read(STAGING, "credit_scores"), ["customer_id"])
+    incoming = warehouse.dim_customer(staged, as_of, at)
     stored = store.read(WAREHOUSE, "dim_customer", schemas.DIM_CUSTOMER)
     customers = store.replace(
         WAREHOUSE, "dim_customer", warehouse.merge_dimension(stored, incoming, "customer_key")
     )
 
     batch = store.read(STAGING, "transactions")
-    require_unique(batch, ["transaction_id"])
     fact = read_fact(store)
     # stored, because telling new rows from known ones reads the ids of the whole history
     fresh = store.replace(STAGING, "transactions_new", new_rows(batch, fact, "transaction_id"))
@@ -136,7 +145,6 @@ def load_warehouse(store: TableStore, as_of: dates.AsOf = None, at: Column | Non
 
     scores = warehouse.dim_credit(store.read(STAGING, "credit_scores"), customers, at)
     credit = store.read(WAREHOUSE, "dim_credit", schemas.DIM_CREDIT)
-    require_unique(scores, ["customer_id"])
     store.replace(WAREHOUSE, "dim_credit", warehouse.merge_dimension(credit, scores, "credit_key"))
 
 
@@ -240,7 +248,7 @@ def run_daily(
         ingested = ingest_all(store, data_dir)
         before = save_report(store, check_input(store, ingested), as_of)
         quality.raise_on_fail(before, stop_on, tolerate)
-        load_warehouse(store, as_of)
+        load_warehouse(store, as_of, known_unique=quality.all_pass(before, UNIQUE_IDS))
         scored = score_customers(store, as_of, ml_scaling=ml_scaling)
         save_report(store, check_load(store), as_of)
         save_rules(store)

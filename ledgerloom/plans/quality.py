@@ -195,3 +195,9 @@ def raise_on_fail(report: DataFrame, stop_on: Sequence[str] = (FAIL,), tolerate:
     failed = report.filter(F.col("status").isin(*stop_on) & ~F.col("metric_name").isin(*tolerate)).collect()
     if failed:
         raise QualityFailure("; ".join(f"{r.table_name}.{r.metric_name} = {r.metric_value:g}" for r in failed))
+
+
+def all_pass(report: DataFrame, metric_names: Sequence[str]) -> bool:
+    """Whether the report holds these checks and all of them passed."""
+    found = report.filter(F.col("metric_name").isin(*metric_names)).select("metric_name", "status").collect()
+    return {row.metric_name for row in found} == set(metric_names) and all(row.status == PASS for row in found)

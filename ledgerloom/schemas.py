@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 
 def _table(**columns: T.DataType) -> T.StructType:
@@ -91,5 +91,7 @@ def sink_decimals(rows: DataFrame) -> DataFrame:
     return rows.withColumns({name: F.col(name).try_cast(kind) for name, kind in kinds.items()})
 
 
-def empty(spark, schema: T.StructType) -> DataFrame:
-    return spark.createDataFrame([], schema)
+def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """No rows, known as such to the optimizer, which then drops joins with them."""
+    columns = [F.lit(None).cast(field.dataType).alias(field.name) for field in schema]
+    return spark.range(0).select(*columns).filter(F.lit(False))
