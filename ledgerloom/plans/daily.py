@@ -137,8 +137,10 @@ def load_warehouse(
 
     batch = store.read(STAGING, "transactions")
     fact = read_fact(store)
-    # stored, because telling new rows from known ones reads the ids of the whole history
-    fresh = store.replace(STAGING, "transactions_new", new_rows(batch, fact, "transaction_id"))
+    fresh = batch
+    if store.exists(WAREHOUSE, "fact_transactions"):
+        # stored, because telling new rows from known ones reads the ids of the whole history
+        fresh = store.replace(STAGING, "transactions_new", new_rows(batch, fact, "transaction_id"))
     added = warehouse.with_month(warehouse.keyed_fact_rows(fresh, fact, customers, at))
     # rows of a month go to as few files as their size allows; adaptive execution splits a large month
     store.append(WAREHOUSE, "fact_transactions", added.hint("rebalance", warehouse.MONTH), [warehouse.MONTH])
