@@ -282,6 +282,14 @@ _COMPLETE = " AND ".join(
     for name in ["customer_key", "customer_id", "name", "date_of_birth", "annual_income", "risk_score", "risk_category"]
 )
 
+_FACT = _with(
+    """SELECT transaction_id, customer_key, customer_id, transaction_type, ~amount, @transaction_date,
+           @@transaction_timestamp, merchant_name, merchant_category, location_city, location_state, is_weekend,
+           transaction_hour, is_online, is_fraud, transaction_sequence, ~running_total, days_since_last_transaction,
+           ~amount_vs_avg, is_high_value FROM fact""",
+    "fact",
+)
+
 ORACLES: dict[str, str] = {
     "clean_customers": _with(
         """SELECT customer_id, name, @date_of_birth, address, city, state, zip_code, phone, email, ~annual_income, job_title,
@@ -340,13 +348,8 @@ ORACLES: dict[str, str] = {
                customer_id) AS customer_key FROM dim""",
         "dim",
     ),
-    "fact_enriched": _with(
-        """SELECT transaction_id, customer_key, customer_id, transaction_type, ~amount, @transaction_date,
-               @@transaction_timestamp, merchant_name, merchant_category, location_city, location_state, is_weekend,
-               transaction_hour, is_online, is_fraud, transaction_sequence, ~running_total, days_since_last_transaction,
-               ~amount_vs_avg, is_high_value FROM fact""",
-        "fact",
-    ),
+    "fact_enriched": _FACT,
+    "fact_sliced": _FACT,
     "fact_incremental": _with(
         """SELECT transaction_id, customer_id, customer_key, transaction_sequence, ~running_total,
                days_since_last_transaction, ~amount_vs_avg, is_high_value FROM fact""",

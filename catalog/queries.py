@@ -12,6 +12,7 @@ from catalog.inputs import AS_OF, comparable
 from ledgerloom import schemas
 from ledgerloom.functions import dates, labels, text
 from ledgerloom.operators import merge, scaling
+from ledgerloom.operators.hot_keys import HotKeyPolicy
 from ledgerloom.operators.keys import fill_keys
 from ledgerloom.plans import products, profile, quality, scoring, staging, warehouse
 from ledgerloom.session import shared_folder
@@ -166,6 +167,15 @@ def fact_enriched(spark: SparkSession, folder: str) -> DataFrame:
     return comparable(fact)
 
 
+def fact_sliced(spark: SparkSession, folder: str) -> DataFrame:
+    """The same fact rows with limits so low that many customers are cut into slices."""
+    policy = HotKeyPolicy(min_rows=20, share=2_000)
+    fact = warehouse.fact_transactions(
+        inputs.transactions(spark, folder), keyed_customers(spark, folder), policy=policy
+    )
+    return comparable(fact)
+
+
 def _two_loads(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     """Fact rows stored by the first load, and those the second one adds."""
     store = new_store(spark)
@@ -401,6 +411,7 @@ QUERIES: dict[str, Query] = {
     "dim_customer": dim_customer,
     "surrogate_keys": surrogate_keys,
     "fact_enriched": fact_enriched,
+    "fact_sliced": fact_sliced,
     "fact_incremental": fact_incremental,
     "fact_new_rows": fact_new_rows,
     "fact_batch_restart": fact_batch_restart,

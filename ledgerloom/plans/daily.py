@@ -25,6 +25,12 @@ from ledgerloom.sources.tables import ANALYTICS, STAGING, WAREHOUSE, TableStore
 RUN_NAME = "daily_risk_run"
 SUCCESS, FAILED = "SUCCESS", "FAILED"
 OUT_OF_RANGE = "scores_out_of_range"
+# Tables of which every run writes a new version.
+REPLACED = [
+    (STAGING, "customers"), (STAGING, "transactions"), (STAGING, "credit_scores"), (STAGING, "transactions_new"),
+    (STAGING, "customer_profile"), (WAREHOUSE, "dim_customer"), (WAREHOUSE, "dim_credit"),
+    (ANALYTICS, "customer_profile"), (ANALYTICS, "pipeline_runs"),
+]
 UNIQUE_IDS = ["duplicate_customer_ids", "duplicate_transaction_ids"]
 # Columns without which a row cannot be stored; other required columns only cause a warning when empty.
 NOT_NULL = {
@@ -170,7 +176,7 @@ def score_customers(
         store.read(WAREHOUSE, "dim_customer"), store.read(WAREHOUSE, "dim_credit"), metrics
     )
     # written once and read back: scaling needs the statistics of all rows before the first row can be scored
-    unscored = store.replace(ANALYTICS, "customer_profile_unscored", wide)
+    unscored = store.replace(STAGING, "customer_profile", wide)
     scored = store.replace(ANALYTICS, "customer_profile", scoring.score_profile(unscored, at, ml_scaling))
     append_history(store, scoring.risk_snapshot(scored, as_of, at))
     return scored
@@ -237,12 +243,14 @@ def run_daily(
     stop_on: Sequence[str] = (quality.FAIL,),
     tolerate: Sequence[str] = (),
     ml_scaling: bool = True,
+    keep_versions: int | None = None,
 ) -> DataFrame:
     """The whole chain for one day; returns the risk distribution of the new profile.
 
     Staging is replaced before the checks run, so that the CSV files are read once and the checks scan
     columns; nothing reaches the warehouse when a check fails. Checks named in ``tolerate`` are reported only:
-    for instance scores out of range, whose rows are left out of staging. Reports are stored.
+    for instance scores out of range, whose rows are left out of staging. Reports are stored. With
+    ``keep_versions`` older versions of the replaced tables are deleted after a successful run.
     """
     as_of = as_of or dt.date.today()
     started = time.monotonic()
@@ -255,6 +263,8 @@ def run_daily(
         save_report(store, check_load(store), as_of)
         save_rules(store)
         record_run(store, as_of, SUCCESS, scored.count(), time.monotonic() - started)
+        for layer, table in REPLACED if keep_versions else []:
+            store.expire(layer, table, keep_versions)
     except Exception as error:
         record_run(store, as_of, FAILED, None, time.monotonic() - started, str(error)[:1000])
         raise

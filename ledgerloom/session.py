@@ -34,11 +34,11 @@ def shared_folder(spark: SparkSession) -> str:
 
     Only a local session, where every task runs on this machine, gets a temporary folder when none is set.
     """
-    folder = spark.conf.get(CHECKPOINT_DIR, None)
+    context = spark.sparkContext
+    folder = spark.conf.get(CHECKPOINT_DIR, None) or context.getCheckpointDir()
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="ledgerloom-")
-    spark.conf.set(CHECKPOINT_DIR, folder)
-    return folder
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="ledgerloom-"))
+    return context.getCheckpointDir()

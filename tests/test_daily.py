@@ -188,7 +188,8 @@ def test_two_days(spark, store, tmp_path):
     }
 
     # the second day once more: nothing is loaded twice, the run log keeps one row per day
-    daily.run_daily(store, second_day, AS_OF + dt.timedelta(days=1))
+    daily.run_daily(store, second_day, AS_OF + dt.timedelta(days=1), keep_versions=2)
+    assert store.versions(WAREHOUSE, "dim_customer") == [2, 3]
     assert daily.read_fact(store).count() == len(fact)
     runs = store.read(ANALYTICS, "pipeline_runs").collect()
     assert sorted((str(row.run_date), row.status, row.records_processed) for row in runs) == [
