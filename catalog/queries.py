@@ -170,10 +170,11 @@ def fact_enriched(spark: SparkSession, folder: str) -> DataFrame:
 def fact_sliced(spark: SparkSession, folder: str) -> DataFrame:
     """The same fact rows with limits so low that many customers are cut into slices."""
     policy = HotKeyPolicy(min_rows=20, share=2_000)
-    fact = warehouse.fact_transactions(
-        inputs.transactions(spark, folder), keyed_customers(spark, folder), policy=policy
-    )
-    return comparable(fact)
+    store = new_store(spark)
+    customers = keyed_customers(spark, folder).select("customer_id", "customer_key")
+    keys = store.replace(WAREHOUSE, "dim_customer", customers)
+    staged = store.replace(STAGING, "transactions", inputs.transactions(spark, folder))
+    return comparable(warehouse.fact_transactions(staged, keys, policy=policy))
 
 
 def _two_loads(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
