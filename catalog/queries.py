@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -15,7 +14,7 @@ from ledgerloom.operators import merge, scaling
 from ledgerloom.operators.hot_keys import HotKeyPolicy
 from ledgerloom.operators.keys import fill_keys
 from ledgerloom.plans import products, profile, quality, scoring, staging, warehouse
-from ledgerloom.session import shared_folder
+from ledgerloom.session import scratch_folder
 from ledgerloom.sources.tables import STAGING, WAREHOUSE, TableStore
 from ledgerloom.views import register_functions
 
@@ -27,7 +26,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def new_store(spark: SparkSession) -> TableStore:
     """Tables of one query that runs several loads."""
-    return TableStore(spark, f"{shared_folder(spark)}/ledgerloom-{uuid.uuid4().hex}")
+    return TableStore(spark, scratch_folder(spark))
 
 
 def keyed_customers(spark: SparkSession, folder: str) -> DataFrame:

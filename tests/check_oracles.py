@@ -78,7 +78,7 @@ def main() -> int:
     spark, connection = session(), connect(folder)
     spark.sparkContext.setLogLevel("ERROR")
     bad = 0
-    for name in sys.argv[2:] or entry_point.queries():
+    for name in sys.argv[2:] or entry_point.oracle_sql():
         started = time.time()
         try:
             difference = compare(spark, connection, folder, name)
@@ -86,7 +86,7 @@ def main() -> int:
             difference = f"{type(error).__name__}: {str(error)[:1500]}"
         bad += difference is not None
         print(f"{'ok  ' if difference is None else 'BAD '} {name} {time.time() - started:.2f}s {difference or ''}", flush=True)
-    print(f"{bad} of {len(sys.argv[2:] or entry_point.queries())} differ")
+    print(f"{bad} of {len(sys.argv[2:] or entry_point.oracle_sql())} differ")
     return bad
 
 
