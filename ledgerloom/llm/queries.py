@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerloom.llm import mixing, packing, simhash
+from ledgerloom.llm import embeddings, language, line_dedup, mixing, neighbours, packing, simhash, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,6 +22,29 @@ def vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op2_embeddings(spark: SparkSession, folder: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, folder, "embeddings"))
+
+
+def op3_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return neighbours.search(table(spark, folder, "embeddings"))
+
+
+def op4_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    rows = line_dedup.clean(table(spark, folder, "documents"), counted=True)
+    return rows.select("doc_id", "removed_lines", "text")
+
+
+def op5_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.round_trip(table(spark, folder, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "complete"
+    )
+
+
+def op6_language(spark: SparkSession, folder: str) -> DataFrame:
+    return language.identify(table(spark, folder, "documents"))
+
+
 def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
     rows = mixing.plan(table(spark, folder, "documents"))
     return rows.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
@@ -45,8 +68,18 @@ def op9_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
 
+def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.score(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 QUERIES: dict[str, Query] = {
+    "op2_embeddings": op2_embeddings,
+    "op3_neighbours": op3_neighbours,
+    "op4_line_dedup": op4_line_dedup,
+    "op5_warc": op5_warc,
+    "op6_language": op6_language,
     "op7_mixing": op7_mixing,
     "op8_packing": op8_packing,
     "op9_simhash": op9_simhash,
+    "op10_toxicity": op10_toxicity,
 }
