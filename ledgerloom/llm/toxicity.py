@@ -32,6 +32,7 @@ from ledgerloom.llm.common import Scratch
 
 FIT_ROWS = 24_000
 LEXICON_WORDS = 200
+LEAST_ODDS, LEAST_GAIN = 1.5, 25.0  # the gain that chance gives to one word in some millions
 FOLDS = 5
 CALIBRATION_FOLDS = 3
 TREES, DEPTH, STEP = 24, 4, 0.2
@@ -172,8 +173,13 @@ def learn_lexicon(sample: DataFrame, size: int = LEXICON_WORDS) -> dict[str, flo
         F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("good"),
     )
     odds = F.log((F.col("bad") + 0.5) / (toxic + 1)) - F.log((F.col("good") + 0.5) / (clean + 1))
-    words = words.where(F.col("bad") >= max(3, 0.005 * toxic)).withColumn("odds", odds).where("odds > 1.5")
-    best = words.orderBy(F.desc(F.col("odds") * F.col("bad")), "word").limit(size).collect()
+    # likelihood ratio of a word that keeps to toxic documents more than chance allows
+    both, share = F.col("bad") + F.col("good"), toxic / (toxic + clean)
+    gain = F.col("bad") * F.log(F.col("bad") / (both * share))
+    gain += F.when(F.col("good") > 0, F.col("good") * F.log(F.col("good") / (both * (1 - share)))).otherwise(0)
+    words = words.where("bad > 0").select("word", odds.alias("odds"), (2 * gain).alias("gain"))
+    words = words.where((F.col("odds") > LEAST_ODDS) & (F.col("gain") > LEAST_GAIN))
+    best = words.orderBy(F.desc("gain"), "word").limit(size).collect()
     return {row["word"]: float(row["odds"]) for row in best}
 
 
