@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerloom.llm import embeddings, language, line_dedup, mixing, neighbours, packing, simhash, toxicity, warc
+from ledgerloom.llm import embeddings, language, line_dedup, mixing, neighbours, packing, simhash, suffixes, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,6 +22,10 @@ def vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_suffixes(spark: SparkSession, folder: str) -> DataFrame:
+    return suffixes.repeated_spans(table(spark, folder, "documents"))
+
+
 def op2_embeddings(spark: SparkSession, folder: str) -> DataFrame:
     return embeddings.near_duplicates(table(spark, folder, "embeddings"))
 
@@ -73,6 +77,7 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_suffixes": op1_suffixes,
     "op2_embeddings": op2_embeddings,
     "op3_neighbours": op3_neighbours,
     "op4_line_dedup": op4_line_dedup,

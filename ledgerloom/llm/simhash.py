@@ -57,16 +57,20 @@ def fingerprint(text: bytes | None, words: int = SHINGLE_WORDS) -> int:
 
 
 def fingerprints(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
-    """(doc_id, fp): the fingerprint as a signed long."""
+    """(doc_id, text_a, text_b, fp): the id, two hashes of the text, and the fingerprint as a signed long."""
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [fingerprint(text.as_py(), words) for text in batch.column(1)]
+            found = [fingerprint(text.as_py(), words) for text in batch.column(3)]
             values = pa.array(np.array(found, np.uint64).view(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column(0), values], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], values], ["doc_id", "text_a", "text_b", "fp"])
 
-    rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("binary").alias("text"))
-    return rows.mapInArrow(hashed, "doc_id long, fp long")
+    rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), *_text_key(docs), docs["text"].cast("binary").alias("text"))
+    return rows.mapInArrow(hashed, "doc_id long, text_a long, text_b long, fp long")
+
+
+def _text_key(docs: DataFrame) -> list[Column]:
+    return [F.xxhash64(docs["text"]).alias("text_a"), F.xxhash64(docs["text"], F.lit("text")).alias("text_b")]
 
 
 def bit_statistics(prints: DataFrame) -> tuple[int, np.ndarray]:
@@ -220,15 +224,43 @@ def link(scratch: Scratch, prints: DataFrame, distance: int = MAX_DISTANCE) -> D
     return every.select("fp", F.coalesce("merged", "component").alias("component"))
 
 
-def near_duplicates(
-    docs: DataFrame, words: int = SHINGLE_WORDS, distance: int = MAX_DISTANCE
-) -> DataFrame:
-    """One row per row of ``docs``: doc_id, fingerprint (16 hex digits), component_id (smallest doc_id reachable)."""
-    scratch = Scratch(docs.sparkSession)
+def groups(scratch: Scratch, docs: DataFrame, words: int, distance: int) -> DataFrame:
+    """Every row's doc_id, text hashes, fingerprint, component (a fingerprint) and smallest doc_id in it."""
     prints = scratch.store(fingerprints(docs, words), "prints")
     distinct = scratch.store(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
     linked = scratch.store(link(scratch, distinct.select("fp"), distance), "linked")
     firsts = linked.join(distinct, "fp").groupBy("component").agg(F.min("first").alias("component_id"))
-    named = scratch.store(linked.join(firsts, "component").select("fp", "component_id"), "named")
+    named = scratch.store(linked.join(firsts, "component"), "named")
+    return prints.join(named, "fp")
+
+
+def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, distance: int = MAX_DISTANCE) -> DataFrame:
+    """One row per row of ``docs``: doc_id, fingerprint (16 hex digits), component_id (smallest doc_id reachable)."""
     digits = F.lower(F.lpad(F.hex("fp"), 16, "0"))
-    return prints.join(named, "fp").select("doc_id", digits.alias("fingerprint"), "component_id")
+    rows = groups(Scratch(docs.sparkSession), docs, words, distance)
+    return rows.select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
+def keep_one(docs: DataFrame, words: int = SHINGLE_WORDS, distance: int = MAX_DISTANCE) -> DataFrame:
+    """One row of ``docs`` for each group of near duplicates: the one with the smallest doc_id, nulls last.
+
+    Rows are found again by id and text. Only where several rows share both is one of them picked by a
+    grouped first; all others pass through a plain semi join.
+    """
+    scratch = Scratch(docs.sparkSession)
+    key = ["doc_id", "text_a", "text_b"]
+    rows = groups(scratch, docs, words, distance).groupBy("component", *key).agg(F.count("*").alias("rows"))
+    rows = rows.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), *key, "rows")).alias("kept"))
+    kept = scratch.store(rows.select("kept.*"), "kept")
+    single = scratch.store(kept.where("rows = 1").select(*key), "single")
+    several = scratch.store(kept.where("rows > 1").select(*key), "several")
+    whole = F.struct(*[docs[f"`{name}`"] for name in docs.columns]).alias("row")
+    keyed = docs.select(whole, docs["doc_id"].cast("long").alias("id"), *_text_key(docs))
+
+    def found(of: DataFrame) -> DataFrame:
+        of = of.select(F.col("doc_id").alias("of_id"), F.col("text_a").alias("of_a"), F.col("text_b").alias("of_b"))
+        same = F.col("id").eqNullSafe(F.col("of_id")) & (F.col("text_a") == F.col("of_a")) & (F.col("text_b") == F.col("of_b"))
+        return keyed.join(of, same, "left_semi")
+
+    again = found(several).groupBy("id", "text_a", "text_b").agg(F.first("row").alias("row"))
+    return found(single).select("row.*").unionByName(again.select("row.*"))
