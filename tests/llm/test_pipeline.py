@@ -1,0 +1,52 @@
+from __future__ import annotations
+
+import pytest
+
+import corpus_pipeline
+from ledgerloom.llm import line_dedup, mixing, queries, simhash, toxicity
+
+FOLDER = "/root/testdata/sf0.01"
+
+
+def test_stages_are_in_order():
+    assert [name for name, _ in corpus_pipeline.STAGES] == [
+        "toxicity", "line dedup", "SimHash near-dedup", "mixing sources to target weights", "best-fit packing"
+    ]
+
+
+@pytest.fixture(scope="module")
+def stages(spark, tmp_path_factory):
+    """Rows of every stage over a small table, each written and read again."""
+    path, rows = tmp_path_factory.mktemp("stages"), spark.read.parquet(f"{FOLDER}/documents.parquet")
+    found = [rows]
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        stage(spark, rows, FOLDER).write.parquet(f"{path}/{k}")
+        rows = spark.read.parquet(f"{path}/{k}")
+        found.append(rows)
+    return found
+
+
+def ids(rows):
+    return sorted(row["doc_id"] for row in rows.select("doc_id").collect())
+
+
+def test_every_stage_does_what_its_operator_says(spark, stages):
+    documents, clean, lines, single, mixed, packed = stages
+    for rows in (clean, lines, single, mixed):
+        assert rows.columns == documents.columns
+    labels = queries.table(spark, FOLDER, "labels")
+    rejected = {r["doc_id"] for r in toxicity.score(documents, labels).where("predicted = 1").collect()}
+    assert rejected and ids(clean) == [k for k in ids(documents) if k not in rejected]
+    want = {r["doc_id"]: r["text"] for r in line_dedup.clean(clean).collect()}
+    got = {r["doc_id"]: r for r in lines.collect()}
+    assert {k: row["text"] for k, row in got.items()} == want and all(len(r["text"]) == r["n_chars"] for r in got.values())
+    groups = {r["component_id"] for r in simhash.near_duplicates(lines).collect()}
+    assert ids(single) == sorted(groups) and len(groups) < len(want)
+    copies = {r["doc_id"]: r["copies"] for r in mixing.plan(single).collect()}
+    assert ids(mixed) == sorted(k for k, n in copies.items() for _ in range(n))
+    firsts = packed.where("piece = 0")
+    assert ids(firsts) == ids(mixed)
+
+
+def test_labels_are_read_from_the_folder(spark, stages):
+    assert stages[1].count() < stages[0].count()
