@@ -29,7 +29,7 @@ CAPACITY = 2048
 SEPARATOR = 0
 DEALT = 4_000  # pieces a partition packs
 MAX_ROUNDS = 8
-CACHED_WORDS = 400_000
+CACHED_WORDS = 120_000
 
 PIECES = "doc_id long, piece int, start long, length int, ids_crc32 long"
 PACKED = f"{PIECES}, sequence_id long, offset int, certified boolean, back boolean"
