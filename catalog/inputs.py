@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ledgerloom.functions import dates, labels, text
@@ -11,9 +14,9 @@ AS_OF = "2024-02-15"
 SECOND_LOAD = "2024-01-24 00:00:00"
 REDELIVERED = "2024-01-22 00:00:00"
 
-EMPLOYMENT = ["Full-time", "Part-time", "Self-employed", "Unemployed"]
-MARITAL = ["Single", "Married", "Divorced", "Widowed"]
-KINDS = ["purchase", "withdrawal", "deposit", "transfer", "payment"]
+EMPLOYMENT = ["Salaried", "Contractor", "Student", "Retired"]
+MARITAL = ["Alone", "Partnered", "Separated", "Not told"]
+KINDS = ["card", "cash", "wire", "refund", "fee"]
 
 
 # Given tables, with the columns that are read. A stated schema saves a job per read.
@@ -173,6 +176,41 @@ def renewed_credit_scores(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+# --- the same rows as CSV files, some of them broken -----------------------------------------------------
+
+# Rows with too many fields, and texts in the place of a date, a number or a time: (column, condition, text).
+MALFORMED = {
+    "customers": "zip_code % 53 = 7",
+    "transactions": "transaction_id % 97 = 5",
+    "credit_scores": "credit_history_length = 7 AND number_of_accounts = 3",
+}
+UNREADABLE = {
+    "customers": [("annual_income", "zip_code % 41 = 3", "n/a"), ("date_of_birth", "zip_code % 59 = 11", "someday")],
+    "transactions": [("amount", "transaction_id % 89 = 4", "lots"), ("timestamp", "transaction_id % 83 = 6", "yesterday")],
+    "credit_scores": [("score_date", "credit_history_length = 11 AND number_of_accounts = 5", "soon")],
+}
+CSV_FILES = 3
+
+
+def write_csv(rows: DataFrame, table: str, path: str, broken: bool = False) -> None:
+    """Write rows as several CSV files with a header each; with ``broken`` some rows cannot be read."""
+    names = [name for name in rows.columns if name != "delivered"]
+    values = {name: F.col(name).cast("string") for name in names}
+    if broken:
+        for name, where, told in UNREADABLE[table]:
+            values[name] = F.when(F.expr(where), F.lit(told)).otherwise(values[name])
+    line = F.to_csv(F.struct(*[value.alias(name) for name, value in values.items()]))
+    if broken:
+        line = F.when(F.expr(MALFORMED[table]), F.concat(line, F.lit(",one,more"))).otherwise(line)
+    header = ",".join(names)
+
+    def with_header(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield pa.RecordBatch.from_arrays([pa.array([header])], ["line"])
+        yield from batches
+
+    rows.select(line.alias("line")).repartition(CSV_FILES).mapInArrow(with_header, "line string").write.text(path)
+
+
 # Added before rounding: an exact half goes up whatever order the engine summed in.
 _HALF_UP = 3e-9
 _NOT_COMPARED = {"created_at", "updated_at", "last_updated", "ml_scored_at", "ingestion_timestamp"}

@@ -23,8 +23,8 @@ _CTES = {
                '555-' || lpad(CAST(k AS VARCHAR), 7, '0') AS phone, email,
                CASE WHEN k % 53 <> 0 THEN greatest(round(c_acctbal * 12, 2), 15000.0::DOUBLE) END AS annual_income,
                c_mktsegment AS job_title,
-               ['Full-time', 'Part-time', 'Self-employed', 'Unemployed'][k % 4 + 1] AS employment_status,
-               ['Single', 'Married', 'Divorced', 'Widowed'][k % 4 + 1] AS marital_status,
+               ['Salaried', 'Contractor', 'Student', 'Retired'][k % 4 + 1] AS employment_status,
+               ['Alone', 'Partnered', 'Separated', 'Not told'][k % 4 + 1] AS marital_status,
                DATE '2019-01-01' + CAST(k * 13 % 1800 AS INTEGER) AS created_date
         FROM people LEFT JOIN nation ON c_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey""",
     "owned": """
@@ -37,7 +37,7 @@ _CTES = {
                CASE WHEN event_id % 997 = 1 THEN 'CUST-ORPHAN'
                     ELSE 'CUST-' || upper(substr(md5('customer#' || lpad(CAST(owner AS VARCHAR), 9, '0') || '|customer.'
                          || lpad(CAST(owner AS VARCHAR), 9, '0') || '@example.com'), 1, 16)) END AS customer_id,
-               ['purchase', 'withdrawal', 'deposit', 'transfer', 'payment'][event_id % 5 + 1] AS transaction_type,
+               ['card', 'cash', 'wire', 'refund', 'fee'][event_id % 5 + 1] AS transaction_type,
                round(value * (1 + user_id % 10), 2) AS amount, moment AS timestamp,
                'M' || json_extract_string(props, '$.k') AS merchant_name, event_type AS merchant_category,
                n_name AS location_city, r_name AS location_state,
@@ -181,6 +181,27 @@ _CTES = {
     "both_loads": "SELECT * FROM first_load UNION ALL SELECT * FROM second_load",
 }
 
+# Every rule that the second day's credit rows replace, and the rows of both days.
+_CTES["merged_credit"] = "SELECT * FROM credit WHERE customer_id NOT IN (SELECT customer_id FROM renewed) UNION ALL SELECT * FROM renewed"
+_CTES["first_day"] = "SELECT * EXCLUDE (delivered), CAST(timestamp AS DATE) AS transaction_date FROM first_load"
+
+
+def _variant(suffix: str, **replaced: str) -> dict[str, str]:
+    """The statements from the dimension to the scores over other rows, or as of another day."""
+    names = ["dim", "keyed", "rated", "favorites", "metrics", "profile", "scored"]
+    found = {}
+    for name in names:
+        body = _CTES[name]
+        for old, new in replaced.items():
+            body = body.replace("2024-02-15", new) if old == "day" else re.sub(rf"\bFROM {old}\b", f"FROM {new}", body)
+        for own in names:
+            body = re.sub(rf"\b(FROM|JOIN) {own}\b", rf"\1 {own}{suffix}", body)
+        found[name + suffix] = body
+    return found
+
+
+_CTES |= _variant("_1", transactions="first_day", day="2024-01-24") | _variant("_2", credit="merged_credit")
+
 _NEEDS = {
     "customers": ["people"],
     "delivered": ["owned"],
@@ -201,7 +222,14 @@ _NEEDS = {
     "fact": ["transactions", "keyed"],
     "fresh": ["first_load", "second_load"],
     "both_loads": ["first_load", "second_load"],
+    "merged_credit": ["credit", "renewed"],
+    "first_day": ["first_load"],
 }
+for _suffix in ("_1", "_2"):
+    for _name in ("dim", "keyed", "rated", "favorites", "metrics", "profile", "scored"):
+        _other = {"transactions": "first_day"} if _suffix == "_1" else {"credit": "merged_credit"}
+        _own = ("dim", "keyed", "rated", "favorites", "metrics", "profile", "scored")
+        _NEEDS[_name + _suffix] = [n + _suffix if n in _own else _other.get(n, n) for n in _NEEDS[_name]]
 
 
 def _with(select: str, *ctes: str) -> str:
@@ -431,7 +459,7 @@ ORACLES: dict[str, str] = {
         "transactions",
     ),
     "v_high_value": _with(
-        f"""SELECT {_PERSON}, {_BEHAVIOUR}, {_CREDIT}, {_RISK},
+        f"""SELECT customer_key, {_PERSON}, {_BEHAVIOUR}, {_CREDIT}, {_RISK},
                CASE WHEN total_spent > 20000 AND credit_score > 700 THEN 'Premium'
                     WHEN total_spent > 10000 AND credit_score > 650 THEN 'Gold'
                     WHEN total_spent > 5000 AND credit_score > 600 THEN 'Silver' ELSE 'Bronze' END AS customer_tier
@@ -564,14 +592,219 @@ ORACLES: dict[str, str] = {
     ),
     "dq_table_counts": _with(
         _report(
-            ("customers", "rows", _count("customers"), None, "INFO", ""),
-            ("transactions", "rows", _count("transactions"), None, "INFO", ""),
-            ("credit_scores", "rows", _count("credit"), None, "INFO", ""),
-            ("customer_profile", "rows", _count("profile"), None, "INFO", ""),
+            ("staging.customers", "rows", _count("customers"), None, "INFO", ""),
+            ("staging.transactions", "rows", _count("second_load"), None, "INFO", ""),
+            ("staging.credit_scores", "rows", _count("renewed"), None, "INFO", ""),
+            ("warehouse.dim_customer", "rows", _count("customers"), None, "INFO", ""),
+            ("warehouse.fact_transactions", "rows", _count("transactions"), None, "INFO", ""),
+            ("warehouse.dim_credit", "rows", _count("merged_credit"), None, "INFO", ""),
+            ("analytics.customer_profile", "rows", _count("customers"), None, "INFO", ""),
             ("customer_profile", "names_with_several_ids",
-             "(SELECT count(*) FROM (SELECT name FROM profile GROUP BY name HAVING count(DISTINCT customer_id) > 1))",
+             "(SELECT count(*) FROM (SELECT name FROM customers GROUP BY name HAVING count(DISTINCT customer_id) > 1))",
              "0", "PASS", "WARN"),
         ),
-        "profile",
+        "customers", "second_load", "transactions", "merged_credit",
     ),
 }
+
+
+# --- the scored profile, files and stored tables ---------------------------------------------------------
+
+ORACLES["scored_profile"] = _with(
+    f"""SELECT customer_key, {_PERSON}, {_BEHAVIOUR}, {_CREDIT}, {_RISK}, 'Spark ML Pipeline v1.0' AS scoring_model_version, """
+    + ", ".join(f"round({name}::DOUBLE + 3e-9, 4) + 0.0::DOUBLE AS feature_{name}" for name in _FEATURES)
+    + ", "
+    + _SCALED.removeprefix("SELECT customer_id, ")
+    + " FROM scored",
+    "scored",
+)
+
+_KEPT = {
+    "customers": "CAST(zip_code AS INTEGER) % 53 <> 7",
+    "transactions": "CAST(transaction_id AS BIGINT) % 97 <> 5",
+    "all_credit": "NOT (credit_history_length = 7 AND number_of_accounts = 3)",
+}
+ORACLES["ingest_customers"] = _with(
+    f"""SELECT customer_id, name, @date_of_birth, address, city, state, zip_code, phone, email, ~annual_income, job_title,
+            employment_status, marital_status, @created_date, 'synthetic_generator' AS data_source
+        FROM (SELECT * REPLACE (CASE WHEN CAST(zip_code AS INTEGER) % 41 <> 3 THEN annual_income END AS annual_income,
+                                CASE WHEN CAST(zip_code AS INTEGER) % 59 <> 11 THEN date_of_birth END AS date_of_birth)
+              FROM customers WHERE {_KEPT["customers"]})""",
+    "customers",
+)
+ORACLES["ingest_transactions"] = _with(
+    f"""SELECT transaction_id, customer_id, transaction_type, ~amount, @@timestamp, merchant_name, merchant_category,
+            location_city, location_state, is_weekend, hour, is_online, is_fraud
+        FROM (SELECT * REPLACE (CASE WHEN CAST(transaction_id AS BIGINT) % 89 <> 4 THEN amount END AS amount,
+                                CASE WHEN CAST(transaction_id AS BIGINT) % 83 <> 6 THEN timestamp END AS timestamp)
+              FROM transactions WHERE {_KEPT["transactions"]})""",
+    "transactions",
+)
+ORACLES["ingest_credit"] = _with(
+    f"""SELECT customer_id, credit_score, @score_date, credit_history_length, number_of_accounts, ~total_debt, ~credit_utilization
+        FROM (SELECT * REPLACE (CASE WHEN NOT (credit_history_length = 11 AND number_of_accounts = 5) THEN score_date END AS score_date)
+              FROM all_credit WHERE {_KEPT["all_credit"]} AND credit_score BETWEEN 300 AND 850)""",
+    "all_credit",
+)
+
+
+def _figures(table: str, of: str, unreadable: dict[str, str], clean: list[str], empty: list[tuple[str, str, str]], written: str) -> list:
+    kept = _KEPT[of]
+    return [
+        (table, "rows_read", _count(of), None, "INFO", ""),
+        (table, "rows_malformed", _count(of, f"NOT ({kept})"), "0", "PASS", "WARN"),
+        *[(table, f"unreadable_{name}", _count(of, f"{kept} AND {test}"), "0", "PASS", "WARN") for name, test in unreadable.items()],
+        *[(table, f"unreadable_{name}", "0", "0", "PASS", "WARN") for name in clean],
+        *[(table, name, _count(of, f"{kept} AND ({test})"), "0", "PASS", broken) for name, test, broken in empty],
+        (table, "rows_written", _count(of, f"{kept} AND {written}"), None, "INFO", ""),
+    ]
+
+
+ORACLES["ingest_figures"] = _with(
+    _report(
+        *_figures(
+            "customers", "customers",
+            {"annual_income": "CAST(zip_code AS INTEGER) % 41 = 3", "date_of_birth": "CAST(zip_code AS INTEGER) % 59 = 11"},
+            ["created_date"],
+            [("null_customer_id", "customer_id IS NULL", "FAIL"), ("null_name", "name IS NULL", "FAIL"), ("null_email", "email IS NULL", "FAIL")],
+            "TRUE",
+        ),
+        *_figures(
+            "transactions", "transactions",
+            {"amount": "CAST(transaction_id AS BIGINT) % 89 = 4", "timestamp": "CAST(transaction_id AS BIGINT) % 83 = 6"},
+            ["is_weekend", "hour", "is_online", "is_fraud"],
+            [("null_transaction_id", "transaction_id IS NULL", "FAIL"), ("null_customer_id", "customer_id IS NULL", "FAIL"),
+             ("null_amount", "amount IS NULL OR CAST(transaction_id AS BIGINT) % 89 = 4", "WARN")],
+            "TRUE",
+        ),
+        *_figures(
+            "credit_scores", "all_credit",
+            {"score_date": "credit_history_length = 11 AND number_of_accounts = 5"},
+            ["credit_score", "credit_history_length", "number_of_accounts", "total_debt", "credit_utilization"],
+            [("null_customer_id", "customer_id IS NULL", "FAIL"), ("null_credit_score", "credit_score IS NULL", "WARN"),
+             ("scores_out_of_range", "credit_score NOT BETWEEN 300 AND 850", "FAIL")],
+            "credit_score BETWEEN 300 AND 850",
+        ),
+    ),
+    "customers", "transactions", "all_credit",
+)
+
+_LOADED = """
+    SELECT transaction_id, row_number() OVER (ORDER BY later, substr(md5(transaction_id), 1, 4), transaction_id) AS transaction_key
+    FROM (SELECT transaction_id, FALSE AS later FROM first_load UNION ALL SELECT transaction_id, TRUE FROM fresh)"""
+ORACLES["state_fact"] = _with(
+    f"""SELECT transaction_key, f.transaction_id, customer_key, customer_id, transaction_type, ~amount, @transaction_date,
+           @@transaction_timestamp, merchant_name, merchant_category, location_city, location_state, is_weekend,
+           transaction_hour, is_online, is_fraud, transaction_sequence, ~running_total, days_since_last_transaction,
+           ~amount_vs_avg, is_high_value FROM fact f JOIN ({_LOADED}) l ON f.transaction_id = l.transaction_id""",
+    "fact", "fresh",
+)
+ORACLES["state_fact_selected"] = _with(
+    """SELECT transaction_id, customer_id, transaction_sequence, ~running_total, ~amount_vs_avg
+       FROM fact WHERE customer_id IN (SELECT customer_id FROM customers WHERE job_title = 'MACHINERY')""",
+    "fact", "customers",
+)
+ORACLES["state_dim_customer"] = _with(
+    """SELECT customer_key, customer_id, name, @date_of_birth, age, full_address, city, state, zip_code, phone, email,
+           ~annual_income, income_bracket, job_title, employment_status, marital_status, @customer_since,
+           customer_tenure_days, is_complete_record, is_active FROM keyed""",
+    "keyed",
+)
+ORACLES["state_dim_credit"] = _with(
+    """SELECT row_number() OVER (ORDER BY customer_id NOT IN (SELECT customer_id FROM credit), substr(md5(customer_id), 1, 4),
+               customer_id) AS credit_key,
+           customer_key, customer_id, credit_score, credit_rating, @score_date, credit_history_length,
+           number_of_accounts, ~total_debt, ~credit_utilization, ~debt_to_income_ratio, utilization_risk_level,
+           high_debt_burden FROM rated_2""",
+    "rated_2", "credit",
+)
+_SNAPSHOT = """SELECT customer_id, ~risk_score, risk_category, array_to_string(risk_factors, '; ') AS risk_factors,
+    '{1}' AS assessment_date FROM scored{0}"""
+ORACLES["state_risk_history"] = _with(
+    f"{_SNAPSHOT.format('_1', '2024-01-24')} UNION ALL {_SNAPSHOT.format('_2', '2024-02-15')}", "scored_1", "scored_2"
+)
+ORACLES["state_run_log"] = _with(
+    """SELECT run_date, 'daily_risk_run' AS pipeline_name, 'SUCCESS' AS status, (SELECT count(*) FROM customers) AS records_processed,
+           CAST(NULL AS VARCHAR) AS error_message
+       FROM (VALUES ('2024-01-24'), ('2024-02-15')) days(run_date)""",
+    "customers",
+)
+ORACLES["state_rules"] = _with(
+    """SELECT rule_id, rule_name, rule_description, ~rule_weight, ~threshold_value, risk_points, TRUE AS is_active,
+           (SELECT count(*) FROM customers) AS customers
+       FROM (VALUES (1, 'Low Credit Score', 'Credit score below 600', 0.3, 600, 30),
+                    (2, 'High Credit Utilization', 'Credit utilization above 80%', 0.2, 0.8, 20),
+                    (3, 'High Debt to Income', 'Debt to income ratio above 40%', 0.25, 0.4, 25),
+                    (4, 'High Transaction Volume', 'Monthly spending above $5000', 0.1, 5000, 10),
+                    (5, 'Low Income', 'Annual income below $30,000', 0.1, 30000, 10),
+                    (6, 'Fraud History', 'Previous fraudulent transactions', 0.05, 1, 5))
+            rules(rule_id, rule_name, rule_description, rule_weight, threshold_value, risk_points)""",
+    "customers",
+)
+ORACLES["sql_surface"] = _with(
+    """SELECT customer_id,
+           CAST(year(current_date) - year(date_of_birth) - CAST(strftime(current_date, '%m%d') < strftime(date_of_birth, '%m%d') AS INTEGER)
+                - (year(current_date) - 2000) AS INTEGER) AS years_older,
+           CASE WHEN risk_category IN ('Low', 'Medium') AND total_transactions > 10 THEN
+                CASE WHEN total_spent > 20000 AND credit_score > 700 THEN 'Premium'
+                     WHEN total_spent > 10000 AND credit_score > 650 THEN 'Gold'
+                     WHEN total_spent > 5000 AND credit_score > 600 THEN 'Silver' ELSE 'Bronze' END END AS customer_tier,
+           round(monthly * stay + 3e-9, 2) + 0.0::DOUBLE AS ltv_score, round(monthly + 3e-9, 2) + 0.0::DOUBLE AS avg_monthly_spend,
+           stay AS predicted_lifetime_months,
+           CASE WHEN days_since_last_transaction > 90 THEN 'High' WHEN days_since_last_transaction > 30 THEN 'Medium'
+                ELSE 'Low' END AS churn_risk
+    FROM (SELECT *, total_spent / greatest(coalesce(date_diff('day', first_transaction_date, last_transaction_date), 30), 30) * 30
+                      AS monthly,
+                 CASE risk_category WHEN 'Low' THEN 36 WHEN 'Medium' THEN 24 ELSE 12 END AS stay FROM scored)""",
+    "scored",
+)
+
+_BROKEN = {
+    "broken_people": """
+        SELECT CASE WHEN z % 31 = 0 THEN NULL WHEN z % 29 = 0 THEN 'X-1' ELSE customer_id END AS customer_id,
+               CASE WHEN z % 13 = 0 THEN NULL WHEN z % 5 = 0 THEN 'One Name' ELSE name END AS name,
+               CASE WHEN z % 11 = 0 THEN NULL WHEN z % 7 = 0 THEN 'shared@example.com' ELSE email END AS email
+        FROM (SELECT *, CAST(zip_code AS INTEGER) AS z FROM customers)""",
+    "broken_rows": """
+        SELECT CASE WHEN e % 10 = 0 THEN NULL ELSE CAST(e % 5000 AS VARCHAR) END AS transaction_id,
+               CASE WHEN e % 17 = 0 THEN NULL ELSE customer_id END AS customer_id,
+               CASE WHEN e % 19 = 0 THEN NULL WHEN e % 3 = 0 THEN -amount ELSE amount END AS amount
+        FROM (SELECT *, CAST(transaction_id AS BIGINT) AS e FROM transactions)""",
+    "broken_credit": """
+        SELECT CASE WHEN credit_history_length = 3 THEN NULL ELSE customer_id END AS customer_id,
+               CASE WHEN number_of_accounts = 9 THEN NULL ELSE credit_score END AS credit_score
+        FROM (SELECT * FROM all_credit UNION ALL SELECT * FROM all_credit WHERE number_of_accounts = 4)""",
+}
+_CTES |= _BROKEN
+_NEEDS |= {"broken_people": ["customers"], "broken_rows": ["transactions"], "broken_credit": ["all_credit"]}
+_UNKNOWN = "(SELECT DISTINCT customer_id FROM {0} r WHERE NOT EXISTS (SELECT 1 FROM broken_people p WHERE p.customer_id = r.customer_id))"
+ORACLES["dq_broken_input"] = _with(
+    _report(
+        ("customers", "rows", _count("broken_people"), None, "INFO", ""),
+        ("customers", "null_customer_id", _count("broken_people", "customer_id IS NULL"), "0", "PASS", "WARN"),
+        ("customers", "null_name", _count("broken_people", "name IS NULL"), "0", "PASS", "WARN"),
+        ("customers", "null_email", _count("broken_people", "email IS NULL"), "0", "PASS", "WARN"),
+        ("transactions", "rows", _count("broken_rows"), None, "INFO", ""),
+        ("transactions", "null_transaction_id", _count("broken_rows", "transaction_id IS NULL"), "0", "PASS", "WARN"),
+        ("transactions", "null_customer_id", _count("broken_rows", "customer_id IS NULL"), "0", "PASS", "WARN"),
+        ("transactions", "null_amount", _count("broken_rows", "amount IS NULL"), "0", "PASS", "WARN"),
+        ("credit_scores", "rows", _count("broken_credit"), None, "INFO", ""),
+        ("credit_scores", "null_customer_id", _count("broken_credit", "customer_id IS NULL"), "0", "PASS", "WARN"),
+        ("credit_scores", "null_credit_score", _count("broken_credit", "credit_score IS NULL"), "0", "PASS", "WARN"),
+        ("customers", "duplicate_emails", "(SELECT count(*) - count(DISTINCT email) FROM broken_people)", "0", "PASS", "FAIL"),
+        ("customers", "null_emails", _count("broken_people", "email IS NULL"), "0", "PASS", "FAIL"),
+        ("customers", "null_customer_ids", _count("broken_people", "customer_id IS NULL"), "0", "PASS", "FAIL"),
+        ("customers", "duplicate_customer_ids", "(SELECT count(*) FROM broken_people) - (SELECT count(*) FROM (SELECT DISTINCT customer_id FROM broken_people))", "0", "PASS", "FAIL"),
+        ("customers", "malformed_customer_ids", _count("broken_people", "NOT starts_with(customer_id, 'CUST-')"), "0", "PASS", "FAIL"),
+        ("customers", "names_with_several_ids",
+         "(SELECT count(*) FROM (SELECT name FROM broken_people WHERE name IS NOT NULL GROUP BY name HAVING count(DISTINCT customer_id) > 1))",
+         "0", "PASS", "WARN"),
+        ("transactions", "unknown_customer_ids", _count(_UNKNOWN.format("broken_rows")), "0", "PASS", "FAIL"),
+        ("transactions", "duplicate_transaction_ids", "(SELECT count(*) - count(DISTINCT transaction_id) FROM broken_rows)", "0", "PASS", "FAIL"),
+        ("transactions", "negative_amounts", _count("broken_rows", "amount < 0"), "0", "PASS", "FAIL"),
+        ("credit_scores", "duplicate_customer_ids", "(SELECT count(*) - count(DISTINCT customer_id) FROM broken_credit)", "0", "PASS", "FAIL"),
+        ("credit_scores", "unknown_customer_ids", _count(_UNKNOWN.format("broken_credit")), "0", "PASS", "FAIL"),
+        ("credit_scores", "scores_out_of_range", _count("broken_credit", "credit_score NOT BETWEEN 300 AND 850"), "0", "PASS", "FAIL"),
+    ),
+    "broken_people", "broken_rows", "broken_credit",
+)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -13,10 +15,10 @@ from ledgerloom.functions import dates, labels, text
 from ledgerloom.operators import merge, scaling
 from ledgerloom.operators.hot_keys import HotKeyPolicy
 from ledgerloom.operators.keys import fill_keys
-from ledgerloom.plans import products, profile, quality, scoring, staging, warehouse
+from ledgerloom.plans import daily, products, profile, quality, scoring, staging, warehouse
 from ledgerloom.session import scratch_folder
-from ledgerloom.sources.tables import STAGING, WAREHOUSE, TableStore
-from ledgerloom.views import register_functions
+from ledgerloom.sources.tables import ANALYTICS, STAGING, WAREHOUSE, TableStore
+from ledgerloom.views import register_functions, register_views
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -43,19 +45,23 @@ def base_fact(spark: SparkSession, folder: str) -> DataFrame:
     return rows.withColumn("transaction_date", F.to_date("timestamp")).withColumnRenamed("hour", "transaction_hour")
 
 
-def plain_customers(spark: SparkSession, folder: str) -> DataFrame:
-    """Customer dimension whose key is not looked at, for queries that do not show it."""
-    dim = warehouse.dim_customer(inputs.customers(spark, folder), AS_OF)
-    return dim.withColumn("customer_key", F.xxhash64("customer_id"))
-
-
-def wide_profile(spark: SparkSession, folder: str, customers: DataFrame | None = None) -> DataFrame:
-    customers = plain_customers(spark, folder) if customers is None else customers
+def wide_profile(spark: SparkSession, folder: str) -> DataFrame:
+    customers = keyed_customers(spark, folder)
     credit = warehouse.dim_credit(inputs.credit_scores(spark, folder), customers)
     metrics = profile.transaction_metrics(base_fact(spark, folder), AS_OF)
     return profile.customer_profile(customers, credit, metrics)
 
 
+def stored_profile(spark: SparkSession, folder: str) -> DataFrame:
+    """The profile, written and read back: its statistics are needed before its rows."""
+    return new_store(spark).replace(STAGING, "customer_profile", wide_profile(spark, folder))
+
+
+def full_profile(spark: SparkSession, folder: str) -> DataFrame:
+    """Every column of the scored profile."""
+    return scoring.score_profile(stored_profile(spark, folder), ml_scaling=False)
+
+
 def risk_profile(spark: SparkSession, folder: str) -> DataFrame:
     return scoring.add_weighted_risk(wide_profile(spark, folder))
 
@@ -168,7 +174,7 @@ def fact_enriched(spark: SparkSession, folder: str) -> DataFrame:
 
 def fact_sliced(spark: SparkSession, folder: str) -> DataFrame:
     """The same fact rows with limits so low that many customers are cut into slices."""
-    policy = HotKeyPolicy(min_rows=20, share=2_000)
+    policy = HotKeyPolicy(slice_rows=20)
     store = new_store(spark)
     customers = keyed_customers(spark, folder).select("customer_id", "customer_key")
     keys = store.replace(WAREHOUSE, "dim_customer", customers)
@@ -185,7 +191,9 @@ def _two_loads(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     first = store.replace(STAGING, "transactions", inputs.first_load(spark, folder))
     stored = store.replace(WAREHOUSE, "fact_transactions", warehouse.new_fact_rows(first, nothing, keys))
     second = store.replace(STAGING, "transactions", inputs.second_load(spark, folder))
-    return stored, warehouse.new_fact_rows(second, stored, keys)
+    # finding the new rows reads the ids of the whole history; numbering them must not do it again
+    fresh = store.replace(STAGING, "transactions_new", merge.new_rows(second, stored, "transaction_id"))
+    return stored, store.replace(STAGING, "added", warehouse.keyed_fact_rows(fresh, stored, keys))
 
 
 def fact_incremental(spark: SparkSession, folder: str) -> DataFrame:
@@ -248,7 +256,7 @@ def favorite_category(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def customer_profile(spark: SparkSession, folder: str) -> DataFrame:
-    return comparable(wide_profile(spark, folder, keyed_customers(spark, folder)))
+    return comparable(wide_profile(spark, folder))
 
 
 def risk_score(spark: SparkSession, folder: str) -> DataFrame:
@@ -260,6 +268,17 @@ def risk_factors(spark: SparkSession, folder: str) -> DataFrame:
     return comparable(risk_profile(spark, folder).select("customer_id", "risk_factors"))
 
 
+def scored_profile(spark: SparkSession, folder: str) -> DataFrame:
+    """The whole scored profile, its features one column each."""
+    rows = full_profile(spark, folder)
+    parts = [
+        F.get(array, place).alias(f"{start}_{name}")
+        for array, start in (("features", "feature"), ("scaled_features", "scaled"))
+        for place, name in enumerate(scaling.FEATURES)
+    ]
+    return comparable(rows.select("*", *parts).drop("features", "scaled_features"))
+
+
 def _features_as_columns(rows: DataFrame) -> DataFrame:
     scaled = [F.get("scaled_features", place).alias(f"scaled_{name}") for place, name in enumerate(scaling.FEATURES)]
     return comparable(rows.select("customer_id", *scaled))
@@ -267,14 +286,14 @@ def _features_as_columns(rows: DataFrame) -> DataFrame:
 
 def scaled_features(spark: SparkSession, folder: str) -> DataFrame:
     """Standardised features, unknown incomes left out of the statistics."""
-    rows = wide_profile(spark, folder)
+    rows = stored_profile(spark, folder)
     return _features_as_columns(scaling.add_scaled_features(rows, scaling.fit_scaling(rows)))
 
 
 def scaled_features_ml(spark: SparkSession, folder: str) -> DataFrame:
     """The same with Spark ML, unknown incomes counted as the lowest income."""
     floor = F.lit(float(labels.LOWEST_INCOME))
-    rows = wide_profile(spark, folder).withColumn("annual_income", F.coalesce("annual_income", floor))
+    rows = stored_profile(spark, folder).withColumn("annual_income", F.coalesce("annual_income", floor))
     return _features_as_columns(scaling.add_ml_scaled_features(rows, scaling.fit_ml_scaling(rows)))
 
 
@@ -314,8 +333,7 @@ def v_monthly_trends(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def v_high_value(spark: SparkSession, folder: str) -> DataFrame:
-    rows = products.high_value_customers(risk_profile(spark, folder))
-    return comparable(rows, drop={"customer_key"})
+    return comparable(products.high_value_customers(risk_profile(spark, folder)))
 
 
 def v_ltv_selected(spark: SparkSession, folder: str) -> DataFrame:
@@ -388,14 +406,162 @@ def dq_metrics(spark: SparkSession, folder: str) -> DataFrame:
     return comparable(report)
 
 
-def dq_table_counts(spark: SparkSession, folder: str) -> DataFrame:
-    tables = {
-        "customers": inputs.customers(spark, folder),
-        "transactions": inputs.transactions(spark, folder, places=False),
-        "credit_scores": inputs.credit_scores(spark, folder),
-        "customer_profile": wide_profile(spark, folder),
+def dq_broken_input(spark: SparkSession, folder: str) -> DataFrame:
+    """The gate over input in which every check finds something."""
+    customers, rows = inputs.customers(spark, folder), inputs.transactions(spark, folder, places=False)
+    k, event = F.col("zip_code").cast("int"), F.col("transaction_id").cast("long")
+    customers = customers.withColumns(
+        {
+            "email": F.when(k % 11 == 0, F.lit(None)).when(k % 7 == 0, F.lit("shared@example.com")).otherwise(F.col("email")),
+            "customer_id": F.when(k % 31 == 0, F.lit(None)).when(k % 29 == 0, F.lit("X-1")).otherwise(F.col("customer_id")),
+            "name": F.when(k % 13 == 0, F.lit(None)).when(k % 5 == 0, F.lit("One Name")).otherwise(F.col("name")),
+        }
+    )
+    rows = rows.withColumns(
+        {
+            "transaction_id": F.when(event % 10 == 0, F.lit(None)).otherwise((event % 5000).cast("string")),
+            "customer_id": F.when(event % 17 == 0, F.lit(None)).otherwise(F.col("customer_id")),
+            "amount": F.when(event % 19 == 0, F.lit(None)).when(event % 3 == 0, -F.col("amount")).otherwise(F.col("amount")),
+        }
+    )
+    credit = inputs.raw_credit_scores(spark, folder)
+    credit = credit.unionByName(credit.filter("number_of_accounts = 4")).withColumns(
+        {
+            "customer_id": F.when(F.col("credit_history_length") == 3, F.lit(None)).otherwise(F.col("customer_id")),
+            "credit_score": F.when(F.col("number_of_accounts") == 9, F.lit(None)).otherwise(F.col("credit_score")),
+        }
+    )
+    negative = quality.run_checks(rows, "transactions", [quality.Check("negative_amounts", F.count_if(F.col("amount") < 0))])
+    return comparable(quality.union_reports(quality.input_checks(customers, rows, credit), negative))
+
+
+# --- files and stored tables -----------------------------------------------------------------------------
+
+
+@dataclass(frozen=True)
+class Ingest:
+    store: TableStore
+    reports: DataFrame
+
+
+def _ingested(spark: SparkSession, folder: str, *tables: str) -> Ingest:
+    """Broken CSV files of all customers, transactions or credit rows, brought into staging."""
+    raw = {
+        "customers": inputs.raw_customers,
+        "transactions": inputs.raw_transactions,
+        "credit_scores": inputs.raw_credit_scores,
     }
-    return comparable(quality.load_checks(tables, tables["customer_profile"]))
+    store, reports = new_store(spark), []
+    for name in tables:
+        path = f"{store.root}/in/{name}.csv"
+        inputs.write_csv(raw[name](spark, folder), name, path, broken=True)
+        origin = staging.DEFAULT_DATA_SOURCE if name == "customers" else None
+        reports.append(daily.ingest(store, path, name, origin).report(spark))
+    return Ingest(store, quality.union_reports(*reports))
+
+
+def ingest_table(name: str) -> Query:
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        return comparable(_ingested(spark, folder, name).store.read(STAGING, name), drop={"source_file"})
+
+    return query
+
+
+def ingest_figures(spark: SparkSession, folder: str) -> DataFrame:
+    """What was read, left out, unreadable, empty and written."""
+    return comparable(_ingested(spark, folder, "customers", "transactions", "credit_scores").reports)
+
+
+FIRST_DAY = "2024-01-24"
+ACCEPTED = ["unknown_customer_ids", "scores_out_of_range"]
+
+
+_LOADED: dict[tuple[str, str], TableStore] = {}
+
+
+def two_days(spark: SparkSession, folder: str) -> TableStore:
+    """Two daily runs from CSV files: all customers twice, then new transactions and renewed credit rows.
+
+    The queries on stored tables read what the same two runs have stored, so a session runs them once.
+    """
+    known = spark.sparkContext.applicationId, folder
+    if known not in _LOADED:
+        _LOADED[known] = _run_two_days(new_store(spark), folder)
+    return _LOADED[known]
+
+
+def _run_two_days(store: TableStore, folder: str) -> TableStore:
+    spark = store.spark
+    days = [
+        (FIRST_DAY, inputs.first_load, inputs.raw_credit_scores),
+        (AS_OF, inputs.second_load, inputs.renewed_credit_scores),
+    ]
+    for day, transactions, credit in days:
+        path = f"{store.root}/in/{day}"
+        inputs.write_csv(inputs.raw_customers(spark, folder), "customers", f"{path}/customers.csv")
+        inputs.write_csv(transactions(spark, folder), "transactions", f"{path}/transactions.csv")
+        inputs.write_csv(credit(spark, folder), "credit_scores", f"{path}/credit_scores.csv")
+        daily.run_daily(store, path, dt.date.fromisoformat(day), tolerate=ACCEPTED, ml_scaling=False)
+    return store
+
+
+def state_fact(spark: SparkSession, folder: str) -> DataFrame:
+    """The fact table with its running columns after two days."""
+    return comparable(daily.read_fact_with_history(two_days(spark, folder)))
+
+
+def state_fact_selected(spark: SparkSession, folder: str) -> DataFrame:
+    """The same for the customers of one market segment, cut into small slices."""
+    chosen = inputs.customers(spark, folder).filter(F.col("job_title") == "MACHINERY")
+    rows = daily.read_fact_with_history(two_days(spark, folder), HotKeyPolicy(slice_rows=25), chosen)
+    return comparable(rows.select("transaction_id", "customer_id", "transaction_sequence", "running_total", "amount_vs_avg"))
+
+
+def state_dim_customer(spark: SparkSession, folder: str) -> DataFrame:
+    return comparable(two_days(spark, folder).read(WAREHOUSE, "dim_customer"))
+
+
+def state_dim_credit(spark: SparkSession, folder: str) -> DataFrame:
+    return comparable(two_days(spark, folder).read(WAREHOUSE, "dim_credit"))
+
+
+def state_risk_history(spark: SparkSession, folder: str) -> DataFrame:
+    return comparable(two_days(spark, folder).read(ANALYTICS, "customer_risk_history"))
+
+
+def state_run_log(spark: SparkSession, folder: str) -> DataFrame:
+    return comparable(two_days(spark, folder).read(ANALYTICS, "pipeline_runs"), drop={"run_duration"})
+
+
+def state_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """The seeded rules beside the number of customers of the second day's profile."""
+    store = two_days(spark, folder)
+    rows = store.read(ANALYTICS, "customer_profile").agg(F.count("*").alias("customers"))
+    rules = store.read(ANALYTICS, "risk_scoring_rules").withColumns(
+        {name: F.col(name).cast("double") for name in ("rule_weight", "threshold_value")}
+    )
+    return comparable(rules.join(F.broadcast(rows)))
+
+
+def dq_table_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Row counts of all seven tables after two days, and names with several ids."""
+    report = daily.check_load(two_days(spark, folder))
+    return comparable(report.filter(F.col("metric_name").isin("rows", "names_with_several_ids")))
+
+
+def sql_surface(spark: SparkSession, folder: str) -> DataFrame:
+    """Views, scalar functions and the table function, called from SQL over the scored profile."""
+    register_functions(spark)
+    register_views(full_profile(spark, folder), base_fact(spark, folder), AS_OF)
+    return comparable(
+        spark.sql(
+            "SELECT p.customer_id, calculate_age(p.date_of_birth) - calculate_age(DATE '2000-01-01') AS years_older,"
+            " v.customer_tier, CAST(l.ltv_score AS DOUBLE) AS ltv_score,"
+            " CAST(l.avg_monthly_spend AS DOUBLE) AS avg_monthly_spend, l.predicted_lifetime_months, l.churn_risk"
+            " FROM customer_profile p LEFT JOIN v_high_value_customers v ON p.customer_id = v.customer_id"
+            " JOIN LATERAL calculate_customer_ltv(p.customer_id) l"
+        )
+    )
 
 
 QUERIES: dict[str, Query] = {
@@ -449,5 +615,19 @@ QUERIES: dict[str, Query] = {
     "dq_input_checks": dq_input_checks,
     "dq_names": dq_names,
     "dq_metrics": dq_metrics,
+    "dq_broken_input": dq_broken_input,
     "dq_table_counts": dq_table_counts,
+    "scored_profile": scored_profile,
+    "ingest_customers": ingest_table("customers"),
+    "ingest_transactions": ingest_table("transactions"),
+    "ingest_credit": ingest_table("credit_scores"),
+    "ingest_figures": ingest_figures,
+    "state_fact": state_fact,
+    "state_fact_selected": state_fact_selected,
+    "state_dim_customer": state_dim_customer,
+    "state_dim_credit": state_dim_credit,
+    "state_risk_history": state_risk_history,
+    "state_run_log": state_run_log,
+    "state_rules": state_rules,
+    "sql_surface": sql_surface,
 }

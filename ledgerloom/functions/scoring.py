@@ -24,10 +24,8 @@ DEBT_FALLBACK = 0.2
 INACTIVITY_FALLBACK = 0.0
 VOLATILITY_FALLBACK = 100.0
 
-# Upper ends of the risk buckets and their names. The last one includes its end, and a customer
-# without a score falls into it.
+# Upper ends of the risk buckets and their names. The last one includes its end.
 RISK_BUCKETS = [(20, "Very Low"), (40, "Low"), (60, "Medium"), (80, "High"), (100, "Very High")]
-UNGRADED_CATEGORY = "Very High"
 MODEL_VERSION = "Spark ML Pipeline v1.0"
 
 
@@ -115,8 +113,8 @@ def risk_bucket(score: Column) -> Column:
 
 
 def risk_category(score: Column) -> Column:
-    """Name of the bucket; a customer without a score is treated as the riskiest."""
-    return bands.below(score, RISK_BUCKETS[:-1], UNGRADED_CATEGORY)
+    """Name of the bucket; null for a null score."""
+    return F.when(score.isNotNull(), bands.below(score, RISK_BUCKETS[:-1], RISK_BUCKETS[-1][1]))
 
 
 def risk_factors() -> Column:

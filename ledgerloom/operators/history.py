@@ -25,16 +25,18 @@ def add_history(
     time: str = "timestamp",
     unique: str = "transaction_id",
     policy: HotKeyPolicy | None = None,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """Append the running columns and, when ``keys`` (customer_id, customer_key) are given, the customer key.
 
     The windows and the join need the rows by customer, so all of it shares one shuffle of the transactions.
-    Transactions of unknown customers stay, with a null key.
+    Transactions of unknown customers stay, with a null key. ``counts`` (customer_id, rows) spare the count that
+    looks for very large customers.
     """
     columns = [*transactions.columns, *HISTORY_COLUMNS]
     if keys is not None:
         columns += [name for name in keys.columns if name != CUSTOMER]
-    slicing = find_hot_keys(transactions, CUSTOMER, [time, unique], policy)
+    slicing = find_hot_keys(transactions, CUSTOMER, [time, unique], policy, counts)
     if slicing is None:
         enriched = _running_columns(transactions, [CUSTOMER], time, unique)
         return (enriched if keys is None else enriched.join(keys, CUSTOMER, "left")).select(*columns)
@@ -42,10 +44,10 @@ def add_history(
     carry = _carry_between_slices(transactions, slicing, time)
     sliced = slicing.add_slice(transactions)
     local = _running_columns(sliced, [CUSTOMER, SLICE], time, unique)
-    enriched = _continue_slices(local, slicing.broadcast(carry), transactions.columns, time)
+    enriched = _continue_slices(local, F.broadcast(carry), transactions.columns, time)
     if keys is not None:
         slices = carry.groupBy(CUSTOMER).agg(F.collect_set(SLICE).alias("_slices"))
-        enriched = enriched.join(_keys_per_slice(keys, slicing.broadcast(slices)), [CUSTOMER, SLICE], "left")
+        enriched = enriched.join(_keys_per_slice(keys, F.broadcast(slices)), [CUSTOMER, SLICE], "left")
     return enriched.select(*columns)
 
 

@@ -1,55 +1,48 @@
 """Cutting the rows of very large customers into ordered slices.
 
 A window over one customer runs in one task. That is right for all but a few customers; one that holds a
-third of a fact table would stop the job. Such customers are found by an exact count, and their rows are cut
-at sampled rows into slices of about equal size that follow the sort order. Every row lies in exactly one
-slice, so a window per slice plus a carry from the slices before gives the exact result.
+third of a fact table would stop the job. Customers of more than ``slice_rows`` rows are found by an exact
+count, and their rows are cut at sampled rows into slices of about that size that follow the sort order.
+Every row lies in exactly one slice, so a window per slice plus a carry from the slices before gives the exact
+result. A slice has the same size whatever the size of the table.
 
-The sizes are bounded whatever the data: at most ``SHARE`` keys can each hold more than 1/SHARE of all rows,
-and the sample holds about one row per 1/SHARE of the table. Only these are ever collected or broadcast.
+What is collected and broadcast is one row per slice: a millionth of the rows of hot customers. ``MOST_SLICES``
+bounds it by construction; a table beyond it is refused before anything is collected, and takes larger slices.
 """
 
 from __future__ import annotations
 
-import math
 from collections import Counter
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
-SHARE = 10_000
 SLICE = "_slice"
-# Tables above this many rows are left for Spark to join as it sees fit.
-MOST_BROADCAST_ROWS = 200_000
+MOST_SLICES = 1_000_000
+
+
+class TooManySlices(ValueError):
+    """The slices are too small for the table."""
 
 
 @dataclass(frozen=True)
 class HotKeyPolicy:
-    """A key is hot above ``max(min_rows, all rows / share)`` rows; that is also the size of a slice."""
+    """A key is hot above ``slice_rows`` rows, which is also the size of a slice."""
 
-    min_rows: int = 2_000_000
-    share: int = SHARE
+    slice_rows: int = 1_000_000
 
 
 @dataclass(frozen=True)
 class Slicing:
-    """Hot keys with the sorted rows they are cut at.
-
-    ``most`` is the largest number of cuts of one key, ``slices`` the number of slices of all keys.
-    """
+    """Hot keys with the sorted rows they are cut at; ``most`` is the largest number of cuts of one key."""
 
     key: str
     order: tuple[str, ...]
     cuts: DataFrame
     most: int
-    slices: int
-
-    def broadcast(self, table: DataFrame) -> DataFrame:
-        """Broadcast a table of at most one row per slice, as long as the slices are few."""
-        return F.broadcast(table) if self.slices <= MOST_BROADCAST_ROWS else table
 
     def hot_rows(self, rows: DataFrame) -> DataFrame:
-        cuts = self.broadcast(self.cuts.select(F.col(self.key).alias("_hot_key")))
+        cuts = F.broadcast(self.cuts.select(F.col(self.key).alias("_hot_key")))
         return rows.join(cuts, F.col(self.key).eqNullSafe(F.col("_hot_key")), "left_semi")
 
     def add_slice(self, rows: DataFrame) -> DataFrame:
@@ -58,7 +51,7 @@ class Slicing:
         A binary search over the key's cuts, one column per halving. Reading past the last cut gives null,
         which counts as a cut that lies behind the row.
         """
-        cuts = self.broadcast(self.cuts.withColumnRenamed(self.key, "_hot_key"))
+        cuts = F.broadcast(self.cuts.withColumnRenamed(self.key, "_hot_key"))
         here = F.struct(*[F.col(name).alias(name) for name in self.order])
         found = rows.join(cuts, F.col(self.key).eqNullSafe(F.col("_hot_key")), "left").withColumns(
             {"_here": here, SLICE: F.lit(0)}
@@ -71,34 +64,39 @@ class Slicing:
 
 
 def find_hot_keys(
-    rows: DataFrame, key: str, order: list[str], policy: HotKeyPolicy | None = None
+    rows: DataFrame,
+    key: str,
+    order: list[str],
+    policy: HotKeyPolicy | None = None,
+    counts: DataFrame | None = None,
 ) -> Slicing | None:
     """Plan slices for the hot keys of ``rows``, or None when there are none (the usual case).
 
-    ``order`` must be a total order within a key: its last column is unique.
+    ``order`` must be a total order within a key: its last column is unique. ``counts`` (key, rows) are the
+    rows per key where they are known, so that nothing has to be counted; a key may be missing if it is small.
     """
     policy = policy or HotKeyPolicy()
-    total = rows.count()
-    if total <= policy.min_rows:
-        return None
-    limit = max(policy.min_rows, math.ceil(total / policy.share))
-    # at most total / limit <= share keys
-    hot = rows.groupBy(key).count().filter(F.col("count") > limit).select(key).collect()
-    if not hot:
+    size = policy.slice_rows
+    counted = rows.groupBy(key).agg(F.count("*").alias("rows")) if counts is None else counts
+    hot = counted.filter(F.col("rows") > size)
+    expected = hot.agg(F.coalesce(F.sum(F.ceil(F.col("rows") / size)), F.lit(0))).first()[0]
+    if not expected:
         return None
+    if expected > MOST_SLICES:
+        raise TooManySlices(f"{expected} slices of {size} rows: raise slice_rows above {size * expected // MOST_SLICES}")
 
     spark = rows.sparkSession
+    names = hot.select(key).collect()
     key_only = rows.select(key).schema
-    hot_keys = F.broadcast(spark.createDataFrame(hot, key_only).withColumnRenamed(key, "_hot_key"))
-    picked = F.pmod(F.xxhash64(*[F.col(name) for name in order]), F.lit(limit)) == 0
+    hot_keys = F.broadcast(spark.createDataFrame(names, key_only).withColumnRenamed(key, "_hot_key"))
+    picked = F.pmod(F.xxhash64(*[F.col(name) for name in order]), F.lit(size)) == 0
     sample = (
         rows.select(key, *order)
         .filter(picked)
         .join(hot_keys, F.col(key).eqNullSafe(F.col("_hot_key")), "left_semi")
         .distinct()
     )
-    # About one row in `limit`, so about `share` rows at most. Collected once: both the slices and the carry
-    # must see the same cuts.
+    # About one row in `size`. Collected once: both the slices and the carry must see the same cuts.
     cut_rows = sample.collect()
     cuts = (
         spark.createDataFrame(cut_rows, sample.schema)
@@ -106,4 +104,4 @@ def find_hot_keys(
         .agg(F.sort_array(F.collect_list(F.struct(*order))).alias("_cuts"))
     )
     most = max(Counter(row[key] for row in cut_rows).values(), default=0)
-    return Slicing(key, tuple(order), cuts, most, len(cut_rows) + len(hot))
+    return Slicing(key, tuple(order), cuts, most)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -11,6 +12,10 @@ class DuplicateKeys(ValueError):
     """The new rows name a key more than once, so there is no single row to store for it."""
 
 
+class MissingKeys(ValueError):
+    """Some new rows have no key, so they can never be told from rows already stored."""
+
+
 def new_rows(batch: DataFrame, stored: DataFrame, key: str) -> DataFrame:
     """Rows of the batch whose key is not stored yet.
 
@@ -22,10 +27,14 @@ def new_rows(batch: DataFrame, stored: DataFrame, key: str) -> DataFrame:
 
 
 def require_unique(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The rows unchanged, or an error naming some keys that occur more than once."""
-    repeated = rows.groupBy(*keys).count().filter(F.col("count") > 1).limit(5).collect()
-    if repeated:
-        raise DuplicateKeys(f"several rows for one key ({', '.join(keys)}): {[tuple(row)[:-1] for row in repeated]}")
+    """The rows unchanged, or an error naming some keys that occur more than once or have an empty part."""
+    empty = reduce(lambda left, right: left | right, [F.col(key).isNull() for key in keys])
+    found = rows.groupBy(*keys).count().filter((F.col("count") > 1) | empty).limit(5).collect()
+    named = f"({', '.join(keys)}): {[tuple(row)[:-1] for row in found]}"
+    if any(None in tuple(row)[:-1] for row in found):
+        raise MissingKeys(f"rows without a key {named}")
+    if found:
+        raise DuplicateKeys(f"several rows for one key {named}")
     return rows
 
 
@@ -61,8 +70,9 @@ def patch(stored: DataFrame, changes: DataFrame, key: str, columns: Sequence[str
 def keep_first(rows: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
     """The first row of every key; rows without a key are all kept, since they cannot be told to repeat.
 
-    The choice is an aggregate with a map-side step, so a key with very many rows does not meet in one task.
+    The choice is one aggregate with a map-side step, so the rows are read once and a key with very many rows
+    does not meet in one task. A row without a key is a group of its own.
     """
     first = F.min_by(F.struct(*rows.columns), F.struct(*order)).alias("_row")
-    chosen = rows.filter(F.col(key).isNotNull()).groupBy(key).agg(first).select("_row.*")
-    return chosen.unionByName(rows.filter(F.col(key).isNull()))
+    alone = F.when(F.col(key).isNull(), F.monotonically_increasing_id()).alias("_alone")
+    return rows.groupBy(F.col(key).alias("_key"), alone).agg(first).select("_row.*")

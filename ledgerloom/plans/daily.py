@@ -2,7 +2,8 @@
 
 Every stage reads stored tables and writes stored tables, so that a lost executor costs at most the stage it
 was working on, and a run can be repeated: transactions already loaded are skipped, dimensions and profile
-end up the same, and the run log keeps one row per day.
+end up the same, and the run log keeps one row per day. Risk history and quality metrics are logs: every run
+appends its own snapshot to them, a repeated day too; ``created_at`` tells the snapshots apart.
 """
 
 from __future__ import annotations
@@ -29,9 +30,10 @@ OUT_OF_RANGE = "scores_out_of_range"
 REPLACED = [
     (STAGING, "customers"), (STAGING, "transactions"), (STAGING, "credit_scores"), (STAGING, "transactions_new"),
     (STAGING, "customer_profile"), (WAREHOUSE, "dim_customer"), (WAREHOUSE, "dim_credit"),
-    (ANALYTICS, "customer_profile"), (ANALYTICS, "pipeline_runs"),
+    (WAREHOUSE, "fact_counts"), (ANALYTICS, "customer_profile"), (ANALYTICS, "pipeline_runs"),
 ]
-UNIQUE_IDS = ["duplicate_customer_ids", "duplicate_transaction_ids"]
+# Checks that show that every staged row has an id of its own.
+UNIQUE_IDS = ["duplicate_customer_ids", "duplicate_transaction_ids", "null_customer_id", "null_transaction_id"]
 # Columns without which a row cannot be stored; other required columns only cause a warning when empty.
 NOT_NULL = {
     "customers": ["customer_id", "name", "email"],
@@ -53,11 +55,12 @@ class Ingested:
     figures: dict[str, int] = field(default_factory=dict)
 
     def report(self, spark) -> DataFrame:
-        """The counts as report rows: empty keys and invalid scores fail, other empty columns are a warning."""
+        """The counts as report rows: empty keys and invalid scores fail. Rows left out as malformed, values that
+        could not be read and other empty columns are a warning."""
         fatal = {OUT_OF_RANGE, *[f"null_{name}" for name in NOT_NULL[self.table]]}
 
         def row(name: str, count: int) -> tuple:
-            if name not in fatal and not name.startswith("null_"):
+            if name in ("rows_read", "rows_written"):
                 return self.table, name, float(count), None, quality.INFO
             broken = quality.FAIL if name in fatal else quality.WARN
             return self.table, name, float(count), 0.0, broken if count else quality.PASS
@@ -128,7 +131,8 @@ def load_warehouse(
 ) -> None:
     """Bring dimensions and fact table up to date with staging.
 
-    Every id may be staged once only. That is checked first, unless the caller has just done so.
+    Every id must be staged, and once only. That is checked first, unless the caller has just done so: a row
+    without an id matches no stored row and would be loaded again with every run.
     """
     staged = store.read(STAGING, "customers")
     if not known_unique:
@@ -151,6 +155,9 @@ def load_warehouse(
     # rows of a month go to as few files as their size allows; adaptive execution splits a large month
     store.append(WAREHOUSE, "fact_transactions", added.hint("rebalance", warehouse.MONTH), [warehouse.MONTH])
 
+    counts = fresh.groupBy("customer_id").agg(F.count("*").alias("rows")).unionByName(read_counts(store))
+    store.replace(WAREHOUSE, "fact_counts", counts.groupBy("customer_id").agg(F.sum("rows").alias("rows")))
+
     scores = warehouse.dim_credit(store.read(STAGING, "credit_scores"), customers, at)
     credit = store.read(WAREHOUSE, "dim_credit", schemas.DIM_CREDIT)
     store.replace(WAREHOUSE, "dim_credit", warehouse.merge_dimension(credit, scores, "credit_key"))
@@ -162,9 +169,26 @@ def read_fact(store: TableStore) -> DataFrame:
     return store.read(WAREHOUSE, "fact_transactions", stored)
 
 
-def read_fact_with_history(store: TableStore, policy: HotKeyPolicy | None = None) -> DataFrame:
-    """The fact table as users read it, running columns included."""
-    return warehouse.with_running_columns(read_fact(store), policy)
+def read_counts(store: TableStore) -> DataFrame:
+    """Fact rows per customer; empty before the first load."""
+    return store.read(WAREHOUSE, "fact_counts", schemas.FACT_COUNTS)
+
+
+def read_fact_with_history(
+    store: TableStore, policy: HotKeyPolicy | None = None, customers: Sequence[str] | DataFrame | None = None
+) -> DataFrame:
+    """The fact table as users read it, running columns included; of some customers only, if they are named.
+
+    ``customers`` are ids or a table with a ``customer_id``. They limit every scan of the fact table, which a
+    filter on the result would not. Very large customers are known from the stored counts.
+    """
+    fact, counts = read_fact(store), read_counts(store)
+    if isinstance(customers, DataFrame):
+        ids = customers.select("customer_id").distinct()
+        fact, counts = (rows.join(ids, "customer_id", "left_semi") for rows in (fact, counts))
+    elif customers is not None:
+        fact, counts = (rows.filter(F.col("customer_id").isin(*customers)) for rows in (fact, counts))
+    return warehouse.with_running_columns(fact, policy, counts)
 
 
 def score_customers(
@@ -262,12 +286,14 @@ def run_daily(
         scored = score_customers(store, as_of, ml_scaling=ml_scaling)
         save_report(store, check_load(store), as_of)
         save_rules(store)
-        record_run(store, as_of, SUCCESS, scored.count(), time.monotonic() - started)
-        for layer, table in REPLACED if keep_versions else []:
-            store.expire(layer, table, keep_versions)
+        records = scored.count()
     except Exception as error:
-        record_run(store, as_of, FAILED, None, time.monotonic() - started, str(error)[:1000])
+        record_run(store, as_of, FAILED, None, time.monotonic() - started, str(error))
         raise
+    record_run(store, as_of, SUCCESS, records, time.monotonic() - started)
+    # the day is loaded whatever happens to the old versions
+    for layer, table in REPLACED if keep_versions else []:
+        store.expire(layer, table, keep_versions)
     return products.risk_distribution(scored)
 
 

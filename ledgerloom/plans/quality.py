@@ -1,7 +1,8 @@
 """Quality checks that return their findings as rows.
 
-Every check yields one row (table_name, metric_name, metric_value, threshold_value, status). Checks on one
-table share one pass over it. Nothing but the finished report, a few dozen rows, ever reaches the driver.
+Every check yields one row (table_name, metric_name, metric_value, threshold_value, status). Checks that are
+aggregates over one table share one pass over it; references and shared names are grouped passes of their own
+over the columns they need. Nothing but the finished report, a few dozen rows, ever reaches the driver.
 """
 
 from __future__ import annotations
@@ -86,28 +87,42 @@ def _percent(condition: Column) -> Column:
 
 def null_counts(rows: DataFrame, table: str) -> DataFrame:
     """Rows read and empty required columns; empty ones are a warning only."""
+    return run_checks(rows, table, _null_checks(table))
+
+
+def _null_checks(table: str) -> list[Check]:
     checks = [Check("rows", F.count("*"), limit=None)]
-    checks += [Check(f"null_{name}", _missing(name), otherwise=WARN) for name in REQUIRED[table]]
-    return run_checks(rows, table, checks)
+    return checks + [Check(f"null_{name}", _missing(name), otherwise=WARN) for name in REQUIRED[table]]
 
 
-def customer_uniqueness(customers: DataFrame) -> DataFrame:
-    checks = [
+def _customer_id_checks() -> list[Check]:
+    return [
         Check("duplicate_emails", _not_unique("email")),
         Check("null_emails", _missing("email")),
         Check("null_customer_ids", _missing("customer_id")),
         Check("duplicate_customer_ids", _repeats("customer_id")),
         Check("malformed_customer_ids", F.count_if(~text.has_customer_id_form(F.col("customer_id")))),
     ]
-    return run_checks(customers, "customers", checks)
+
+
+def _transaction_id_checks() -> list[Check]:
+    return [Check("duplicate_transaction_ids", _not_unique("transaction_id"))]
+
+
+def _credit_id_checks() -> list[Check]:
+    return [Check("duplicate_customer_ids", _not_unique("customer_id"))]
+
+
+def customer_uniqueness(customers: DataFrame) -> DataFrame:
+    return run_checks(customers, "customers", _customer_id_checks())
 
 
 def transaction_uniqueness(transactions: DataFrame) -> DataFrame:
-    return run_checks(transactions, "transactions", [Check("duplicate_transaction_ids", _not_unique("transaction_id"))])
+    return run_checks(transactions, "transactions", _transaction_id_checks())
 
 
 def credit_uniqueness(credit: DataFrame) -> DataFrame:
-    return run_checks(credit, "credit_scores", [Check("duplicate_customer_ids", _not_unique("customer_id"))])
+    return run_checks(credit, "credit_scores", _credit_id_checks())
 
 
 def unknown_customers(rows: DataFrame, customers: DataFrame) -> DataFrame:
@@ -120,9 +135,12 @@ def referential(rows: DataFrame, customers: DataFrame, table: str) -> DataFrame:
     return run_checks(unknown_customers(rows, customers), table, [Check("unknown_customer_ids", F.count("*"))])
 
 
+def _range_checks() -> list[Check]:
+    return [Check("scores_out_of_range", F.count_if(~labels.valid_credit_score(F.col("credit_score"))))]
+
+
 def score_range(credit: DataFrame) -> DataFrame:
-    invalid = F.count_if(~labels.valid_credit_score(F.col("credit_score")))
-    return run_checks(credit, "credit_scores", [Check("scores_out_of_range", invalid)])
+    return run_checks(credit, "credit_scores", _range_checks())
 
 
 def shared_names(customers: DataFrame) -> DataFrame:
@@ -153,13 +171,17 @@ def relation_checks(customers: DataFrame, transactions: DataFrame, credit: DataF
 
 
 def input_checks(customers: DataFrame, transactions: DataFrame, credit: DataFrame) -> DataFrame:
-    """Everything that is checked before a load. ``credit`` still holds scores outside the scale."""
+    """Everything that is checked before a load. ``credit`` still holds scores outside the scale.
+
+    One aggregate per table, and three grouped passes over ids and names.
+    """
     return union_reports(
-        null_counts(customers, "customers"),
-        null_counts(transactions, "transactions"),
-        null_counts(credit, "credit_scores"),
-        relation_checks(customers, transactions, credit),
-        score_range(credit),
+        run_checks(customers, "customers", _null_checks("customers") + _customer_id_checks()),
+        run_checks(transactions, "transactions", _null_checks("transactions") + _transaction_id_checks()),
+        run_checks(credit, "credit_scores", _null_checks("credit_scores") + _credit_id_checks() + _range_checks()),
+        name_consistency(customers, "customers"),
+        referential(transactions, customers, "transactions"),
+        referential(credit, customers, "credit_scores"),
     )
 
 

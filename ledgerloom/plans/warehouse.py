@@ -8,7 +8,7 @@ from ledgerloom import schemas
 from ledgerloom.functions import dates, labels, text
 from ledgerloom.operators.history import add_history
 from ledgerloom.operators.hot_keys import HotKeyPolicy
-from ledgerloom.operators.keys import fill_keys
+from ledgerloom.operators.keys import number_ids
 from ledgerloom.operators.merge import new_rows, upsert
 
 # Partition column of the stored fact table and of queries limited to recent months.
@@ -64,11 +64,13 @@ def dim_credit(
 def merge_dimension(stored: DataFrame, rows: DataFrame, key_column: str) -> DataFrame:
     """Next state of a dimension: known customers replaced, new ones added and numbered.
 
-    Known rows keep their key and their creation time. ``rows`` has one row per customer_id.
+    Known rows keep their key and their creation time. ``rows`` has one row per customer_id. Only ids that are
+    new are numbered, from slim columns; the rows themselves meet in one full outer join.
     """
-    unkeyed = rows.withColumn(key_column, F.lit(None).cast("long")).select(*stored.columns)
-    merged = upsert(stored, unkeyed, ["customer_id"], keep=[key_column, "created_at"])
-    return fill_keys(merged, "customer_id", key_column)
+    fresh = rows.select("customer_id").join(stored.select("customer_id"), "customer_id", "left_anti")
+    numbers = number_ids(fresh, "customer_id", key_column, stored)
+    keyed = rows.join(numbers, "customer_id", "left").select(*stored.columns)
+    return upsert(stored, keyed, ["customer_id"], keep=[key_column, "created_at"])
 
 
 def _fact_columns(transactions: DataFrame, at: Column | None) -> DataFrame:
@@ -104,13 +106,14 @@ def fact_transactions(
 def keyed_fact_rows(fresh: DataFrame, stored: DataFrame, keys: DataFrame, at: Column | None = None) -> DataFrame:
     """Staged transactions as rows to append to the stored fact table, numbered and with their customer key.
 
-    ``fresh`` is read twice, once to count ids and once for the rows; give it a stored table when finding the
-    fresh rows was expensive. Transactions of unknown customers stay, with a null customer key.
+    Numbers and customer keys are found on the two id columns alone; the wide rows are shuffled once, to join
+    them. ``fresh`` is read for the ids and for the rows; give it a stored table when finding the fresh rows was
+    expensive. Transactions of unknown customers stay, with a null customer key.
     """
-    unkeyed = _fact_columns(fresh, at).withColumn("transaction_key", F.lit(None).cast("long"))
-    numbered = fill_keys(unkeyed, "transaction_id", "transaction_key", taken=stored)
-    known = numbered.join(keys.select("customer_id", "customer_key"), "customer_id", "left")
-    return known.select(*schemas.FACT_TRANSACTIONS.fieldNames())
+    ids = number_ids(fresh.select("transaction_id", "customer_id"), "transaction_id", "transaction_key", stored)
+    known = ids.join(keys.select("customer_id", "customer_key"), "customer_id", "left").drop("customer_id")
+    keyed = _fact_columns(fresh, at).join(known, "transaction_id", "left")
+    return keyed.select(*schemas.FACT_TRANSACTIONS.fieldNames())
 
 
 def new_fact_rows(
@@ -120,13 +123,17 @@ def new_fact_rows(
     return keyed_fact_rows(new_rows(transactions, stored, "transaction_id"), stored, keys, at)
 
 
-def with_running_columns(stored_fact: DataFrame, policy: HotKeyPolicy | None = None) -> DataFrame:
+def with_running_columns(
+    stored_fact: DataFrame, policy: HotKeyPolicy | None = None, counts: DataFrame | None = None
+) -> DataFrame:
     """The stored fact table as users read it, running columns continued over the whole history.
 
+    The columns of a customer depend on that customer's rows alone, so rows of some customers give theirs.
+
     They are worked out on reading and not stored: one late transaction changes the numbers of all later ones
     and the average of all, and storing them would mean to rewrite the table with every load.
     """
-    enriched = add_history(stored_fact, time="transaction_timestamp", policy=policy)
+    enriched = add_history(stored_fact, time="transaction_timestamp", policy=policy, counts=counts)
     return enriched.select("transaction_key", *FACT_COLUMNS)
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 
 def _table(**columns: T.DataType) -> T.StructType:
@@ -43,6 +43,8 @@ FACT_TRANSACTIONS = _table(
     merchant_category=TEXT, location_city=TEXT, location_state=TEXT, is_weekend=FLAG, transaction_hour=WHOLE,
     is_online=FLAG, is_fraud=FLAG, is_high_value=FLAG, created_at=WRITTEN,
 )
+# Fact rows per customer, kept by the loads. They decide where very large customers are cut, never a result.
+FACT_COUNTS = _table(customer_id=TEXT, rows=KEY)
 DIM_CREDIT = _table(
     credit_key=KEY, customer_key=KEY, customer_id=TEXT, credit_score=WHOLE, credit_rating=TEXT,
     score_date=DAY, credit_history_length=WHOLE, number_of_accounts=WHOLE, total_debt=NUMBER,
@@ -65,12 +67,13 @@ QUALITY = _table(
     table_name=TEXT, metric_name=TEXT, metric_value=NUMBER, threshold_value=NUMBER, status=TEXT,
 )
 
-# Decimal forms of money and shares for sinks that declare them. The debt ratio has no bound and stays double.
+# Decimal forms of money and shares for sinks that declare them; totals of a customer are wider than single
+# amounts. The debt ratio has no bound and stays double.
 SINK_DECIMALS = {
     "amount": T.DecimalType(12, 2),
     "annual_income": T.DecimalType(12, 2),
     "total_debt": T.DecimalType(12, 2),
-    "total_spent": T.DecimalType(12, 2),
+    "total_spent": T.DecimalType(18, 2),
     "avg_transaction_amount": T.DecimalType(12, 2),
     "max_transaction_amount": T.DecimalType(12, 2),
     "credit_utilization": T.DecimalType(5, 4),
@@ -86,9 +89,15 @@ def conform(rows: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 def sink_decimals(rows: DataFrame) -> DataFrame:
-    """Money and bounded shares as the decimals a database sink declares."""
-    kinds = {name: kind for name, kind in SINK_DECIMALS.items() if name in rows.columns}
-    return rows.withColumns({name: F.col(name).try_cast(kind) for name, kind in kinds.items()})
+    """Money and bounded shares as the decimals a database sink declares; a value that does not fit is an error."""
+
+    def exact(name: str, kind: T.DecimalType) -> Column:
+        value = F.col(name)
+        fitted = value.try_cast(kind)
+        message = F.concat(F.lit(f"{name} does not fit {kind.simpleString()}: "), value.cast("string"))
+        return F.when(value.isNotNull() & fitted.isNull(), F.raise_error(message)).otherwise(fitted)
+
+    return rows.withColumns({name: exact(name, kind) for name, kind in SINK_DECIMALS.items() if name in rows.columns})
 
 
 def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:

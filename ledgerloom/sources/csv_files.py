@@ -25,6 +25,9 @@ def require_columns(columns: list[str], schema: T.StructType, table: str) -> Non
 def read_csv(spark: SparkSession, path: str, schema: T.StructType, table: str) -> DataFrame:
     """All columns of ``schema`` as text, found by header name, plus the flag ``_malformed``.
 
+    The files of a folder must agree in their header: Spark compares each file's with the first one's and stops
+    with an error naming the file when columns are missing, added or in another order.
+
     Nothing is inferred: inference would read the file twice and turn zip codes into numbers. A row with too
     many or too few fields is flagged and not dropped here, so that the rows can be counted; values are given
     their types by the staging plan.
@@ -44,6 +47,7 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType, table: str) -
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", "_corrupt_record")
         .option("columnPruning", False)  # a pruned row is never found to be malformed
+        .option("enforceSchema", False)  # compare the header of every file
         .csv(path)
     )
     return rows.select(*schema.fieldNames(), F.col("_corrupt_record").isNotNull().alias(MALFORMED))

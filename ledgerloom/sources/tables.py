@@ -1,9 +1,10 @@
 """Parquet tables in three layers, stored in versions.
 
-``<root>/<layer>/<table>/v=<number>/`` holds one version. A version counts once Spark has committed it and
-left its ``_SUCCESS`` mark, and the highest one is the table. A replaced table can therefore be read while its
-successor is written, and a job that dies half way changes nothing. The root lies on storage all executors
-share.
+``<root>/<layer>/<table>/v=<number>/`` holds one version, ``load=<number>/`` below it what one write brought,
+and partition folders lie below that. A load counts once Spark has committed it and left its ``_SUCCESS`` mark;
+the highest version with a load is the table. A replaced table can therefore be read while its successor is
+written, and a job that dies half way changes nothing, whether it replaces or appends. The root lies on storage
+all executors share.
 """
 
 from __future__ import annotations
@@ -30,11 +31,19 @@ class TableStore:
 
     def versions(self, layer: str, table: str) -> list[int]:
         """Numbers of the committed versions, oldest first."""
+        return sorted({version for version, _ in self.loads(layer, table)})
+
+    def loads(self, layer: str, table: str) -> list[tuple[int, int]]:
+        """(version, load) of everything committed, in order."""
         jvm = self.spark._jvm
-        pattern = jvm.org.apache.hadoop.fs.Path(f"{self._folder(layer, table)}/v=*/_SUCCESS")
+        pattern = jvm.org.apache.hadoop.fs.Path(f"{self._folder(layer, table)}/v=*/load=*/_SUCCESS")
         files = pattern.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        found = files.globStatus(pattern) or []
-        return sorted(int(mark.getPath().getParent().getName().removeprefix("v=")) for mark in found)
+        folders = [mark.getPath().getParent() for mark in files.globStatus(pattern) or []]
+
+        def number(name: str) -> int:
+            return int(name.partition("=")[2])
+
+        return sorted((number(folder.getParent().getName()), number(folder.getName())) for folder in folders)
 
     def exists(self, layer: str, table: str) -> bool:
         return bool(self.versions(layer, table))
@@ -42,10 +51,12 @@ class TableStore:
     def read(self, layer: str, table: str, schema: T.StructType | None = None) -> DataFrame:
         """The current version. With ``schema`` a table that was never written reads as empty; any other
         failure stays a failure."""
-        versions = self.versions(layer, table)
-        if versions:
+        loads = self.loads(layer, table)
+        if loads:
             reader = self.spark.read if schema is None else self.spark.read.schema(schema)
-            return reader.parquet(self._version(layer, table, versions[-1]))
+            newest = loads[-1][0]
+            paths = [self._load(layer, table, *load) for load in loads if load[0] == newest]
+            return reader.option("basePath", self._version(layer, table, newest)).parquet(*paths).drop("load")
         if schema is None:
             raise MissingTable(f"{layer}.{table}")
         return empty(self.spark, schema)
@@ -55,15 +66,17 @@ class TableStore:
         versions = self.versions(layer, table)
         number = versions[-1] + 1 if versions else 1
         # overwrite: a version left unfinished by a lost job may lie there
-        rows.write.mode("overwrite").partitionBy(*partition_by).parquet(self._version(layer, table, number))
+        rows.write.mode("overwrite").partitionBy(*partition_by).parquet(self._load(layer, table, number, 0))
         return self.read(layer, table)
 
     def append(self, layer: str, table: str, rows: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
         """Add rows to the current version, or write the first one."""
-        versions = self.versions(layer, table)
-        if not versions:
+        loads = self.loads(layer, table)
+        if not loads:
             return self.replace(layer, table, rows, partition_by)
-        rows.write.mode("append").partitionBy(*partition_by).parquet(self._version(layer, table, versions[-1]))
+        version, last = loads[-1]
+        # overwrite: a load left unfinished by a lost job may lie there
+        rows.write.mode("overwrite").partitionBy(*partition_by).parquet(self._load(layer, table, version, last + 1))
         return self.read(layer, table)
 
     def upsert(
@@ -88,3 +101,6 @@ class TableStore:
 
     def _version(self, layer: str, table: str, number: int) -> str:
         return f"{self._folder(layer, table)}/v={number:08d}"
+
+    def _load(self, layer: str, table: str, version: int, load: int) -> str:
+        return f"{self._version(layer, table, version)}/load={load:08d}"

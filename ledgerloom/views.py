@@ -51,9 +51,9 @@ def register_views(
         rows.createOrReplaceTempView(name)
     profile.sparkSession.sql(
         "CREATE OR REPLACE TEMPORARY FUNCTION calculate_customer_ltv(wanted STRING) RETURNS TABLE("
-        "customer_id STRING, ltv_score DECIMAL(12, 2), avg_monthly_spend DECIMAL(12, 2),"
+        "customer_id STRING, ltv_score DECIMAL(18, 2), avg_monthly_spend DECIMAL(18, 2),"
         " predicted_lifetime_months INT, churn_risk STRING) RETURN"
-        " SELECT customer_id, CAST(ltv_score AS DECIMAL(12, 2)), CAST(avg_monthly_spend AS DECIMAL(12, 2)),"
+        " SELECT customer_id, CAST(ltv_score AS DECIMAL(18, 2)), CAST(avg_monthly_spend AS DECIMAL(18, 2)),"
         " predicted_lifetime_months, churn_risk FROM v_customer_ltv WHERE customer_id = wanted"
     )
     return list(views)

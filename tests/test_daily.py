@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from catalog import inputs
 from ledgerloom import schemas
-from ledgerloom.operators.merge import DuplicateKeys
+from ledgerloom.operators.merge import DuplicateKeys, MissingKeys
 from ledgerloom.plans import daily, products, quality, scoring, staging, warehouse
 from ledgerloom.sources.csv_files import MissingColumns, MissingInput, read_csv
 from ledgerloom.sources.database import Database, KeyRange
@@ -127,6 +127,78 @@ def test_unfinished_version_is_ignored_and_replaced(spark, store, tmp_path):
     assert store.replace(WAREHOUSE, "t", rows.unionByName(rows)).count() == 2
 
 
+def test_unfinished_append_is_ignored_and_replaced(spark, store, tmp_path):
+    rows = spark.createDataFrame([(1, "a"), (2, "b")], "id int, part string")
+    store.replace(WAREHOUSE, "t", rows, ["part"])
+    torn = tmp_path / "tables" / "warehouse" / "t" / "v=00000001" / "load=00000001" / "part=a"
+    torn.mkdir(parents=True)
+    (torn / "part-0.parquet").write_text("torn")
+    assert store.read(WAREHOUSE, "t").count() == 2
+    assert sorted(map(tuple, store.append(WAREHOUSE, "t", rows, ["part"]).collect())) == [(1, "a"), (1, "a"), (2, "b"), (2, "b")]
+    assert store.loads(WAREHOUSE, "t") == [(1, 0), (1, 1)] and store.read(WAREHOUSE, "t").columns == ["id", "part"]
+
+
+def test_files_of_a_folder_must_agree_in_their_header(spark, store, tmp_path):
+    lines = CREDIT.splitlines()
+    names = lines[0].split(",")
+    swapped = [names[0], names[2], names[1], *names[3:]]
+    folder = tmp_path / "credit_scores.csv"
+    folder.mkdir()
+    (folder / "a.csv").write_text(CREDIT)
+    (folder / "b.csv").write_text(CREDIT)
+    rows = read_csv(spark, str(folder), schemas.CREDIT_SCORES, "credit_scores")
+    assert rows.count() == 2 * (len(lines) - 1)
+    (folder / "b.csv").write_text("\n".join([",".join(swapped), *lines[1:]]) + "\n")
+    with pytest.raises(Exception, match="CSV header does not conform"):
+        daily.ingest(store, str(folder), "credit_scores")
+
+
+def test_left_out_rows_and_unreadable_values_are_warnings(store, tmp_path):
+    folder = write_files(tmp_path / "in", customers=CUSTOMERS, transactions=TRANSACTIONS, credit_scores=CREDIT)
+    ingested = daily.ingest_all(store, folder)
+    status = {(r.table_name, r.metric_name): r.status for item in ingested for r in item.report(store.spark).collect()}
+    assert status["customers", "rows_malformed"] == status["customers", "unreadable_annual_income"] == "WARN"
+    assert status["transactions", "rows_malformed"] == "PASS" and status["customers", "rows_read"] == "INFO"
+    with pytest.raises(quality.QualityFailure, match="rows_malformed = 2"):
+        daily.run_daily(store, folder, AS_OF, stop_on=(quality.WARN,))
+
+
+def test_the_whole_error_is_kept_and_success_is_not_undone(store, tmp_path, monkeypatch):
+    folder = write_files(tmp_path / "in", customers=CUSTOMERS, transactions=TRANSACTIONS, credit_scores=CREDIT)
+
+    def fail(*_, **__):
+        raise ValueError("x" * 5000)
+
+    with monkeypatch.context() as patched:
+        patched.setattr(daily, "load_warehouse", fail)
+        with pytest.raises(ValueError):
+            daily.run_daily(store, folder, AS_OF, stop_on=())
+    assert store.read(ANALYTICS, "pipeline_runs").first().error_message == "x" * 5000
+    with monkeypatch.context() as patched:
+        patched.setattr(TableStore, "expire", fail)
+        with pytest.raises(ValueError):
+            daily.run_daily(store, folder, AS_OF, stop_on=(), ml_scaling=False, keep_versions=1)
+    assert store.read(ANALYTICS, "pipeline_runs").first().status == "SUCCESS"
+
+
+def test_a_repeated_day_changes_tables_only_in_its_logs(store, tmp_path):
+    folder = write_files(tmp_path / "in", customers=CUSTOMERS, transactions=TRANSACTIONS, credit_scores=CREDIT)
+    for turn in (1, 2):
+        daily.run_daily(store, folder, AS_OF, stop_on=(), ml_scaling=False)
+        assert daily.read_fact(store).count() == 3 and store.read(WAREHOUSE, "dim_customer").count() == 3
+        assert sum(row.rows for row in daily.read_counts(store).collect()) == 3
+        assert store.read(ANALYTICS, "customer_risk_history").count() == 3 * turn
+        assert store.read(ANALYTICS, "pipeline_runs").count() == 1
+
+
+def test_rows_without_an_id_are_refused(store, tmp_path):
+    nameless = TRANSACTIONS + ",CUST-1,purchase,1,2024-02-01 10:00:00,Shop,Retail,Reno,NV,True,10,true,FALSE\n"
+    folder = write_files(tmp_path / "in", customers=CUSTOMERS, transactions=nameless, credit_scores=CREDIT)
+    with pytest.raises(MissingKeys, match="transaction_id"):
+        daily.run_daily(store, folder, AS_OF, stop_on=())
+    assert not store.exists(WAREHOUSE, "fact_transactions")
+
+
 def csv_day(spark, folder, transactions, credit=None):
     """The derived test tables as the CSV files of one day, without the orphans the checks would stop at."""
     known = inputs.customers(spark, SF).select("customer_id")
@@ -280,9 +352,13 @@ def test_sink_decimals(spark):
     rows = spark.createDataFrame([(1.005, 0.123456, 99999.0), (1e12, 2.0, None)], "amount double, credit_utilization double, debt_to_income_ratio double")
     conformed = schemas.sink_decimals(rows)
     assert conformed.dtypes == [("amount", "decimal(12,2)"), ("credit_utilization", "decimal(5,4)"), ("debt_to_income_ratio", "double")]
-    first, second = conformed.collect()
+    first = conformed.first()
     assert float(first.credit_utilization) == 0.1235 and abs(float(first.amount) - 1.005) <= 0.0051
-    assert second.amount is None
+    with pytest.raises(Exception, match="amount does not fit decimal.12,2.: 1.0E12"):
+        conformed.collect()
+    assert schemas.sink_decimals(rows.limit(0)).count() == 0
+    totals = schemas.sink_decimals(spark.createDataFrame([(2e10,), (None,)], "total_spent double")).collect()
+    assert [row.total_spent and float(row.total_spent) for row in totals] == [2e10, None]
 
 
 def test_scoring_rules(spark):

@@ -43,7 +43,7 @@ def labelled(spark, rule, values, kind="double"):
         (scoring.points_category, "int", {60: "High", 59: "Medium", 30: "Medium", 29: "Low", 0: "Low"}),
         (scoring.risk_category, "double", {
             0.0: "Very Low", 19.99: "Very Low", 20.0: "Low", 39.99: "Low", 40.0: "Medium", 59.99: "Medium",
-            60.0: "High", 79.99: "High", 80.0: "Very High", 100.0: "Very High", None: "Very High",
+            60.0: "High", 79.99: "High", 80.0: "Very High", 100.0: "Very High", None: None,
         }),
         (scoring.risk_bucket, "double", {0.0: 0.0, 20.0: 1.0, 59.9: 2.0, 60.0: 3.0, 80.0: 4.0, 100.0: 4.0, None: None}),
     ],

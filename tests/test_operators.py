@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.operators import merge, scaling
 from ledgerloom.operators.history import HISTORY_COLUMNS, add_history
-from ledgerloom.operators.hot_keys import SLICE, HotKeyPolicy, find_hot_keys
+from ledgerloom.operators.hot_keys import SLICE, HotKeyPolicy, TooManySlices, find_hot_keys
 from ledgerloom.operators.keys import fill_keys
 
 EVENTS = "transaction_id string, customer_id string, amount double, timestamp timestamp_ntz"
@@ -56,7 +56,7 @@ def test_history_with_and_without_slices(spark, hot_share, same_time):
     events = random_events(7, 1500, hot_share, same_time)
     rows = spark.createDataFrame(events, EVENTS).repartition(5)
     expected = history_in_python(events)
-    policy = HotKeyPolicy(min_rows=40, share=30)
+    policy = HotKeyPolicy(slice_rows=50)
     for chosen in (None, policy):
         found = as_dict(add_history(rows, policy=chosen))
         assert found.keys() == expected.keys()
@@ -67,7 +67,7 @@ def test_history_with_and_without_slices(spark, hot_share, same_time):
 def test_hot_customers_are_cut_into_even_slices(spark):
     events = random_events(3, 4000, 0.5)
     rows = spark.createDataFrame(events, EVENTS)
-    policy = HotKeyPolicy(min_rows=100, share=20)  # slices of about 200 rows
+    policy = HotKeyPolicy(slice_rows=200)
     slicing = find_hot_keys(rows, "customer_id", ["timestamp", "transaction_id"], policy)
     sizes = slicing.add_slice(rows).groupBy("customer_id", SLICE).count().collect()
     hot = [row["count"] for row in sizes if row["customer_id"] == "HOT"]
@@ -87,14 +87,45 @@ def test_hot_customers_are_cut_into_even_slices(spark):
 def test_no_slices_below_the_limit(spark):
     rows = spark.createDataFrame(random_events(1, 200, 0.9), EVENTS)
     assert find_hot_keys(rows, "customer_id", ["timestamp", "transaction_id"]) is None
-    even = HotKeyPolicy(min_rows=10, share=1)
-    assert find_hot_keys(rows, "customer_id", ["timestamp", "transaction_id"], even) is None
+    most = rows.groupBy("customer_id").count().agg(F.max("count")).first()[0]
+    assert find_hot_keys(rows, "customer_id", ["timestamp", "transaction_id"], HotKeyPolicy(most)) is None
+    assert find_hot_keys(rows, "customer_id", ["timestamp", "transaction_id"], HotKeyPolicy(most - 1)) is not None
+
+
+def test_a_customer_with_a_small_share_of_a_large_table_is_split(spark):
+    """40 of 800,000 rows: the size of a slice does not follow the size of the table."""
+    many = spark.range(800_000).selectExpr(
+        "concat('t', id) AS transaction_id", "if(id % 20000 = 0, 'BIG', concat('c', id % 100000)) AS customer_id",
+        "cast(id AS double) AS amount", "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, id % 5000) AS timestamp",
+    )
+    slicing = find_hot_keys(many, "customer_id", ["timestamp", "transaction_id"], HotKeyPolicy(slice_rows=4))
+    sizes = slicing.add_slice(many).filter("customer_id = 'BIG'").groupBy(SLICE).count().collect()
+    assert sum(row["count"] for row in sizes) == 40 and len(sizes) > 1
+
+
+def test_too_many_slices_are_refused(spark, monkeypatch):
+    monkeypatch.setattr("ledgerloom.operators.hot_keys.MOST_SLICES", 3)
+    rows = spark.createDataFrame(random_events(1, 200, 0.9), EVENTS)
+    with pytest.raises(TooManySlices, match="raise slice_rows"):
+        find_hot_keys(rows, "customer_id", ["timestamp", "transaction_id"], HotKeyPolicy(slice_rows=10))
+
+
+def test_known_counts_spare_the_count(spark):
+    events = random_events(7, 600, 0.5)
+    rows = spark.createDataFrame(events, EVENTS)
+    counts = rows.groupBy("customer_id").agg(F.count("*").alias("rows"))
+    found = as_dict(add_history(rows, policy=HotKeyPolicy(slice_rows=30), counts=counts))
+    expected = history_in_python(events)
+    assert all(values == pytest.approx(expected[event]) for event, values in found.items())
+    # a count that is too low only costs the slices
+    low = add_history(rows, policy=HotKeyPolicy(slice_rows=30), counts=counts.withColumn("rows", F.lit(1).cast("long")))
+    assert shuffles(low) == 1 and as_dict(low).keys() == expected.keys()
 
 
 def test_customer_keys_are_joined_for_hot_and_unknown_customers(spark):
     rows = spark.createDataFrame(random_events(5, 800, 0.5), EVENTS)
     keys = spark.createDataFrame([("HOT", 1), ("A", 2), ("B", 3)], "customer_id string, customer_key long")
-    for policy in (None, HotKeyPolicy(min_rows=20, share=40)):
+    for policy in (None, HotKeyPolicy(slice_rows=20)):
         found = add_history(rows, keys, policy=policy)
         assert found.columns == [*rows.columns, *HISTORY_COLUMNS, "customer_key"]
         pairs = {(row.customer_id, row.customer_key) for row in found.collect()}
