@@ -135,7 +135,7 @@ def allocate(total: int, both: np.ndarray, distance: int) -> list[tuple[list[int
     radius against the candidates it lets through; a part may be left out (radius -1).
     """
     best: tuple[float, list[tuple[list[int], int]]] = (float("inf"), [])
-    for parts in range(2, distance + 2):
+    for parts in range(1, distance + 2):
         groups = group_bits(total, both, parts)
         table = {0: (0.0, [])}
         for bits in groups:
