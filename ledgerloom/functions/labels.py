@@ -6,7 +6,7 @@ from pyspark.sql import Column, functions as F
 
 from ledgerloom.functions import bands
 
-# The labels and limits that define the results.
+# Income brackets, by the income they end below.
 INCOME_BRACKETS = [
     (30000, "Low Income"),
     (50000, "Lower Middle"),
@@ -15,6 +15,7 @@ INCOME_BRACKETS = [
 ]
 TOP_INCOME_BRACKET = "High Income"
 
+# Credit ratings, by the score they begin at.
 CREDIT_RATINGS = [
     (800, "Excellent"),
     (740, "Very Good"),
@@ -23,13 +24,14 @@ CREDIT_RATINGS = [
 ]
 LOWEST_CREDIT_RATING = "Poor"
 
+# Levels of credit utilization above a share, and churn risks above days without a transaction.
 UTILIZATION_LEVELS = [(0.8, "High"), (0.5, "Medium")]
 LOWEST_UTILIZATION_LEVEL = "Low"
 
 CHURN_RISKS = [(90, "High"), (30, "Medium")]
 LOWEST_CHURN_RISK = "Low"
 
-# tier, spent more than, credit score above
+# Tier, spent more than, credit score above.
 CUSTOMER_TIERS = [
     ("Premium", 20000, 700),
     ("Gold", 10000, 650),
@@ -37,6 +39,7 @@ CUSTOMER_TIERS = [
 ]
 LOWEST_CUSTOMER_TIER = "Bronze"
 
+# Expected months per risk category, and limits.
 LIFETIME_MONTHS = {"Low": 36, "Medium": 24}
 OTHER_LIFETIME_MONTHS = 12
 
