@@ -731,7 +731,7 @@ ORACLES["state_run_log"] = _with(
 )
 ORACLES["state_rules"] = _with(
     """SELECT rule_id, rule_name, rule_description, ~rule_weight, ~threshold_value, risk_points, TRUE AS is_active,
-           (SELECT count(*) FROM customers) AS customers
+           (SELECT count(*) FROM scored_2 WHERE list_contains(risk_factors, rule_name)) AS customers
        FROM (VALUES (1, 'Low Credit Score', 'Credit score below 600', 0.3, 600, 30),
                     (2, 'High Credit Utilization', 'Credit utilization above 80%', 0.2, 0.8, 20),
                     (3, 'High Debt to Income', 'Debt to income ratio above 40%', 0.25, 0.4, 25),
@@ -739,7 +739,7 @@ ORACLES["state_rules"] = _with(
                     (5, 'Low Income', 'Annual income below $30,000', 0.1, 30000, 10),
                     (6, 'Fraud History', 'Previous fraudulent transactions', 0.05, 1, 5))
             rules(rule_id, rule_name, rule_description, rule_weight, threshold_value, risk_points)""",
-    "customers",
+    "scored_2",
 )
 ORACLES["sql_surface"] = _with(
     """SELECT customer_id,

@@ -534,13 +534,15 @@ def state_run_log(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def state_rules(spark: SparkSession, folder: str) -> DataFrame:
-    """The seeded rules beside the number of customers of the second day's profile."""
+    """The seeded rules, each with the customers of the second day's profile that have a factor of its name."""
     store = two_days(spark, folder)
-    rows = store.read(ANALYTICS, "customer_profile").agg(F.count("*").alias("customers"))
+    factors = store.read(ANALYTICS, "customer_profile").select(F.explode("risk_factors").alias("rule_name"))
+    counts = factors.groupBy("rule_name").agg(F.count("*").alias("customers"))
     rules = store.read(ANALYTICS, "risk_scoring_rules").withColumns(
         {name: F.col(name).cast("double") for name in ("rule_weight", "threshold_value")}
     )
-    return comparable(rules.join(F.broadcast(rows)))
+    found = rules.join(counts, "rule_name", "left").select(*rules.columns, F.coalesce("customers", F.lit(0)).alias("customers"))
+    return comparable(found)
 
 
 def dq_table_counts(spark: SparkSession, folder: str) -> DataFrame:
