@@ -20,7 +20,6 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame, functions as F
 
 from ledgerloom.llm.common import Scratch
@@ -34,11 +33,17 @@ FLUSHED = 300_000
 CACHED = 200_000
 UNKNOWN = "und"
 
-_WORD = regex.compile(r"\p{L}+")
+#: ASCII bytes that are no letters part words; all others, of which scripts beyond ASCII are made, stay.
+_LETTERS = bytes(byte if chr(byte).isascii() is False or chr(byte).isalpha() else 32 for byte in range(256))
 
 
-def words_of(text: str | None) -> list[str]:
-    return _WORD.findall((text or "").lower())
+def words_of(text: str | None) -> list[bytes]:
+    """Lower-case words as UTF-8; none where the text has no letter."""
+    lowered = (text or "").lower()
+    words = lowered.encode().translate(_LETTERS).split()
+    if words and not any(word[0] < 128 for word in words) and not any(map(str.isalpha, lowered)):
+        return []  # signs beyond ASCII only
+    return words
 
 
 def grams_of(word: str) -> Iterator[str]:
@@ -50,7 +55,8 @@ def grams_of(word: str) -> Iterator[str]:
 
 def _flushed(counts: dict[str, Counter]) -> Iterator[pa.RecordBatch]:
     for lang, found in counts.items():
-        columns = [pa.array([lang] * len(found)), pa.array(list(found)), pa.array(list(found.values()), pa.int64())]
+        words = pa.array([word.decode() if isinstance(word, bytes) else word for word in found], pa.string())
+        columns = [pa.array([lang] * len(found)), words, pa.array(list(found.values()), pa.int64())]
         if found:
             yield pa.RecordBatch.from_arrays(columns, ["lang", "word", "n"])
     counts.clear()
@@ -96,25 +102,25 @@ class Model:
     """Log frequencies of words and n-grams, a row per entry and a column per language."""
 
     langs: list[str]
-    words: dict[str, int]
+    words: dict[bytes, int]
     word_logs: np.ndarray
     grams: dict[str, int]
     gram_logs: np.ndarray
-    unseen: dict[str, np.ndarray] = field(default_factory=dict)
+    unseen: dict[bytes, list[int]] = field(default_factory=dict)
 
-    def _back_off(self, word: str) -> np.ndarray:
-        padded, rows = f"^{word}$", []
+    def _back_off(self, word: bytes) -> list[int]:
+        """The longest known n-gram at each position of the word, as rows of ``gram_logs``."""
+        padded, rows, known = f"^{word.decode()}$", [], self.grams.get
         for at in range(len(padded)):
-            for size in range(min(LONGEST, len(padded) - at), 0, -1):
-                row = self.grams.get(padded[at : at + size])
+            for end in range(min(at + LONGEST, len(padded)), at, -1):
+                row = known(padded[at:end])
                 if row is not None:
                     rows.append(row)
                     break
-        found = self.gram_logs[rows].mean(axis=0) if rows else np.zeros(len(self.langs), np.float32)
         if len(self.unseen) >= CACHED:
             self.unseen.clear()
-        self.unseen[word] = found
-        return found
+        self.unseen[word] = rows
+        return rows
 
     def predict(self, text: str | None) -> tuple[str, float]:
         words = words_of(text)
@@ -124,9 +130,16 @@ class Model:
         known = [row for row in rows if row is not None]
         total = self.word_logs[known].sum(axis=0, dtype=np.float64)
         if len(known) < len(rows):
-            for word, times in Counter(word for word, row in zip(words, rows) if row is None).items():
-                found = self.unseen.get(word)
-                total = total + times * (self._back_off(word) if found is None else found)
+            # an unseen word counts with the mean of its n-grams
+            parts, sizes = [], []
+            for word, row in zip(words, rows):
+                if row is None:
+                    found = self.unseen.get(word)
+                    found = self._back_off(word) if found is None else found
+                    parts += found
+                    sizes.append(len(found))
+            shares = 1 / np.maximum(sizes, 1)
+            total = total + np.repeat(shares, sizes) @ self.gram_logs[parts].astype(np.float64)
         best = int(total.argmax())
         return self.langs[best], float(1 / np.exp(total - total[best]).sum())
 
@@ -161,7 +174,7 @@ def fit(docs: DataFrame, max_words: int = MAX_WORDS, max_grams: int = MAX_GRAMS)
     word_index, word_logs = _logs(word_rows, order, np.array([langs[lang] for lang in order], float))
     gram_index, gram_logs = _logs(gram_rows, order, np.array([letters.get(lang, 0) for lang in order], float))
     scratch.drop(words, grams)
-    return Model(order, word_index, word_logs, gram_index, gram_logs)
+    return Model(order, {word.encode(): row for word, row in word_index.items()}, word_logs, gram_index, gram_logs)
 
 
 def identify(docs: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ import math
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -56,7 +57,7 @@ def test_counts_cover_every_training_document(spark, monkeypatch):
     counts = Counter(word for _, text, lang, _ in train if lang == "en" for word in text.split())
     share = (counts["the"] + 0.5) / (sum(counts.values()) + 0.5 * len(model.words))
     place = model.langs.index("en")
-    assert model.word_logs[model.words["the"], place] == pytest.approx(math.log(share), rel=1e-5)
+    assert model.word_logs[model.words[b"the"], place] == pytest.approx(math.log(share), rel=1e-5)
 
 
 def test_the_model_is_bounded(spark):
@@ -67,6 +68,14 @@ def test_the_model_is_bounded(spark):
 
 
 def test_back_off_uses_the_longest_known_gram():
-    model = language.fit.__globals__["Model"](["a", "b"], {}, language.np.zeros((0, 2), "f4"), {"x": 0, "^x": 1}, language.np.array([[0, -9], [-9, 0]], "f4"))
-    assert model.predict("x")[0] == "a" or model.predict("x")[0] == "b"
-    assert model.predict("é?")[0] == "a"  # nothing known: a tie, the first by name
+    logs = np.array([[0, -9], [-9, 0], [0, -2]], "f4")
+    model = language.Model(["a", "b"], {}, np.zeros((0, 2), "f4"), {"x": 0, "^x": 1, "$": 2}, logs)
+    assert model._back_off(b"x") == [1, 0, 2] and model._back_off(b"xx") == [1, 0, 0, 2]
+    assert model.predict("x")[0] == "a" and model.predict("\u00e9?")[0] == "a"
+    assert language.Model(["a", "b"], {}, np.zeros((0, 2), "f4"), {}, np.zeros((0, 2), "f4")).predict("x") == ("a", 0.5)
+
+
+def test_words():
+    words = [word.decode() for word in language.words_of("The CAT's 2nd \u00c9t\u00e9_x")]
+    assert words == ["the", "cat", "s", "nd", "\u00e9t\u00e9", "x"]
+    assert language.words_of("\u2026 \u2014 \u00ab\u00bb 12") == [] and language.words_of("\u4e2d\u6587") and not language.words_of(None)
