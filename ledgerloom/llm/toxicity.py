@@ -54,7 +54,15 @@ FEATURES = (
 _WORD = re.compile(r"[^\W_]+")
 _MIXED = re.compile(r"(?<![^\W_])[^\W\d_]+(?:[0-9@$!*|.\-]+[^\W\d_]+)+(?![^\W_])")
 _SPACED = re.compile(r"(?<![^\W_])(?:[^\W\d_][ .*\-]){3,}[^\W\d_](?![^\W_])")
-_STRETCHED = re.compile(r"([^\W\d_])\1{2,}")
+_STRETCHED = re.compile(r"([a-z])\1{2,}")
+#: A sign inside a word; most texts have none, and are spared the search for the whole spelling.
+_INNER_SIGN = re.compile(r"[0-9@$!*|.\-][^\W\d_]")
+#: Anything but ASCII and Latin-1 letters; without it ASCII signs alone part words.
+_OTHER_SIGN = re.compile("[\u0080-\u00a9\u00ab-\u00b4\u00b6-\u00b9\u00bb-\u00bf\u00d7\u00f7\u0100-\U0010ffff]")
+_ASCII_WORDS = bytes(byte if byte > 127 or chr(byte).isalnum() else 32 for byte in range(256))
+_TRIPLES = [3 * letter for letter in "abcdefghijklmnopqrstuvwxyz"]
+_CAPITAL = re.compile("[A-ZÀ-ÖØ-Þ]")
+_CAPITAL_RUN = re.compile(r"[^\W\d_a-zß-öø-ÿ]{2}")
 _SIGNS = re.compile(r"[^\w\s]{2,}")
 _DROPPED = re.compile(r"[ .*\-]+")
 
@@ -63,11 +71,18 @@ def _plain_spelling(text: str) -> str:
     return _DROPPED.sub("", text.translate(LETTER_SIGNS))
 
 
+def words_of(text: str) -> list[str]:
+    """Runs of letters and digits."""
+    if _OTHER_SIGN.search(text):
+        return _WORD.findall(text)
+    return text.encode().translate(_ASCII_WORDS).decode().split()
+
+
 def features(text: str | None, lexicon: dict[str, float]) -> list[float]:
     """Dense features of one text; all zero where it has no word."""
     text = text or ""
     lowered = text.lower()
-    words = _WORD.findall(lowered)
+    words = words_of(lowered)
     if not words:
         return [0.0] * len(FEATURES)
     total, letters = len(words), max(1, sum(map(len, words)))
@@ -81,13 +96,14 @@ def features(text: str | None, lexicon: dict[str, float]) -> list[float]:
             while at < len(you) and you[at] < place - NEAR_WORDS:
                 at += 1
             near += at < len(you) and you[at] <= place + NEAR_WORDS
-    mixed = [_plain_spelling(found) for found in _MIXED.findall(lowered)]
+    mixed = [_plain_spelling(found) for found in _MIXED.findall(lowered)] if _INNER_SIGN.search(lowered) else []
     mixed += [_plain_spelling(found.group()) for found in _SPACED.finditer(lowered)]
-    mixed += [_STRETCHED.sub(r"\1", word) for word in words if _STRETCHED.search(word)]
+    if any(triple in lowered for triple in _TRIPLES):
+        mixed += [_STRETCHED.sub(r"\1", word) for word in words if _STRETCHED.search(word)]
     hidden = sum(word in lexicon for word in mixed)
-    cased = _WORD.findall(text)
-    capitals = sum(map(str.isupper, text))
-    signs = len(text) - letters - sum(map(str.isspace, text))
+    # a text without two capitals in a row has no word in capitals
+    cased = _WORD.findall(text) if _CAPITAL_RUN.search(text) else []
+    signs = len("".join(text.split())) - letters
     return [
         len(hits) / total,
         sum(weights) / total,
@@ -96,7 +112,7 @@ def features(text: str | None, lexicon: dict[str, float]) -> list[float]:
         max(weights, default=0.0),
         math.log1p(near),
         len(you) / total,
-        capitals / letters,
+        len(_CAPITAL.findall(text)) / letters,
         sum(len(word) > 2 and word.isupper() for word in cased) / total,
         max(0, signs) / len(text),
         (text.count("!") + text.count("?")) / len(text),
@@ -158,7 +174,7 @@ def learn_lexicon(sample: DataFrame, size: int = LEXICON_WORDS) -> dict[str, flo
 
         for batch in batches:
             for toxic, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                counts[toxic].update(set(_WORD.findall((text.as_py() or "").lower())))
+                counts[toxic].update(set(words_of((text.as_py() or "").lower())))
                 if sum(map(len, counts.values())) > FLUSHED_WORDS:
                     yield from flush()
         yield from flush()

@@ -4,7 +4,7 @@ import random
 import zlib
 
 import pytest
-from pyspark.sql import functions as F
+from hypothesis import given, settings, strategies as st
 
 from ledgerloom.llm import toxicity
 
@@ -16,6 +16,12 @@ def feature(text, name):
     return toxicity.features(text, LEXICON)[NAMES[name]]
 
 
+@given(st.text(alphabet="aZé0_ .,-!\u2014\u00a0\u00ab\u00b2\u4e2d\u0301\n", max_size=30))
+@settings(max_examples=200, deadline=None)
+def test_words_are_those_of_the_pattern(text):
+    assert toxicity.words_of(text) == toxicity._WORD.findall(text)
+
+
 def test_features():
     assert toxicity.features(None, LEXICON) == toxicity.features("", LEXICON) == toxicity.features(" ?! \n", LEXICON) == [0.0] * len(NAMES)
     assert feature("a zorp b fnarg", "hit_rate") == 0.5 and feature("a zorp b Fnarg!", "distinct_hits") == 2
