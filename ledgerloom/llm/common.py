@@ -111,4 +111,5 @@ def components(scratch: Scratch, edges: DataFrame) -> DataFrame:
             break
         seen = mark
     roots = links.select(v.alias("node"), v.alias("component")).distinct()
-    return links.select(u.alias("node"), v.alias("component")).unionByName(roots)
+    # stored: a join with a component that holds very many nodes can then be split
+    return scratch.store(links.select(u.alias("node"), v.alias("component")).unionByName(roots), "components")

@@ -191,7 +191,7 @@ def search(vectors: DataFrame, every: int = 20, k: int = NEIGHBOURS, covered: fl
     )
     moments = sorted(moments.collect())  # a row per component
     lengths = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda total, x: total + x.cast("double") * x))
-    longest, mean_lift, spread_lift = rows.select(F.max(lengths)).first()[0], 0.0, 0.0
+    longest = rows.select(F.max(lengths)).first()[0]
     lift = F.sqrt(F.greatest(F.lit(longest**2) - lengths * lengths, F.lit(0.0)))
     mean_lift, spread_lift = rows.select(F.avg(lift), F.stddev_pop(lift)).first()
     spread = [[row["mean"] for row in moments] + [mean_lift], [row["spread"] for row in moments] + [spread_lift]]

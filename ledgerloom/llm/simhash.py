@@ -195,7 +195,7 @@ def link(scratch: Scratch, prints: DataFrame, distance: int = MAX_DISTANCE) -> D
     )
     near = F.filter("pivots", lambda pivot: (_distance(F.col("fp"), pivot) <= distance) & (pivot != F.col("fp")))
     to_pivots = index.join(pivots, ["part", "value"]).select(F.col("fp").alias("a"), F.explode(near).alias("b"))
-    known = scratch.store(components(scratch, to_pivots), "known")
+    known = components(scratch, to_pivots)
 
     # pairs that the pivots left unconnected
     named = scratch.store(
@@ -230,6 +230,7 @@ def groups(scratch: Scratch, docs: DataFrame, words: int, distance: int) -> Data
     distinct = scratch.store(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
     linked = scratch.store(link(scratch, distinct.select("fp"), distance), "linked")
     firsts = linked.join(distinct, "fp").groupBy("component").agg(F.min("first").alias("component_id"))
+    firsts = scratch.store(firsts, "firsts")  # lets the join split a very large component
     named = scratch.store(linked.join(firsts, "component"), "named")
     return prints.join(named, "fp")
 
