@@ -208,7 +208,6 @@ def near_duplicates(vectors: DataFrame, min_cosine: float = MIN_COSINE, miss: fl
     names = components(scratch, links.select(F.col("node").alias("a"), F.col("root").alias("b")))
     known = distinct.select("node", "first", "copies", "vector")
     named = known.join(names, "node").groupBy("component").agg(F.min("first").alias("component_id"))
-    named = scratch.store(named, "named")  # lets the join split a very large component
     named = names.join(named, "component").select("node", "component_id")
     known = known.join(counts, "node", "left").join(named, "node", "left").select(
         "vector",
