@@ -1,9 +1,10 @@
 """Language identification, words first: known words by log frequency, unseen ones by ever shorter n-grams.
 
-Words and their character n-grams are counted per language over all training documents; the counts grow with
-the corpus, the model does not: the most frequent (language, word) and (language, n-gram) rows up to
-``MAX_WORDS`` and ``MAX_GRAMS`` are sent to the tasks. A word that is not among them is scored by the longest
-known n-gram at each of its positions, from ``LONGEST`` letters down to one.
+Words and their character n-grams are counted per language over all training documents, and all counts score. A
+word that was never seen is scored by the longest known n-gram at each of its positions, from ``LONGEST`` letters
+down to one. The counts grow with the corpus, what is sent to the tasks does not: the most frequent words up to
+``MAX_WORDS`` go there with their counts in every language, and the n-grams where both fit whole; other words of a
+text are looked up in the stored counts, by one join over distinct words and one over the n-grams of unseen ones.
 
 * documents whose crc32(doc_id) mod 5 is 0, without language or without id are never learned from;
 * a text that is null or has no letter is ``und`` with score 0, as is every text where nothing was learned;
@@ -97,6 +98,16 @@ def most_frequent(rows: DataFrame, at_most: int) -> DataFrame:
     return rows.where(step >= lowest) if math.isfinite(lowest) else rows.limit(0)
 
 
+@dataclass
+class Rest:
+    """All counts as tables (word, counts: one per language), and what each language's counts are divided by."""
+
+    words: DataFrame
+    word_sums: np.ndarray
+    grams: DataFrame
+    gram_sums: np.ndarray
+
+
 @dataclass
 class Model:
     """Log frequencies of words and n-grams, a row per entry and a column per language."""
@@ -106,6 +117,7 @@ class Model:
     word_logs: np.ndarray
     grams: dict[str, int]
     gram_logs: np.ndarray
+    rest: Rest | None = None  # the stored counts, where the entries above are not all
     unseen: dict[bytes, list[int]] = field(default_factory=dict)
 
     def _back_off(self, word: bytes) -> list[int]:
@@ -144,19 +156,19 @@ class Model:
         return self.langs[best], float(1 / np.exp(total - total[best]).sum())
 
 
-def _logs(rows: list, langs: list[str], totals: np.ndarray) -> tuple[dict[str, int], np.ndarray]:
-    place = {lang: k for k, lang in enumerate(langs)}
-    index: dict[str, int] = {}
-    for row in rows:
-        index.setdefault(row["word"], len(index))
-    counts = np.full((len(index), len(langs)), SMOOTHING)
-    for row in rows:
-        counts[index[row["word"]], place[row["lang"]]] += row["n"]
-    return index, np.log(counts / (totals + SMOOTHING * max(1, len(index)))).astype(np.float32)
+def _by_word(rows: DataFrame, langs: list[str]) -> DataFrame:
+    """(word, n, counts): all languages of a word in one row."""
+    counts = [F.coalesce(F.sum(F.when(F.col("lang") == lang, F.col("n"))), F.lit(0)) for lang in langs]
+    return rows.groupBy("word").agg(F.sum("n").alias("n"), F.array(*counts).cast("array<long>").alias("counts"))
+
+
+def _logs(rows: list, sums: np.ndarray) -> tuple[dict[str, int], np.ndarray]:
+    counts = np.array([row["counts"] for row in rows], float).reshape(len(rows), len(sums))
+    return {row["word"]: k for k, row in enumerate(rows)}, np.log((counts + SMOOTHING) / sums)
 
 
 def fit(docs: DataFrame, max_words: int = MAX_WORDS, max_grams: int = MAX_GRAMS) -> Model:
-    """Count words over all training documents, n-grams over all distinct words, and keep the most frequent."""
+    """Count words over all training documents and n-grams over all distinct words."""
     scratch = Scratch(docs.sparkSession)
     train = docs.where((F.crc32(docs["doc_id"].cast("string")) % FOLDS != 0) & docs["lang"].isNotNull())
     shape = "lang string, word string, n long"
@@ -169,27 +181,121 @@ def fit(docs: DataFrame, max_words: int = MAX_WORDS, max_grams: int = MAX_GRAMS)
     grams = scratch.store(grams, "grams")
     one = F.length("word") == 1
     letters = {row["lang"]: row["n"] for row in grams.where(one).groupBy("lang").agg(F.sum("n").alias("n")).collect()}
-    word_rows = most_frequent(words, max_words).orderBy("word", "lang").collect()
-    gram_rows = most_frequent(grams, max_grams).orderBy("word", "lang").collect()
-    word_index, word_logs = _logs(word_rows, order, np.array([langs[lang] for lang in order], float))
-    gram_index, gram_logs = _logs(gram_rows, order, np.array([letters.get(lang, 0) for lang in order], float))
+    all_words = scratch.store(_by_word(words, order), "word-counts")
+    all_grams = scratch.store(_by_word(grams, order), "gram-counts")
     scratch.drop(words, grams)
-    return Model(order, {word.encode(): row for word, row in word_index.items()}, word_logs, gram_index, gram_logs)
+    word_count, gram_count = all_words.count(), all_grams.count()
+    word_sums = np.array([langs[lang] for lang in order], float) + SMOOTHING * max(1, word_count)
+    gram_sums = np.array([letters.get(lang, 0) for lang in order], float) + SMOOTHING * max(1, gram_count)
+    # a row holds all languages: with very many of them fewer rows are sent
+    fewer = max(1, len(order) // 8)
+    word_rows = most_frequent(all_words, max_words // fewer).orderBy("word").collect()
+    whole = len(word_rows) == word_count and gram_count <= max_grams // fewer
+    gram_rows = all_grams.orderBy("word").collect() if whole else []
+    word_index, word_logs = _logs(word_rows, word_sums)
+    gram_index, gram_logs = _logs(gram_rows, gram_sums)
+    rest = None if whole else Rest(all_words, word_sums, all_grams, gram_sums)
+    return Model(order, {word.encode(): row for word, row in word_index.items()}, word_logs, gram_index, gram_logs, rest)
+
+
+def _positions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(number, at, size, word): the n-grams of every word, by the position where they start."""
+    names = ["number", "at", "size", "word"]
+    rows: list[tuple[int, int, int, str]] = []
+    for batch in batches:
+        for number, word in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            padded = f"^{word}$"
+            for at in range(len(padded)):
+                for size in range(1, min(LONGEST, len(padded) - at) + 1):
+                    rows.append((number, at, size, padded[at : at + size]))
+                if len(rows) >= FLUSHED:
+                    yield pa.RecordBatch.from_arrays([pa.array(column) for column in zip(*rows)], names)
+                    rows = []
+    if rows:
+        yield pa.RecordBatch.from_arrays([pa.array(column) for column in zip(*rows)], names)
+
+
+def _looked_up(scratch: Scratch, asked: DataFrame, rest: Rest) -> DataFrame:
+    """(word, logs) of distinct words: their own counts, for unseen words the mean of their longest known n-grams."""
+    every = range(len(rest.word_sums))
+
+    def logs(sums: np.ndarray) -> list:
+        return [F.log((F.col("counts")[k] + SMOOTHING) / F.lit(float(sums[k]))) for k in every]
+
+    found = asked.join(rest.words, "word", "left").select("word", "counts")
+    found = scratch.store(found.withColumn("number", F.monotonically_increasing_id()), "asked")
+    seen = found.where(F.col("counts").isNotNull()).select("word", F.array(*logs(rest.word_sums)).alias("logs"))
+    unseen = found.where(F.col("counts").isNull()).select("number", "word")
+    grams = unseen.mapInArrow(_positions, "number long, at long, size long, word string").join(rest.grams, "word")
+    grams = grams.select("number", "at", "size", *[log.alias(f"log_{k}") for k, log in enumerate(logs(rest.gram_sums))])
+    longest = grams.groupBy("number", "at").agg(*[F.max_by(f"log_{k}", "size").alias(f"log_{k}") for k in every])
+    means = longest.groupBy("number").agg(F.array(*[F.avg(f"log_{k}") for k in every]).alias("logs"))
+    return seen.unionByName(unseen.join(means, "number").select("word", "logs"))
+
+
+def _with_rest(rows: DataFrame, model: Model) -> DataFrame:
+    """Predictions where some words have to be looked up; the model's words are summed in the tasks."""
+    scratch = Scratch(rows.sparkSession)
+    rest, langs = model.rest, model.langs
+    sent = rows.sparkSession.sparkContext.broadcast((model.words, model.word_logs))
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index, word_logs = sent.value
+        for batch in batches:
+            sums, others, times = [], [], []
+            for text in batch.column(2):
+                words = words_of(text.as_py())
+                places = list(map(index.get, words))
+                known = [place for place in places if place is not None]
+                missing = Counter(word.decode() for word, place in zip(words, places) if place is None)
+                sums.append(word_logs[known].sum(axis=0).tolist() if words else None)
+                others.append(list(missing))
+                times.append(list(missing.values()))
+            columns = [
+                batch.column(0), batch.column(1), pa.array(sums, pa.list_(pa.float64())),
+                pa.array(others, pa.list_(pa.string())), pa.array(times, pa.list_(pa.int64())),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["number", "doc_id", "sums", "others", "times"])
+
+    shape = "number long, doc_id long, sums array<double>, others array<string>, times array<long>"
+    rows = rows.select(F.monotonically_increasing_id().alias("number"), "doc_id", "text")
+    rows = scratch.store(rows.mapInArrow(summed, shape), "summed")
+    others = rows.select("number", F.explode(F.arrays_zip("others", "times")).alias("of"))
+    others = others.select("number", F.col("of.others").alias("word"), F.col("of.times").alias("times"))
+    logs = scratch.store(_looked_up(scratch, others.select("word").distinct(), rest), "looked-up")
+    every = range(len(langs))
+    more = others.join(logs, "word").groupBy("number").agg(
+        F.array(*[F.sum(F.col("times") * F.col("logs")[k]) for k in every]).alias("more")
+    )
+    total = F.array(*[F.col("sums")[k] + F.coalesce(F.col("more")[k], F.lit(0.0)) for k in every])
+    total = rows.select("number", "doc_id", "sums").join(more, "number", "left").select(
+        "doc_id", F.when(F.col("sums").isNotNull(), total).alias("total")
+    )
+    most = F.array_max("total")
+    first = F.get(F.array(*map(F.lit, langs)), (F.array_position("total", most) - 1).cast("int"))
+    shares = F.aggregate("total", F.lit(0.0), lambda sum_, x: sum_ + F.exp(x - most))
+    return total.select(
+        "doc_id", F.coalesce(first, F.lit(UNKNOWN)).alias("lang_pred"), F.coalesce(1 / shares, F.lit(0.0)).alias("score")
+    )
 
 
 def identify(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, held_out, lang_pred, score."""
-    model = docs.sparkSession.sparkContext.broadcast(fit(docs))
-
-    def predicted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        predict = model.value.predict
-        for batch in batches:
-            found = [predict(text.as_py()) for text in batch.column(1)]
-            langs, scores = zip(*found) if found else ((), ())
-            columns = [batch.column(0), pa.array(langs, pa.string()), pa.array(scores, pa.float64())]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "lang_pred", "score"])
-
+    fitted = fit(docs)
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"])
-    rows = rows.mapInArrow(predicted, "doc_id long, lang_pred string, score double")
+    if fitted.rest is not None:
+        rows = _with_rest(rows, fitted)
+    else:
+        model = docs.sparkSession.sparkContext.broadcast(fitted)
+
+        def predicted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            predict = model.value.predict
+            for batch in batches:
+                found = [predict(text.as_py()) for text in batch.column(1)]
+                langs, scores = zip(*found) if found else ((), ())
+                columns = [batch.column(0), pa.array(langs, pa.string()), pa.array(scores, pa.float64())]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "lang_pred", "score"])
+
+        rows = rows.mapInArrow(predicted, "doc_id long, lang_pred string, score double")
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % FOLDS == 0, F.lit(False))
     return rows.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")

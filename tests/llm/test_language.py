@@ -79,3 +79,22 @@ def test_words():
     words = [word.decode() for word in language.words_of("The CAT's 2nd \u00c9t\u00e9_x")]
     assert words == ["the", "cat", "s", "nd", "\u00e9t\u00e9", "x"]
     assert language.words_of("\u2026 \u2014 \u00ab\u00bb 12") == [] and language.words_of("\u4e2d\u6587") and not language.words_of(None)
+
+
+def test_what_is_not_sent_to_the_tasks_scores_all_the_same(spark, monkeypatch):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").limit(400)
+    docs = docs.unionByName(table(spark, [(-1, None, "en", "s"), (-2, "12 !", "en", "s")]), allowMissingColumns=True)
+    whole = {row["doc_id"]: row for row in language.identify(docs).collect()}
+    for max_words, max_grams in ((0, 0), (300, 50), (language.MAX_WORDS, 0)):
+        monkeypatch.setattr(language.fit, "__defaults__", (max_words, max_grams))
+        found = {row["doc_id"]: row for row in language.identify(docs).collect()}
+        assert {k: row["lang_pred"] for k, row in found.items()} == {k: row["lang_pred"] for k, row in whole.items()}
+        assert all(row["score"] == pytest.approx(whole[k]["score"], abs=1e-6) for k, row in found.items())
+
+
+def test_a_small_language_keeps_its_words(spark, monkeypatch):
+    monkeypatch.setattr(language.fit, "__defaults__", (4, 4))
+    ids = [k for k in range(500, 600) if zlib.crc32(str(k).encode()) % 5]
+    rows = ROWS + [(ids[0], "hela koti meri", "fi", "s"), (ids[1], "koti", None, "s"), (ids[2], "kot", None, "s")]
+    found = {row["doc_id"]: row["lang_pred"] for row in language.identify(table(spark, rows)).collect()}
+    assert found[ids[1]] == found[ids[2]] == "fi" and found[0] == "en" and found[100] == "de"
