@@ -3,7 +3,8 @@
 Vectors get one more component that makes largest inner product the same as least distance. ``CURVES`` random
 rotations, each shifted, project them to a few dimensions and order them along a Hilbert curve; Spark sorts
 every curve by range partitioning. A query looks at the vectors within a window around its place on each
-curve; the windows of all curves are merged and ranked by the exact inner product.
+curve; the windows of all curves are merged and ranked by the exact inner product. Only candidates have ranks
+on the curves, a query stands at the rank of the candidate before it, so queries never push candidates away.
 
 The window is measured, not guessed: for ``MEASURED`` queries the true neighbours are found by a scan of all
 vectors, and the window is the distance along the nearest curve that covers ``COVERED`` of them. On data
@@ -14,7 +15,7 @@ vectors and one slot of queries.
 * vectors that are null, empty, zero or hold null or non-finite components neither ask nor are found; so are
   vectors of another length than the most frequent one;
 * of equal vectors only the 21 smallest ids can be among 20 neighbours, the others are left out before the
-  search (a grouped limit, not a sample); every query still asks;
+  search (a grouped limit, not a sample); equal queries ask once, and each gets the answer without itself;
 * ties go to the smaller vec_id; a null vec_id is not searched; repeated ids are each other's candidates;
 * an empty table gives an empty result; fewer candidates than neighbours give shorter lists.
 """
@@ -25,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ledgerloom.llm.common import Scratch
@@ -133,14 +135,24 @@ def _places(size: int, longest: float, spread: list[list[float]]):
     return placed
 
 
-def _measured_best(queries: np.ndarray, own: np.ndarray, k: int):
+def _ranked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Number of candidates up to every row of a sorted partition."""
+    part, before = TaskContext.get().partitionId(), 0
+    for batch in batches:
+        rank = before + np.cumsum(batch.column("kind").to_numpy() == 0)
+        before = int(rank[-1]) if len(rank) else before
+        columns = [pa.array(np.full(len(rank), part)), *[batch.column(name) for name in ("curve", "kind", "node")], pa.array(rank)]
+        yield pa.RecordBatch.from_arrays(columns, ["part", "curve", "kind", "node", "rank"])
+
+
+def _measured_best(queries: np.ndarray, names: np.ndarray, own: np.ndarray, k: int):
     """The best of each batch for a few given queries."""
 
     def scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             nodes, ids = batch.column(0).to_numpy(), batch.column(2).to_numpy()
             asked, found, exact = best(queries, own, _matrix(batch.column(1)), nodes, ids, k)
-            columns = [pa.array(own[asked]), pa.array(nodes[found]), pa.array(ids[found]), pa.array(exact)]
+            columns = [pa.array(names[asked]), pa.array(nodes[found]), pa.array(ids[found]), pa.array(exact)]
             yield pa.RecordBatch.from_arrays(columns, ["asked", "node", "vec_id", "score"])
 
     return scanned
@@ -156,7 +168,8 @@ def _searched(k: int):
         out = []
         for at in range(0, len(asks) if len(found) else 0, 512):
             some = asks[at : at + 512]
-            asked, hit, exact = best(vectors[some], nodes[some], vectors[found], nodes[found], ids[found], k)
+            none = np.full(len(some), -1)  # own rows are taken out where the copies of a query are joined back
+            asked, hit, exact = best(vectors[some], none, vectors[found], nodes[found], ids[found], k)
             out.append((nodes[some][asked], nodes[found][hit], ids[found][hit], exact))
         columns = [np.concatenate(column) for column in zip(*out)] if out else [np.zeros(0, np.int64)] * 3 + [np.zeros(0)]
         return pa.table([pa.array(column) for column in columns], names=["asked", "node", "vec_id", "score"])
@@ -179,11 +192,15 @@ def search(vectors: DataFrame, every: int = 20, k: int = NEIGHBOURS, covered: fl
     # of equal vectors only the k + 1 smallest ids can be neighbours; the limit works before the shuffle
     same = F.row_number().over(Window.partitionBy("vector").orderBy("vec_id"))
     tops = rows.withColumn("among", same).where(F.col("among") <= k + 1).groupBy("vector").agg(F.max("vec_id").alias("top"))
-    tops = scratch.store(tops.withColumnRenamed("vector", "of"), "tops")
+    tops = tops.withColumnRenamed("vector", "of").withColumn("same", F.monotonically_increasing_id())
+    tops = scratch.store(tops, "tops")
     rows = rows.join(tops, F.col("vector") == F.col("of")).select(
-        "vec_id", "vector", (F.col("vec_id") % every == 0).alias("asks"), (F.col("vec_id") <= F.col("top")).alias("found")
+        "same", "vec_id", "vector", (F.col("vec_id") % every == 0).alias("asks"), (F.col("vec_id") <= F.col("top")).alias("found")
     )
     rows = scratch.store(rows.where("asks OR found").withColumn("node", F.monotonically_increasing_id()), "vectors")
+    names = rows.where("asks").select("same", F.col("node").alias("own"), F.col("vec_id").alias("query_id"))
+    queries = tops.join(names.select("same").distinct(), "same", "left_semi")
+    queries = scratch.store(queries.select(F.col("same").alias("node"), F.col("of").alias("vector")), "queries")
 
     # scale of the components, and places on the curves
     moments = rows.select(F.posexplode("vector").alias("at", "x"), "node").groupBy("at").agg(
@@ -195,29 +212,36 @@ def search(vectors: DataFrame, every: int = 20, k: int = NEIGHBOURS, covered: fl
     lift = F.sqrt(F.greatest(F.lit(longest**2) - lengths * lengths, F.lit(0.0)))
     mean_lift, spread_lift = rows.select(F.avg(lift), F.stddev_pop(lift)).first()
     spread = [[row["mean"] for row in moments] + [mean_lift], [row["spread"] for row in moments] + [spread_lift]]
-    placed = rows.select("node", "vector", "asks", "found").mapInArrow(
+    points = rows.where("found").select("node", "vector", F.lit(False).alias("asks"), F.lit(True).alias("found"))
+    points = points.unionByName(queries.select("node", "vector", F.lit(True).alias("asks"), F.lit(False).alias("found")))
+    placed = points.mapInArrow(
         _places(size, longest, spread), "curve int, place long, kind int, node long"
     )
     order = ["curve", "place", "kind", "node"]
     placed = placed.repartitionByRange(*order).sortWithinPartitions(*order)
-    placed = scratch.store(placed.withColumn("id", F.monotonically_increasing_id()), "places")
-    part, row = F.shiftright("id", 33), F.col("id").bitwiseAND(F.lit((1 << 33) - 1))
-    counts = sorted(placed.groupBy(part.alias("part")).count().collect())  # a row per partition
+    placed = scratch.store(placed.mapInArrow(_ranked, "part long, curve int, kind int, node long, rank long"), "places")
+    counts = sorted(placed.groupBy("part").agg(F.max("rank")).collect())  # a row per partition
     before, total = [], 0
     for number, count in counts:
         before.append((number, total))
         total += count
     offsets = spark.createDataFrame(before, "part long, before long")
-    placed = placed.withColumn("part", part).join(F.broadcast(offsets), "part")
-    placed = scratch.store(placed.select("curve", "kind", "node", (F.col("before") + row).alias("at")), "ranked")
+    placed = placed.join(F.broadcast(offsets), "part")
+    placed = scratch.store(placed.select("curve", "kind", "node", (F.col("before") + F.col("rank")).alias("at")), "ranked")
 
     # measure the window on a few queries, against all vectors
-    few = rows.where("asks").orderBy(F.xxhash64("vec_id"), "node").limit(MEASURED).select("node", "vector").collect()
+    few = queries.orderBy(F.xxhash64("vector"), "node").limit(MEASURED).collect()
     if not few:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    own = np.array([row["node"] for row in few], np.int64)
-    queries = np.array([row["vector"] for row in few], np.float64)
-    scanned = rows.where("found").select("node", "vector", "vec_id").mapInArrow(_measured_best(queries, own, k), found_shape)
+    few_names = [row["node"] for row in few]
+    # one candidate of each stands for the query itself, which is not its own neighbour
+    selves = rows.where(F.col("found") & F.col("same").isin(few_names)).groupBy("same").agg(F.min("node").alias("node"))
+    selves = {row["same"]: row["node"] for row in selves.collect()}
+    own = np.array([selves[name] for name in few_names], np.int64)
+    few_vectors = np.array([row["vector"] for row in few], np.float64)
+    scanned = rows.where("found").select("node", "vector", "vec_id").mapInArrow(
+        _measured_best(few_vectors, np.array(few_names, np.int64), own, k), found_shape
+    )
     ranks = F.row_number().over(Window.partitionBy("asked").orderBy(F.desc("score"), "vec_id", "node"))
     truth = scanned.withColumn("rank", ranks).where(F.col("rank") <= k).select("asked", F.col("node").alias("hit"))
     truth = scratch.store(truth, "truth")  # MEASURED x k rows
@@ -233,20 +257,23 @@ def search(vectors: DataFrame, every: int = 20, k: int = NEIGHBOURS, covered: fl
     # blocks of places and slots of queries
     block = min(window, MOST_BLOCK)
     places_of_a_curve = max(1, total // CURVES)
-    asked = rows.where("asks").count()
+    asked = queries.count()
     met = asked * min(1.0, (2 * window + block) / places_of_a_curve)
     slots = max(1, round(met / SLOT))
-    full = placed.join(rows.select("node", "vector", "vec_id"), "node")
-    lists = full.where("kind = 0").select(
+    lists = placed.where("kind = 0").join(rows.where("found").select("node", "vector", "vec_id"), "node").select(
         "curve", F.floor(F.col("at") / block).alias("block"), F.explode(F.sequence(F.lit(0), F.lit(slots - 1))).alias("slot"),
         "kind", "node", "vec_id", "vector",
     )
     first, last = F.floor((F.col("at") - window) / block), F.floor((F.col("at") + window) / block)
-    looks = full.where("kind = 1").select(
+    looks = queries.withColumn("vec_id", F.lit(-1).cast("long"))  # not read
+    looks = placed.where("kind = 1").join(looks, "node").select(
         "curve", F.explode(F.sequence(first, last)).alias("block"), F.pmod(F.xxhash64("node"), F.lit(slots)).cast("int").alias("slot"),
         "kind", "node", "vec_id", "vector",
     )
-    hits = lists.unionByName(looks).groupBy("curve", "block", "slot").applyInArrow(_searched(k), found_shape)
-    hits = hits.distinct().withColumn("rank", ranks).where(F.col("rank") <= k)
-    names = rows.where("asks").select(F.col("node").alias("asked"), F.col("vec_id").alias("query_id"))
-    return hits.join(names, "asked").select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    hits = lists.unionByName(looks).groupBy("curve", "block", "slot").applyInArrow(_searched(k + 1), found_shape)
+    hits = hits.distinct().withColumn("rank", ranks).where(F.col("rank") <= k + 1)
+    answers = hits.groupBy("asked").agg(F.sort_array(F.collect_list(F.struct("rank", "node", "vec_id", "score"))).alias("answer"))
+    answers = scratch.store(answers, "answers")  # so that the join of a query with very many copies can be split
+    others = F.slice(F.filter("answer", lambda hit: hit["node"] != F.col("own")), 1, k)
+    rows = names.join(answers, F.col("same") == F.col("asked")).select("query_id", F.posexplode(others).alias("at", "hit"))
+    return rows.select("query_id", (F.col("at") + 1).alias("rank"), F.col("hit.vec_id").alias("vec_id"), F.col("hit.score").alias("score"))

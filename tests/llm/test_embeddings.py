@@ -134,3 +134,18 @@ def test_few_and_unusable_vectors(spark):
     assert answers(table(spark, vectors).selectExpr("*", "1 as curve", "2 as at")) == {0: [(4, 1.0)]}
     assert answers(table(spark, [])) == {} and answers(table(spark, [[1, 2]], first=7)) == {}
     assert answers(table(spark, [[1, 2]], first=20)) == {}
+
+
+def test_queries_with_more_copies_than_the_window(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "LEAST_WINDOW", 8)
+    random = np.random.default_rng(9)
+    vectors = random.standard_normal((4000, 16))
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    vectors[1000:2000] = vectors[1000]  # 50 equal queries
+    rows = neighbours.search(table(spark, vectors.astype("f4")), covered=0.05).where("query_id BETWEEN 1000 AND 1999").collect()
+    found = {}
+    for row in sorted(rows, key=lambda row: row["rank"]):
+        found.setdefault(row["query_id"], []).append(row["vec_id"])
+    copies = range(1000, 1021)
+    assert found == {k: [c for c in copies if c != k][:20] for k in range(1000, 2000, 20)}
+    assert sorted(row["rank"] for row in rows if row["query_id"] == 1000) == list(range(1, 21))
