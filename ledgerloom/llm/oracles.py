@@ -49,4 +49,40 @@ SELECT doc_id, CASE WHEN spread_chars <= 0.5 * chars THEN n ELSE 0 END::INTEGER
 FROM docs LEFT JOIN judged USING (r)
 """
 
-ORACLES: dict[str, str] = {"op4_line_dedup": OP4, "op7_mixing": OP7}
+_WHOLE = r"""
+  SELECT row_number() OVER () AS r, vec_id, label, list_transform(embedding, lambda c: floor(256 * c::DOUBLE))::DOUBLE[] AS x
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+"""
+
+#: All anchors against all rows.
+OP11 = rf"""
+WITH whole AS ({_WHOLE}),
+v AS (SELECT r, vec_id, x, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label FROM whole WHERE label IS NOT NULL),
+scored AS (
+  SELECT a.r AS a, a.vec_id AS anchor_id, c.r AS c, c.vec_id, c.label = a.label AS same, list_inner_product(a.x, c.x)::BIGINT AS score
+  FROM v a JOIN v c ON len(a.x) = len(c.x) WHERE a.vec_id % 100 = 0),
+positives AS (
+  SELECT a, anchor_id, c, vec_id AS positive_id, score AS positive_score FROM scored WHERE same AND a <> c
+  QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, vec_id, c) <= 5)
+SELECT p.anchor_id, positive_id, row_number() OVER w AS rank, n.vec_id AS negative_id, positive_score, n.score AS negative_score
+FROM positives p JOIN scored n ON p.a = n.a AND NOT n.same AND 80 * positive_score <= 100 * n.score AND n.score <= positive_score
+WINDOW w AS (PARTITION BY p.a, p.c ORDER BY n.score DESC, n.vec_id, n.c)
+QUALIFY row_number() OVER w <= 5
+"""
+
+#: All queries against all rows.
+OP13 = rf"""
+WITH v AS ({_WHOLE})
+SELECT q.vec_id AS query_id, row_number() OVER w AS rank, c.vec_id, list_inner_product(q.x, c.x)::BIGINT AS score
+FROM v q JOIN v c ON q.r <> c.r AND len(q.x) = len(c.x) WHERE q.vec_id % 50 = 0
+WINDOW w AS (PARTITION BY q.r ORDER BY list_inner_product(q.x, c.x) DESC, c.vec_id)
+QUALIFY row_number() OVER w <= 5
+"""
+
+ORACLES: dict[str, str] = {
+    "op4_line_dedup": OP4,
+    "op7_mixing": OP7,
+    "op11_hard_negatives": OP11,
+    "op13_pivot_search": OP13,
+}

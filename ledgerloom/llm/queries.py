@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerloom.llm import embeddings, language, line_dedup, mixing, neighbours, packing, simhash, suffixes, toxicity, warc
+from ledgerloom.llm import (
+    embeddings, hard_negatives, language, line_dedup, mixing, neighbours, packing, pivot_search, simhash, suffixes,
+    toxicity, warc, whitening,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -76,6 +79,19 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "embeddings")
+    return hard_negatives.mine(rows.withColumn("label", hard_negatives.shifted_label(F.col("vec_id"), F.col("label"))))
+
+
+def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(table(spark, folder, "embeddings"))
+
+
+def op13_pivot_search(spark: SparkSession, folder: str) -> DataFrame:
+    return pivot_search.search(table(spark, folder, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_suffixes": op1_suffixes,
     "op2_embeddings": op2_embeddings,
@@ -87,4 +103,7 @@ QUERIES: dict[str, Query] = {
     "op8_packing": op8_packing,
     "op9_simhash": op9_simhash,
     "op10_toxicity": op10_toxicity,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_whitening": op12_whitening,
+    "op13_pivot_search": op13_pivot_search,
 }
