@@ -808,3 +808,13 @@ ORACLES["dq_broken_input"] = _with(
     ),
     "broken_people", "broken_rows", "broken_credit",
 )
+
+# --- the same results by other ways ----------------------------------------------------------------------
+
+for _name, _same in {
+    "state_fact_carried": "state_fact",
+    "metrics_merged": "transaction_metrics",
+    "fact_new_rows_indexed": "fact_new_rows",
+    "v_monthly_trends_rollup": "v_monthly_trends",
+}.items():
+    ORACLES[_name] = ORACLES[_same]

@@ -15,7 +15,8 @@ from ledgerloom.functions import dates, labels, text
 from ledgerloom.operators import merge, scaling
 from ledgerloom.operators.hot_keys import HotKeyPolicy
 from ledgerloom.operators.keys import fill_keys
-from ledgerloom.plans import daily, products, profile, quality, scoring, staging, warehouse
+from ledgerloom.plans import daily, partials, products, profile, quality, scoring, staging, warehouse
+from ledgerloom.plans.daily import Upkeep
 from ledgerloom.session import scratch_folder
 from ledgerloom.sources.tables import ANALYTICS, STAGING, WAREHOUSE, TableStore
 from ledgerloom.views import register_functions, register_views
@@ -505,6 +506,48 @@ def _run_two_days(store: TableStore, folder: str) -> TableStore:
     return store
 
 
+def _loaded(spark: SparkSession, folder: str, upkeep: Upkeep, batches: list[DataFrame]) -> TableStore:
+    """Customers, and batches of transactions loaded one after the other; each but the first repeats known rows."""
+    store = new_store(spark)
+    customers = store.replace(WAREHOUSE, "dim_customer", keyed_customers(spark, folder))
+    for batch in batches:
+        daily.load_fact(store, store.replace(STAGING, "transactions", batch), customers, upkeep=upkeep)
+    return store
+
+
+def _batches(spark: SparkSession, folder: str, *days: str) -> list[DataFrame]:
+    """The first load, what was delivered again or anew before each day, and the whole second load."""
+    rows = inputs.delivered_transactions(spark, folder)
+    again = F.col("delivered") >= F.lit(inputs.REDELIVERED).cast("timestamp_ntz")
+    between = [rows.filter(again & (F.col("delivered") < F.lit(day).cast("timestamp_ntz"))).drop("delivered") for day in days]
+    return [inputs.first_load(spark, folder), *between, inputs.second_load(spark, folder)]
+
+
+def state_fact_carried(spark: SparkSession, folder: str) -> DataFrame:
+    """The fact table after two loads that store its running columns; many rows of the second come late."""
+    store = _loaded(spark, folder, Upkeep(carry=True), _batches(spark, folder))
+    return comparable(daily.read_fact_with_history(store))
+
+
+def metrics_merged(spark: SparkSession, folder: str) -> DataFrame:
+    """Metrics per customer from the parts of three loads; the fact table is not read."""
+    store = _loaded(spark, folder, Upkeep(parts=True), _batches(spark, folder, "2024-02-01 00:00:00"))
+    return comparable(partials.stored_metrics(store, AS_OF))
+
+
+def fact_new_rows_indexed(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows the second load adds, known ones told by the index of ids."""
+    store = _loaded(spark, folder, Upkeep(ids=True, id_buckets=16), _batches(spark, folder))
+    added = daily.fact_load(store, daily.fact_loads(store)[-1])
+    return comparable(added.select("transaction_key", "transaction_id", "customer_id", "amount"))
+
+
+def v_monthly_trends_rollup(spark: SparkSession, folder: str) -> DataFrame:
+    """Monthly trends from the totals and customer bitmaps of two loads."""
+    store = _loaded(spark, folder, Upkeep(parts=True), _batches(spark, folder))
+    return comparable(daily.monthly_trends(store, AS_OF))
+
+
 def state_fact(spark: SparkSession, folder: str) -> DataFrame:
     """The fact table with its running columns after two days."""
     return comparable(daily.read_fact_with_history(two_days(spark, folder)))
@@ -625,6 +668,10 @@ QUERIES: dict[str, Query] = {
     "ingest_credit": ingest_table("credit_scores"),
     "ingest_figures": ingest_figures,
     "state_fact": state_fact,
+    "state_fact_carried": state_fact_carried,
+    "metrics_merged": metrics_merged,
+    "fact_new_rows_indexed": fact_new_rows_indexed,
+    "v_monthly_trends_rollup": v_monthly_trends_rollup,
     "state_fact_selected": state_fact_selected,
     "state_dim_customer": state_dim_customer,
     "state_dim_credit": state_dim_credit,

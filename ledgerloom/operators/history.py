@@ -90,7 +90,7 @@ def _carry_between_slices(transactions: DataFrame, slicing: Slicing, time: str)
     )
 
 
-def _sum_of_known(left: Column, right: Column) -> Column:
+def sum_of_known(left: Column, right: Column) -> Column:
     """Sum that skips nulls, as SQL sums do."""
     return F.coalesce(left + right, left, right)
 
@@ -104,7 +104,7 @@ def _continue_slices(local: DataFrame, carry: DataFrame, columns: list[str], tim
         *columns,
         SLICE,
         (F.col("transaction_sequence") + F.coalesce("_rows_before", F.lit(0))).alias("transaction_sequence"),
-        _sum_of_known(F.col("_total_before"), F.col("running_total")).alias("running_total"),
+        sum_of_known(F.col("_total_before"), F.col("running_total")).alias("running_total"),
         F.when(first_in_slice & is_hot, F.datediff(F.col(time), F.col("_last_before")))
         .otherwise(F.col("days_since_last_transaction"))
         .alias("days_since_last_transaction"),

@@ -19,18 +19,22 @@ from ledgerloom import schemas
 from ledgerloom.functions import dates, labels
 from ledgerloom.operators.hot_keys import HotKeyPolicy
 from ledgerloom.operators.merge import new_rows, require_unique
-from ledgerloom.plans import products, profile, quality, scoring, staging, warehouse
+from ledgerloom.plans import partials, products, profile, quality, running, scoring, staging, warehouse
 from ledgerloom.sources.csv_files import MALFORMED, read_csv
+from ledgerloom.sources.id_index import BUCKETS, IdIndex
+from ledgerloom.sources.loads import catch_up, newest
 from ledgerloom.sources.tables import ANALYTICS, STAGING, WAREHOUSE, TableStore
 
 RUN_NAME = "daily_risk_run"
+FACT = "fact_transactions"
+FACT_STORED = T.StructType([*schemas.FACT_TRANSACTIONS.fields, T.StructField(warehouse.MONTH, schemas.DAY)])
 SUCCESS, FAILED = "SUCCESS", "FAILED"
 OUT_OF_RANGE = "scores_out_of_range"
 # Tables of which every run writes a new version.
 REPLACED = [
     (STAGING, "customers"), (STAGING, "transactions"), (STAGING, "credit_scores"), (STAGING, "transactions_new"),
     (STAGING, "customer_profile"), (WAREHOUSE, "dim_customer"), (WAREHOUSE, "dim_credit"),
-    (WAREHOUSE, "fact_counts"), (ANALYTICS, "customer_profile"), (ANALYTICS, "pipeline_runs"),
+    (WAREHOUSE, running.STATE), (ANALYTICS, "customer_profile"), (ANALYTICS, "pipeline_runs"),
 ]
 # Checks that show that every staged row has an id of its own.
 UNIQUE_IDS = ["duplicate_customer_ids", "duplicate_transaction_ids", "null_customer_id", "null_transaction_id"]
@@ -47,6 +51,21 @@ CLEANERS = {
 }
 
 
+@dataclass(frozen=True)
+class Upkeep:
+    """What a load keeps beside the rows, so that later loads and reports need not read the history.
+
+    ``carry`` stores the running columns (``plans.running``), ``parts`` the parts metrics and trends are merged from
+    (``plans.partials``), ``ids`` an index of the transaction ids in ``id_buckets`` buckets, a number that never
+    changes. Parts and index catch up when they are switched on later, stored running columns do not.
+    """
+
+    carry: bool = False
+    parts: bool = False
+    ids: bool = False
+    id_buckets: int = BUCKETS
+
+
 @dataclass(frozen=True)
 class Ingested:
     """What one file brought: rows read, rows written, and what was rejected on the way."""
@@ -127,7 +146,11 @@ def check_input(store: TableStore, ingested: list[Ingested]) -> DataFrame:
 
 
 def load_warehouse(
-    store: TableStore, as_of: dates.AsOf = None, at: Column | None = None, known_unique: bool = False
+    store: TableStore,
+    as_of: dates.AsOf = None,
+    at: Column | None = None,
+    known_unique: bool = False,
+    upkeep: Upkeep = Upkeep(),
 ) -> None:
     """Bring dimensions and fact table up to date with staging.
 
@@ -144,34 +167,86 @@ def load_warehouse(
     customers = store.replace(
         WAREHOUSE, "dim_customer", warehouse.merge_dimension(stored, incoming, "customer_key")
     )
+    load_fact(store, store.read(STAGING, "transactions"), customers, at, upkeep)
 
-    batch = store.read(STAGING, "transactions")
-    fact = read_fact(store)
-    fresh = batch
-    if store.exists(WAREHOUSE, "fact_transactions"):
+    scores = warehouse.dim_credit(store.read(STAGING, "credit_scores"), customers, at)
+    credit = store.read(WAREHOUSE, "dim_credit", schemas.DIM_CREDIT)
+    store.replace(WAREHOUSE, "dim_credit", warehouse.merge_dimension(credit, scores, "credit_key"))
+
+
+def load_fact(
+    store: TableStore, batch: DataFrame, customers: DataFrame, at: Column | None = None, upkeep: Upkeep = Upkeep()
+) -> None:
+    """Add those transactions of a stored batch that the fact table does not hold yet.
+
+    Everything kept per load is caught up before and after: before, because a lost run may have left the last
+    load without its part.
+    """
+    carry = upkeep.carry or store.exists(WAREHOUSE, running.ROWS)
+    if carry and store.exists(WAREHOUSE, FACT):
+        raise ValueError("running columns are stored from the first load of a store on, or not at all")
+    keep_up(store, upkeep)
+    fact, fresh = read_fact(store), batch
+    if fact_loads(store):
         # stored, because telling new rows from known ones reads the ids of the whole history
-        fresh = store.replace(STAGING, "transactions_new", new_rows(batch, fact, "transaction_id"))
+        fresh = transaction_ids(store, upkeep.id_buckets).new_rows(batch) if upkeep.ids else new_rows(batch, fact, "transaction_id")
+        fresh = store.replace(STAGING, "transactions_new", fresh)
     added = warehouse.with_month(warehouse.keyed_fact_rows(fresh, fact, customers, at))
-    # rows of a month go to as few files as their size allows; adaptive execution splits a large month
-    store.append(WAREHOUSE, "fact_transactions", added.hint("rebalance", warehouse.MONTH), [warehouse.MONTH])
+    if carry:
+        running.load(store, store.replace(STAGING, "fact_added", added))
+    else:
+        # rows of a month go to as few files as their size allows; adaptive execution splits a large month
+        store.append(WAREHOUSE, FACT, added.hint("rebalance", warehouse.MONTH), [warehouse.MONTH])
+    keep_up(store, upkeep)
 
-    counts = fresh.groupBy("customer_id").agg(F.count("*").alias("rows")).unionByName(read_counts(store))
-    store.replace(WAREHOUSE, "fact_counts", counts.groupBy("customer_id").agg(F.sum("rows").alias("rows")))
 
-    scores = warehouse.dim_credit(store.read(STAGING, "credit_scores"), customers, at)
-    credit = store.read(WAREHOUSE, "dim_credit", schemas.DIM_CREDIT)
-    store.replace(WAREHOUSE, "dim_credit", warehouse.merge_dimension(credit, scores, "credit_key"))
+def transaction_ids(store: TableStore, buckets: int = BUCKETS) -> IdIndex:
+    return IdIndex(store, WAREHOUSE, "transaction_ids", "transaction_id", buckets)
+
+
+def keep_up(store: TableStore, upkeep: Upkeep = Upkeep()) -> None:
+    """Work out what is kept per fact load wherever it is missing."""
+    loads = fact_loads(store)
+
+    def counts_of(load: int) -> DataFrame:
+        return fact_load(store, load).groupBy("customer_id").agg(F.count("*").alias("rows"))
+
+    catch_up(store, WAREHOUSE, "fact_counts", loads, counts_of, _merged_counts)
+    if upkeep.parts:
+        partials.keep_up(store, loads, lambda load: fact_load(store, load))
+    if upkeep.ids:
+        transaction_ids(store, upkeep.id_buckets).catch_up(loads, lambda load: fact_load(store, load).select("transaction_id"))
+
+
+def fact_loads(store: TableStore) -> list[int]:
+    """Numbers of the committed loads of the fact table."""
+    if store.exists(WAREHOUSE, running.ROWS):
+        return [load for load in newest(store, WAREHOUSE, running.ROWS)[1] if load <= running.committed(store)]
+    return newest(store, WAREHOUSE, FACT)[1]
+
+
+def fact_load(store: TableStore, load: int) -> DataFrame:
+    """Rows that one load has brought, with their month."""
+    if store.exists(WAREHOUSE, running.ROWS):
+        rows = store.read(WAREHOUSE, running.ROWS, schemas.FACT_RUNNING, only=[load])
+        return rows.filter(~F.col("repeated")).select(*running.STORED)
+    return store.read(WAREHOUSE, FACT, FACT_STORED, only=[load])
 
 
 def read_fact(store: TableStore) -> DataFrame:
     """Stored fact rows with their month; empty before the first load."""
-    stored = T.StructType([*schemas.FACT_TRANSACTIONS.fields, T.StructField(warehouse.MONTH, schemas.DAY)])
-    return store.read(WAREHOUSE, "fact_transactions", stored)
+    if store.exists(WAREHOUSE, running.ROWS):
+        return running.valid_rows(store).select(*running.STORED)
+    return store.read(WAREHOUSE, FACT, FACT_STORED)
 
 
 def read_counts(store: TableStore) -> DataFrame:
     """Fact rows per customer; empty before the first load."""
-    return store.read(WAREHOUSE, "fact_counts", schemas.FACT_COUNTS)
+    return _merged_counts(store.read(WAREHOUSE, "fact_counts", schemas.FACT_COUNTS))
+
+
+def _merged_counts(parts: DataFrame) -> DataFrame:
+    return parts.groupBy("customer_id").agg(F.sum("rows").alias("rows"))
 
 
 def read_fact_with_history(
@@ -180,8 +255,11 @@ def read_fact_with_history(
     """The fact table as users read it, running columns included; of some customers only, if they are named.
 
     ``customers`` are ids or a table with a ``customer_id``. They limit every scan of the fact table, which a
-    filter on the result would not. Very large customers are known from the stored counts.
+    filter on the result would not. Very large customers are known from the stored counts. A store that keeps its
+    running columns needs no window.
     """
+    if store.exists(WAREHOUSE, running.ROWS):
+        return running.read(store, customers)
     fact, counts = read_fact(store), read_counts(store)
     if isinstance(customers, DataFrame):
         ids = customers.select("customer_id").distinct()
@@ -192,10 +270,16 @@ def read_fact_with_history(
 
 
 def score_customers(
-    store: TableStore, as_of: dates.AsOf = None, at: Column | None = None, ml_scaling: bool = True
+    store: TableStore, as_of: dates.AsOf = None, at: Column | None = None, ml_scaling: bool = True, upkeep: Upkeep = Upkeep()
 ) -> DataFrame:
-    """Replace the customer profile, and append its scores to the risk history."""
-    metrics = profile.transaction_metrics(read_fact(store), as_of)
+    """Replace the customer profile, and append its scores to the risk history.
+
+    With parts kept per load the metrics are merged from them, and the fact table is not read.
+    """
+    if upkeep.parts:
+        metrics = partials.stored_metrics(store, as_of)
+    else:
+        metrics = profile.transaction_metrics(read_fact(store), as_of)
     wide = profile.customer_profile(
         store.read(WAREHOUSE, "dim_customer"), store.read(WAREHOUSE, "dim_credit"), metrics
     )
@@ -206,6 +290,13 @@ def score_customers(
     return scored
 
 
+def monthly_trends(store: TableStore, as_of: dates.AsOf = None, months: int = products.TREND_MONTHS) -> DataFrame:
+    """``products.monthly_trends`` of a store that keeps parts per load."""
+    parts = [store.read(WAREHOUSE, name) for name in (partials.MONTHS, partials.MONTH_CUSTOMERS, partials.MONTH_UNKNOWN)]
+    keys = store.read(WAREHOUSE, "dim_customer", schemas.DIM_CUSTOMER)
+    return partials.monthly_trends_from(*parts, keys, read_fact(store), as_of, months)
+
+
 def append_history(store: TableStore, rows: DataFrame) -> DataFrame:
     return store.append(ANALYTICS, "customer_risk_history", rows, ["assessment_date"])
 
@@ -268,22 +359,37 @@ def run_daily(
     tolerate: Sequence[str] = (),
     ml_scaling: bool = True,
     keep_versions: int | None = None,
+    upkeep: Upkeep = Upkeep(),
 ) -> DataFrame:
     """The whole chain for one day; returns the risk distribution of the new profile.
 
     Staging is replaced before the checks run, so that the CSV files are read once and the checks scan
     columns; nothing reaches the warehouse when a check fails. Checks named in ``tolerate`` are reported only:
     for instance scores out of range, whose rows are left out of staging. Reports are stored. With
-    ``keep_versions`` older versions of the replaced tables are deleted after a successful run.
+    ``keep_versions`` older versions of the replaced tables are deleted after a successful run. A second run on the
+    same store is refused while one is under way.
     """
-    as_of = as_of or dt.date.today()
+    with store.claim("daily_run"):
+        return _run_daily(store, data_dir, as_of or dt.date.today(), stop_on, tolerate, ml_scaling, keep_versions, upkeep)
+
+
+def _run_daily(
+    store: TableStore,
+    data_dir: str,
+    as_of: dt.date,
+    stop_on: Sequence[str],
+    tolerate: Sequence[str],
+    ml_scaling: bool,
+    keep_versions: int | None,
+    upkeep: Upkeep,
+) -> DataFrame:
     started = time.monotonic()
     try:
         ingested = ingest_all(store, data_dir)
         before = save_report(store, check_input(store, ingested), as_of)
         quality.raise_on_fail(before, stop_on, tolerate)
-        load_warehouse(store, as_of, known_unique=quality.all_pass(before, UNIQUE_IDS))
-        scored = score_customers(store, as_of, ml_scaling=ml_scaling)
+        load_warehouse(store, as_of, known_unique=quality.all_pass(before, UNIQUE_IDS), upkeep=upkeep)
+        scored = score_customers(store, as_of, ml_scaling=ml_scaling, upkeep=upkeep)
         save_report(store, check_load(store), as_of)
         save_rules(store)
         records = scored.count()

@@ -45,6 +45,16 @@ FACT_TRANSACTIONS = _table(
 )
 # Fact rows per customer, kept by the loads. They decide where very large customers are cut, never a result.
 FACT_COUNTS = _table(customer_id=TEXT, rows=KEY)
+# The same with stored running columns. ``epoch`` counts how often the customer's rows were worked out anew, and
+# ``repeated`` marks rows that an earlier load has brought.
+RUNNING = _table(
+    transaction_sequence=KEY, running_total=NUMBER, days_since_last_transaction=WHOLE, epoch=WHOLE, repeated=FLAG,
+)
+FACT_RUNNING = T.StructType([*FACT_TRANSACTIONS.fields, *RUNNING.fields, T.StructField("transaction_month", DAY)])
+# What a load has to know of a customer's earlier transactions.
+CUSTOMER_STATE = _table(
+    customer_id=TEXT, rows=KEY, total=NUMBER, amounts=KEY, last_moment=MOMENT, last_transaction=TEXT, epoch=WHOLE,
+)
 DIM_CREDIT = _table(
     credit_key=KEY, customer_key=KEY, customer_id=TEXT, credit_score=WHOLE, credit_rating=TEXT,
     score_date=DAY, credit_history_length=WHOLE, number_of_accounts=WHOLE, total_debt=NUMBER,

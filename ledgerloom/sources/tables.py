@@ -5,13 +5,19 @@ and partition folders lie below that. A load counts once Spark has committed it
 the highest version with a load is the table. A replaced table can therefore be read while its successor is
 written, and a job that dies half way changes nothing, whether it replaces or appends. The root lies on storage
 all executors share.
+
+One writer at a time: whoever writes a load first creates a claim file for its number, which only one can do, and
+removes it afterwards. A claim left by a lost job gives way after ``lease_seconds``.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import time
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession, types as T
 
 from ledgerloom.operators.merge import require_unique, upsert
@@ -24,10 +30,15 @@ class MissingTable(LookupError):
     """The table has never been written."""
 
 
+class BusyTable(RuntimeError):
+    """Another job is writing this, or has just written it."""
+
+
 @dataclass(frozen=True)
 class TableStore:
     spark: SparkSession
     root: str
+    lease_seconds: float = 6 * 3600
 
     def versions(self, layer: str, table: str) -> list[int]:
         """Numbers of the committed versions, oldest first."""
@@ -48,37 +59,82 @@ class TableStore:
     def exists(self, layer: str, table: str) -> bool:
         return bool(self.versions(layer, table))
 
-    def read(self, layer: str, table: str, schema: T.StructType | None = None) -> DataFrame:
+    def read(
+        self, layer: str, table: str, schema: T.StructType | None = None, upto: int | None = None, only: Sequence[int] | None = None
+    ) -> DataFrame:
         """The current version. With ``schema`` a table that was never written reads as empty; any other
-        failure stays a failure."""
+        failure stays a failure. ``upto`` leaves out later loads, ``only`` names the loads to read."""
         loads = self.loads(layer, table)
         if loads:
-            reader = self.spark.read if schema is None else self.spark.read.schema(schema)
             newest = loads[-1][0]
-            paths = [self._load(layer, table, *load) for load in loads if load[0] == newest]
-            return reader.option("basePath", self._version(layer, table, newest)).parquet(*paths).drop("load")
+            numbers = [load for version, load in loads if version == newest]
+            numbers = [n for n in numbers if (upto is None or n <= upto) and (only is None or n in only)]
+            reader = self.spark.read if schema is None else self.spark.read.schema(schema)
+            if numbers:
+                paths = [self._load(layer, table, newest, load) for load in numbers]
+                return reader.option("basePath", self._version(layer, table, newest)).parquet(*paths).drop("load")
         if schema is None:
             raise MissingTable(f"{layer}.{table}")
         return empty(self.spark, schema)
 
-    def replace(self, layer: str, table: str, rows: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
-        """Write a new version holding exactly ``rows``, and return it."""
+    def replace(
+        self, layer: str, table: str, rows: DataFrame, partition_by: Sequence[str] = (), load: int = 0
+    ) -> DataFrame:
+        """Write a new version holding exactly ``rows``, as its load number ``load``, and return it."""
         versions = self.versions(layer, table)
-        number = versions[-1] + 1 if versions else 1
-        # overwrite: a version left unfinished by a lost job may lie there
-        rows.write.mode("overwrite").partitionBy(*partition_by).parquet(self._load(layer, table, number, 0))
+        self._write(layer, table, versions[-1] + 1 if versions else 1, load, rows, partition_by)
         return self.read(layer, table)
 
-    def append(self, layer: str, table: str, rows: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
-        """Add rows to the current version, or write the first one."""
+    def append(
+        self, layer: str, table: str, rows: DataFrame, partition_by: Sequence[str] = (), load: int | None = None
+    ) -> DataFrame:
+        """Add rows to the current version, or write the first one.
+
+        A load is given the next number, unless the caller keeps numbers of its own: then ``load`` replaces what
+        an earlier attempt has left under that number.
+        """
         loads = self.loads(layer, table)
-        if not loads:
-            return self.replace(layer, table, rows, partition_by)
-        version, last = loads[-1]
-        # overwrite: a load left unfinished by a lost job may lie there
-        rows.write.mode("overwrite").partitionBy(*partition_by).parquet(self._load(layer, table, version, last + 1))
+        version, last = loads[-1] if loads else (1, -1)
+        self._write(layer, table, version, last + 1 if load is None else load, rows, partition_by, again=load is not None)
         return self.read(layer, table)
 
+    def _write(
+        self, layer: str, table: str, version: int, load: int, rows: DataFrame, partition_by: Sequence[str], again: bool = False
+    ) -> None:
+        with self.claim(f"{layer}/{table}/v={version:08d}-load={load:08d}"):
+            if not again and (version, load) in self.loads(layer, table):
+                raise BusyTable(f"{layer}.{table}: version {version}, load {load} was written meanwhile")
+            # overwrite: a load left unfinished by a lost job may lie there
+            rows.write.mode("overwrite").partitionBy(*partition_by).parquet(self._load(layer, table, version, load))
+
+    @contextmanager
+    def claim(self, name: str) -> Iterator[None]:
+        """Hold the claim file of ``name`` for the time of a block; refused while another job holds it."""
+        jvm = self.spark._jvm
+        path = jvm.org.apache.hadoop.fs.Path(f"{self.root.rstrip('/')}/_claims/{name}")
+        files = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+        def created() -> bool:
+            try:
+                files.create(path, False).close()
+                return True
+            except Py4JJavaError as error:
+                if not files.exists(path):
+                    raise error
+                return False
+
+        if not created():
+            age = time.time() - files.getFileStatus(path).getModificationTime() / 1000
+            if age < self.lease_seconds:
+                raise BusyTable(f"{name} is being written, since {age:.0f} seconds")
+            files.delete(path, False)  # left by a lost job
+            if not created():
+                raise BusyTable(f"{name} is being written")
+        try:
+            yield
+        finally:
+            files.delete(path, False)
+
     def upsert(
         self, layer: str, table: str, updates: DataFrame, keys: Sequence[str], keep: Sequence[str] = ()
     ) -> DataFrame:
