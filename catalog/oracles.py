@@ -809,6 +809,55 @@ ORACLES["dq_broken_input"] = _with(
     "broken_people", "broken_rows", "broken_credit",
 )
 
+
+def _summary(level: str, bracket: str, category: str, share: str, group: str) -> str:
+    return f"""SELECT '{level}' AS level, {bracket} AS income_bracket, {category} AS risk_category, count(*) AS customer_count,
+        {share.format(2)} AS percentage, {share.format(1)} AS share, {_AVERAGES},
+        round(avg(annual_income) + 3e-9, 4) + 0.0::DOUBLE AS avg_income FROM scored {group}"""
+
+
+_SHARE, _NO_SHARE = "round(round(count(*) / sum(count(*)) OVER () * 100, {0}) + 3e-9, 4) + 0.0::DOUBLE", "NULL::DOUBLE"
+ORACLES["v_summaries"] = _with(
+    " UNION ALL ".join(
+        [
+            _summary("risk_category", "NULL", "risk_category", _SHARE, "GROUP BY risk_category"),
+            _summary("segment", "income_bracket", "risk_category", _NO_SHARE, "GROUP BY income_bracket, risk_category"),
+            _summary("all", "NULL", "NULL", _NO_SHARE, ""),
+        ]
+    ),
+    "scored",
+)
+
+
+def _rejected(table: str, of: str, record: str, tests: dict[str, str]) -> str:
+    reasons = ", ".join(f"CASE WHEN {test} THEN '{reason}' END" for reason, test in tests.items())
+    return f"""SELECT '{table}' AS table_name, {record} AS record_id,
+        CASE WHEN NOT ({_KEPT[of]}) THEN 'malformed' ELSE concat_ws('; ', {reasons}) END AS reasons FROM {of}"""
+
+
+ORACLES["ingest_rejected"] = _with(
+    "SELECT * FROM ("
+    + " UNION ALL ".join(
+        [
+            _rejected("customers", "customers", "customer_id", {
+                "unreadable_date_of_birth": "CAST(zip_code AS INTEGER) % 59 = 11",
+                "unreadable_annual_income": "CAST(zip_code AS INTEGER) % 41 = 3",
+            }),
+            _rejected("transactions", "transactions", "transaction_id", {
+                "unreadable_amount": "CAST(transaction_id AS BIGINT) % 89 = 4",
+                "unreadable_timestamp": "CAST(transaction_id AS BIGINT) % 83 = 6",
+            }),
+            _rejected("credit_scores", "all_credit", "customer_id", {
+                "unreadable_score_date": "credit_history_length = 11 AND number_of_accounts = 5",
+                "scores_out_of_range": "credit_score NOT BETWEEN 300 AND 850",
+            }),
+        ]
+    )
+    + ") WHERE reasons <> ''",
+    "customers", "transactions", "all_credit",
+)
+
+
 # --- the same results by other ways ----------------------------------------------------------------------
 
 for _name, _same in {

@@ -463,7 +463,7 @@ def _ingested(spark: SparkSession, folder: str, *tables: str) -> Ingest:
 
 def ingest_table(name: str) -> Query:
     def query(spark: SparkSession, folder: str) -> DataFrame:
-        return comparable(_ingested(spark, folder, name).store.read(STAGING, name), drop={"source_file"})
+        return comparable(daily.staged(_ingested(spark, folder, name).store, name), drop={"source_file"})
 
     return query
 
@@ -473,6 +473,12 @@ def ingest_figures(spark: SparkSession, folder: str) -> DataFrame:
     return comparable(_ingested(spark, folder, "customers", "transactions", "credit_scores").reports)
 
 
+def ingest_rejected(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows left out or not read in full, of all three files, and why."""
+    rows = daily.rejected(_ingested(spark, folder, "customers", "transactions", "credit_scores").store)
+    return comparable(rows.select("table_name", "record_id", "reasons"))
+
+
 FIRST_DAY = "2024-01-24"
 ACCEPTED = ["unknown_customer_ids", "scores_out_of_range"]
 
@@ -652,6 +658,7 @@ QUERIES: dict[str, Query] = {
     "v_top_customers": _product(products.top_customers),
     "v_summary_stats": _product(products.summary_statistics),
     "v_category_counts": _product(products.category_counts),
+    "v_summaries": _product(products.summaries),
     "dq_null_counts": dq_null_counts,
     "dq_uniqueness": dq_uniqueness,
     "dq_referential": dq_referential,
@@ -667,6 +674,7 @@ QUERIES: dict[str, Query] = {
     "ingest_transactions": ingest_table("transactions"),
     "ingest_credit": ingest_table("credit_scores"),
     "ingest_figures": ingest_figures,
+    "ingest_rejected": ingest_rejected,
     "state_fact": state_fact,
     "state_fact_carried": state_fact_carried,
     "metrics_merged": metrics_merged,

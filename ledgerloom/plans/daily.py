@@ -12,6 +12,7 @@ import datetime as dt
 import time
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, functions as F, types as T
 
@@ -29,7 +30,7 @@ RUN_NAME = "daily_risk_run"
 FACT = "fact_transactions"
 FACT_STORED = T.StructType([*schemas.FACT_TRANSACTIONS.fields, T.StructField(warehouse.MONTH, schemas.DAY)])
 SUCCESS, FAILED = "SUCCESS", "FAILED"
-OUT_OF_RANGE = "scores_out_of_range"
+OUT_OF_RANGE = staging.OUT_OF_RANGE
 # Tables of which every run writes a new version.
 REPLACED = [
     (STAGING, "customers"), (STAGING, "transactions"), (STAGING, "credit_scores"), (STAGING, "transactions_new"),
@@ -96,36 +97,45 @@ def ingest(
 ) -> Ingested:
     """Replace one staging table by a CSV file.
 
-    All counts ride along with the write: the file is read once. Rows with the wrong number of fields are
-    left out and counted, single values that cannot be read become null and are counted.
+    One pass and one write: rows are split by verdict into the folders of good and of rejected ones, and all counts
+    ride along. Rows with the wrong number of fields and scores out of range are rejected; single values that cannot
+    be read become null in the good row, and the row is kept among the rejected too, with its record as delivered.
     """
     schema = staging.SCHEMAS[table]
-    raw = read_csv(store.spark, path, schema, table)
+    raw = staging.note_rejections(read_csv(store.spark, path, schema, table), schema)
+    sound = ~F.col(MALFORMED)
     read = Observation(f"{table} read")
-    raw = raw.observe(read, F.count("*").alias("rows_read"), F.count_if(MALFORMED).alias("rows_malformed"))
+    counts = [F.count("*").alias("rows_read"), F.count_if(MALFORMED).alias("rows_malformed")]
+    raw = raw.observe(read, *counts, *staging.unreadable_values(schema, sound))
 
-    # each observation sees exactly the rows that pass its place in the plan
-    readable = Observation(f"{table} readable")
-    sound = raw.filter(~F.col(MALFORMED)).drop(MALFORMED)
-    counts = staging.unreadable_values(sound, schema)
-    sound = sound.observe(readable, *counts) if counts else sound
-
-    clean = CLEANERS[table](sound)
+    clean = CLEANERS[table](raw)
     typed = Observation(f"{table} typed")
-    checks = [F.count_if(F.col(name).isNull()).alias(f"null_{name}") for name in quality.REQUIRED[table]]
-    if table == "credit_scores":
-        checks.append(F.count_if(~labels.valid_credit_score(F.col("credit_score"))).alias(OUT_OF_RANGE))
-    clean = clean.observe(typed, *checks)
+    checks = [F.count_if(sound & F.col(name).isNull()).alias(f"null_{name}") for name in quality.REQUIRED[table]]
     if table == "credit_scores":
-        clean = staging.keep_valid_scores(clean)
+        checks.append(F.count_if(sound & ~labels.valid_credit_score(F.col("credit_score"))).alias(OUT_OF_RANGE))
+    split = staging.split_by_verdict(clean.observe(typed, *checks), table)
 
     written = Observation(f"{table} written")
-    audited = staging.add_audit(clean, path, data_source, at).observe(written, F.count("*").alias("rows_written"))
-    store.replace(STAGING, table, audited)
-    figures = {**read.get, **(readable.get if counts else {}), **typed.get, **written.get}
+    audited = staging.add_audit(split, path, data_source, at)
+    audited = audited.observe(written, F.count_if(F.col(staging.VERDICT) == staging.GOOD).alias("rows_written"))
+    store.replace(STAGING, table, audited, [staging.VERDICT])
+    figures = {**read.get, **typed.get, **written.get}
+    if not figures["rows_read"]:
+        store.replace(STAGING, table, audited)  # without folders, so that an empty table keeps its columns
     return Ingested(table, figures)
 
 
+def staged(store: TableStore, table: str) -> DataFrame:
+    """The rows of a staging table that go on."""
+    return staging.good_rows(store.read(STAGING, table))
+
+
+def rejected(store: TableStore) -> DataFrame:
+    """What the last ingestion rejected or could not read in full, of all three tables."""
+    tables = [staging.rejected_rows(store.read(STAGING, name), name) for name in CLEANERS if store.exists(STAGING, name)]
+    return reduce(DataFrame.unionByName, tables)
+
+
 def ingest_all(store: TableStore, data_dir: str, at: Column | None = None) -> list[Ingested]:
     """Replace the three staging tables by the files of a directory."""
     folder = data_dir.rstrip("/")
@@ -141,8 +151,8 @@ def check_input(store: TableStore, ingested: list[Ingested]) -> DataFrame:
 
     Counts that were taken while staging was written are not taken again.
     """
-    staged = [store.read(STAGING, name) for name in CLEANERS]
-    return quality.union_reports(quality.relation_checks(*staged), *[item.report(store.spark) for item in ingested])
+    tables = [staged(store, name) for name in CLEANERS]
+    return quality.union_reports(quality.relation_checks(*tables), *[item.report(store.spark) for item in ingested])
 
 
 def load_warehouse(
@@ -157,19 +167,19 @@ def load_warehouse(
     Every id must be staged, and once only. That is checked first, unless the caller has just done so: a row
     without an id matches no stored row and would be loaded again with every run.
     """
-    staged = store.read(STAGING, "customers")
+    people = staged(store, "customers")
     if not known_unique:
-        require_unique(staged, ["customer_id"])
-        require_unique(store.read(STAGING, "transactions"), ["transaction_id"])
-        require_unique(store.read(STAGING, "credit_scores"), ["customer_id"])
-    incoming = warehouse.dim_customer(staged, as_of, at)
+        require_unique(people, ["customer_id"])
+        require_unique(staged(store, "transactions"), ["transaction_id"])
+        require_unique(staged(store, "credit_scores"), ["customer_id"])
+    incoming = warehouse.dim_customer(people, as_of, at)
     stored = store.read(WAREHOUSE, "dim_customer", schemas.DIM_CUSTOMER)
     customers = store.replace(
         WAREHOUSE, "dim_customer", warehouse.merge_dimension(stored, incoming, "customer_key")
     )
-    load_fact(store, store.read(STAGING, "transactions"), customers, at, upkeep)
+    load_fact(store, staged(store, "transactions"), customers, at, upkeep)
 
-    scores = warehouse.dim_credit(store.read(STAGING, "credit_scores"), customers, at)
+    scores = warehouse.dim_credit(staged(store, "credit_scores"), customers, at)
     credit = store.read(WAREHOUSE, "dim_credit", schemas.DIM_CREDIT)
     store.replace(WAREHOUSE, "dim_credit", warehouse.merge_dimension(credit, scores, "credit_key"))
 
@@ -312,7 +322,7 @@ def rescore_customers(store: TableStore, chosen: DataFrame, as_of: dates.AsOf =
 
 def check_load(store: TableStore) -> DataFrame:
     """Row counts of all tables, name consistency and the tracked percentages after a load."""
-    customers, transactions, credit = (store.read(STAGING, name) for name in CLEANERS)
+    customers, transactions, credit = (staged(store, name) for name in CLEANERS)
     scored = store.read(ANALYTICS, "customer_profile")
     tables = {
         "staging.customers": customers,

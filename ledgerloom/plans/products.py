@@ -140,3 +140,60 @@ def summary_statistics(profile: DataFrame) -> DataFrame:
 
 def category_counts(profile: DataFrame) -> DataFrame:
     return profile.groupBy("risk_category").agg(F.count("*").alias("customer_count"))
+
+
+# --- several products from one pass ----------------------------------------------------------------------
+
+BY_CATEGORY, BY_SEGMENT, OVERALL = "risk_category", "segment", "all"
+
+
+def summaries(profile: DataFrame) -> DataFrame:
+    """Counts and averages per risk category, per income bracket and category, and over all, in one pass.
+
+    One aggregate with grouping sets reads the profile once and shuffles its few groups once. ``level`` tells which
+    set a row belongs to, so that an unknown category is not taken for a total. Store the result, and take the
+    single products from it with ``from_summaries``.
+    """
+    sets = [[F.col("risk_category")], [F.col("income_bracket"), F.col("risk_category")], []]
+    groups = profile.groupingSets(sets, "income_bracket", "risk_category").agg(
+        F.when(F.grouping_id() == 0, BY_SEGMENT).when(F.grouping_id() == 2, BY_CATEGORY).otherwise(OVERALL).alias("level"),
+        F.count("*").alias("customer_count"),
+        F.avg("risk_score").alias("avg_risk_score"),
+        F.avg("credit_score").alias("avg_credit_score"),
+        F.avg("annual_income").alias("avg_income"),
+        F.avg("total_spent").alias("avg_total_spent"),
+    )
+    # a handful of rows from here on
+    everyone = F.max(F.when(F.col("level") == OVERALL, F.col("customer_count"))).over(Window.partitionBy(F.lit(1)))
+    part = F.when(F.col("level") == BY_CATEGORY, F.col("customer_count"))
+    averages = [name for name in groups.columns if name.startswith("avg_")]
+    return groups.withColumns({"percentage": percentage(part, everyone, 2), "share": percentage(part, everyone, 1)}).select(
+        "level", "income_bracket", "risk_category", "customer_count", "percentage", "share", *averages
+    )
+
+
+def from_summaries(rows: DataFrame, order: Sequence[str] = RISK_ORDER) -> dict[str, DataFrame]:
+    """The products that ``summaries`` holds, by the name of their function, each as that function gives it."""
+    category = rows.filter(F.col("level") == BY_CATEGORY)
+    by_name = F.col("risk_category").asc_nulls_last()
+    averages = ["avg_risk_score", "avg_credit_score", "avg_income", "avg_total_spent"]
+    return {
+        "risk_summary": category.select("risk_category", "customer_count", "percentage", *averages).orderBy(
+            listed_first(F.col("risk_category"), order), by_name
+        ),
+        "risk_distribution": category.select(
+            "risk_category", F.col("customer_count").alias("count"), F.col("share").alias("percentage")
+        ).orderBy(by_name),
+        "spend_by_category": category.select("risk_category", "customer_count", "avg_total_spent"),
+        "category_counts": category.select("risk_category", "customer_count"),
+        "segmentation": rows.filter(F.col("level") == BY_SEGMENT)
+        .select("income_bracket", "risk_category", "customer_count", "avg_credit_score", "avg_total_spent", "avg_risk_score")
+        .orderBy(F.col("income_bracket").asc_nulls_last(), by_name),
+        "summary_statistics": rows.filter(F.col("level") == OVERALL).select(
+            F.col("customer_count").alias("total_customers"),
+            "avg_credit_score",
+            "avg_income",
+            F.col("avg_total_spent").alias("avg_spent"),
+            "avg_risk_score",
+        ),
+    }

@@ -93,9 +93,13 @@ SINK_DECIMALS = {
 }
 
 
-def conform(rows: DataFrame, schema: T.StructType) -> DataFrame:
+def conformed(schema: T.StructType) -> list[Column]:
     """The schema's columns in its order and types; a value that does not fit its type becomes null."""
-    return rows.select(*[F.col(field.name).try_cast(field.dataType).alias(field.name) for field in schema])
+    return [F.col(field.name).try_cast(field.dataType).alias(field.name) for field in schema]
+
+
+def conform(rows: DataFrame, schema: T.StructType) -> DataFrame:
+    return rows.select(*conformed(schema))
 
 
 def sink_decimals(rows: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-MALFORMED = "_malformed"
+MALFORMED, RECORD = "_malformed", "_record"
 
 
 class MissingInput(FileNotFoundError):
@@ -23,7 +23,8 @@ def require_columns(columns: list[str], schema: T.StructType, table: str) -> Non
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType, table: str) -> DataFrame:
-    """All columns of ``schema`` as text, found by header name, plus the flag ``_malformed``.
+    """All columns of ``schema`` as text, found by header name, plus the flag ``_malformed`` and the text of a
+    malformed line as ``_record``.
 
     The files of a folder must agree in their header: Spark compares each file's with the first one's and stops
     with an error naming the file when columns are missing, added or in another order.
@@ -50,4 +51,5 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType, table: str) -
         .option("enforceSchema", False)  # compare the header of every file
         .csv(path)
     )
-    return rows.select(*schema.fieldNames(), F.col("_corrupt_record").isNotNull().alias(MALFORMED))
+    broken = F.col("_corrupt_record")
+    return rows.select(*schema.fieldNames(), broken.isNotNull().alias(MALFORMED), broken.alias(RECORD))

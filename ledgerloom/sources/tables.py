@@ -83,7 +83,8 @@ class TableStore:
         """Write a new version holding exactly ``rows``, as its load number ``load``, and return it."""
         versions = self.versions(layer, table)
         self._write(layer, table, versions[-1] + 1 if versions else 1, load, rows, partition_by)
-        return self.read(layer, table)
+        # without rows there are no partition folders, and no file to tell the columns from
+        return self.read(layer, table, rows.schema if partition_by else None)
 
     def append(
         self, layer: str, table: str, rows: DataFrame, partition_by: Sequence[str] = (), load: int | None = None

@@ -54,7 +54,7 @@ def test_ingest_cleans_counts_and_keeps_leading_zeros(store, tmp_path):
     folder = write_files(tmp_path / "in", customers=CUSTOMERS, transactions=TRANSACTIONS, credit_scores=CREDIT)
     customers, transactions, credit = daily.ingest_all(store, folder)
 
-    rows = {row.customer_id: row for row in store.read(STAGING, "customers").collect()}
+    rows = {row.customer_id: row for row in daily.staged(store, "customers").collect()}
     assert sorted(rows) == ["CUST-1", "CUST-2", "CUST-5"]
     ann = rows["CUST-1"]
     assert (ann.name, ann.email, ann.zip_code, ann.annual_income) == ("Ann Lee", "ann@example.com", "00501", 50000.5)
@@ -65,16 +65,16 @@ def test_ingest_cleans_counts_and_keeps_leading_zeros(store, tmp_path):
     assert customers.figures["rows_written"] == 3
     assert customers.figures["unreadable_date_of_birth"] == 1 and customers.figures["unreadable_annual_income"] == 1
 
-    moved = {row.transaction_id: row for row in store.read(STAGING, "transactions").collect()}
+    moved = {row.transaction_id: row for row in daily.staged(store, "transactions").collect()}
     assert moved["t1"].is_weekend is True and moved["t1"].is_online is True and moved["t1"].is_fraud is False
     assert moved["t1"].merchant_name == "Shop"
     assert moved["t2"].timestamp == dt.datetime(2024, 2, 3, 11, 30, 0, 250000)
     assert moved["t3"].is_online is None and moved["t3"].timestamp == dt.datetime(2024, 2, 3, 12)
     assert transactions.figures["null_amount"] == 1 and transactions.figures["unreadable_is_online"] == 1
 
-    assert {row.customer_id for row in store.read(STAGING, "credit_scores").collect()} == {"CUST-1", "CUST-5"}
+    assert {row.customer_id for row in daily.staged(store, "credit_scores").collect()} == {"CUST-1", "CUST-5"}
     assert credit.figures["scores_out_of_range"] == 1 and credit.figures["rows_written"] == 2
-    assert store.read(STAGING, "credit_scores").schema.fieldNames()[:7] == schemas.CREDIT_SCORES.fieldNames()
+    assert daily.staged(store, "credit_scores").schema.fieldNames()[:7] == schemas.CREDIT_SCORES.fieldNames()
 
 
 def test_header_decides_not_position(spark, tmp_path):
@@ -163,6 +163,30 @@ def test_left_out_rows_and_unreadable_values_are_warnings(store, tmp_path):
         daily.run_daily(store, folder, AS_OF, stop_on=(quality.WARN,))
 
 
+def test_rejected_rows_are_kept_with_their_reasons(store, tmp_path):
+    folder = write_files(tmp_path / "in", customers=CUSTOMERS, transactions=TRANSACTIONS, credit_scores=CREDIT)
+    daily.ingest_all(store, folder)
+    found = {(r.table_name, r.record_id): r for r in daily.rejected(store).collect()}
+    assert {key: row.reasons for key, row in found.items()} == {
+        ("customers", "CUST-2"): ["unreadable_date_of_birth", "unreadable_annual_income"],
+        ("customers", "CUST-3"): ["malformed"],
+        ("customers", "CUST-4"): ["malformed"],
+        ("transactions", "t3"): ["unreadable_is_online"],
+        ("credit_scores", "CUST-2"): ["scores_out_of_range"],
+    }
+    assert found["customers", "CUST-3"].record == CUSTOMERS.splitlines()[3] and found["customers", "CUST-4"].record == "CUST-4,too few"
+    assert found["customers", "CUST-2"].record == CUSTOMERS.splitlines()[2]
+    assert found["credit_scores", "CUST-2"].record == CREDIT.splitlines()[2]
+    assert {row.source_file.rpartition("/")[2] for row in found.values()} == {"customers.csv", "transactions.csv", "credit_scores.csv"}
+    # a good row with an unreadable value goes on; good rows are read without the folder of the rejected ones
+    assert "CUST-2" in {row.customer_id for row in daily.staged(store, "customers").collect()}
+    text = daily.staged(store, "customers")._jdf.queryExecution().executedPlan().toString()
+    assert "(verdict#" in text.split("PartitionFilters: [")[1].split("]")[0] and "= good)" in text
+    empty = write_files(tmp_path / "none", **{n: t.splitlines()[0] + "\n" for n, t in (("customers", CUSTOMERS), ("transactions", TRANSACTIONS), ("credit_scores", CREDIT))})
+    daily.ingest_all(store, empty)
+    assert daily.rejected(store).count() == 0 and daily.staged(store, "customers").columns[0] == "customer_id"
+
+
 def test_the_whole_error_is_kept_and_success_is_not_undone(store, tmp_path, monkeypatch):
     folder = write_files(tmp_path / "in", customers=CUSTOMERS, transactions=TRANSACTIONS, credit_scores=CREDIT)
 

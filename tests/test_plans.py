@@ -177,3 +177,18 @@ def test_trends_come_by_month(spark):
     ).withColumn("transaction_date", F.to_date("day"))
     found = [(str(r.month), r.transaction_count, r.fraud_count) for r in products.monthly_trends(rows, "2024-02-15").collect()]
     assert found == [("2023-11-01", 1, 0), ("2024-02-01", 2, 1)]
+
+
+def test_summaries_take_one_pass_and_hold_the_single_products(spark, stored):
+    rows = ordered_profile(spark)
+    text = plan(products.summaries(stored[0].withColumns({name: F.lit(1.0) for name in ("risk_score", "credit_score", "total_spent")}).withColumn("risk_category", F.col("state"))))
+    assert text.count("FileScan") == 1 and len([e for e in re.findall(r"Exchange \w+", text)]) == 2  # groups, then a handful of rows
+    found = products.from_summaries(products.summaries(rows))
+    assert sorted(found) == ["category_counts", "risk_distribution", "risk_summary", "segmentation", "spend_by_category", "summary_statistics"]
+    for name, one in found.items():
+        want = getattr(products, name)(rows)
+        assert one.columns == want.columns, name
+        pairs = one.collect(), want.collect()
+        if name not in ("spend_by_category", "category_counts"):  # those come in no order
+            assert pairs[0] == pairs[1], name
+        assert sorted(map(repr, pairs[0])) == sorted(map(repr, pairs[1])), name
