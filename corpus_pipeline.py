@@ -8,6 +8,11 @@ one reads it. All but the last return the columns of ``documents``:
 3. SimHash near-dedup: of every group the document with the smallest id stays;
 4. mixing: documents are repeated or left out so that sources come near their target weights;
 5. packing: every document that is left, a repeated one each time, is packed into sequences.
+
+Every stage does what its operator's docstring says of odd rows. So a null text passes the first stage with the
+score of an empty one, keeps its nulls, and is one group with all texts without words, of which the smallest id stays;
+a null id is a document like others, but its label is never found and it comes last in its group; rows are one group; very long texts pass whole and are only cut by the packing; an empty table gives an empty
+result; further columns of any name pass through all stages but the last.
 """
 
 from __future__ import annotations
@@ -24,9 +29,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    rows = line_dedup.clean(docs, counted=True)
-    chars = F.when(F.col("removed_lines") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
-    return rows.withColumn("n_chars", chars).drop("removed_lines")
+    rows = line_dedup.cleaned(docs)
+    chars = F.when(F.col("removed_lines") > 0, F.length("row.text").cast("long")).otherwise(F.col("row.n_chars"))
+    return rows.select(F.col("row").withField("n_chars", chars).alias("row")).select("row.*")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,7 +54,7 @@ STAGES = [
     ("best-fit packing", pack_sequences),
 ]
 
-#: Trees, tokenizers and SimHash have no SQL form; tests compare the stages with brute force.
+#: Trees, tokenizers and SimHash have no SQL form; tests compare the stages with plain versions.
 ORACLE_SQL = None
 
 

@@ -33,19 +33,16 @@ FROM (SELECT d.*, r.source_size, r.target, coalesce(r.target / nullif(r.source_s
 #: Exact distinct sites for every line, where the query sketches them first.
 OP4 = r"""
 WITH docs AS (SELECT row_number() OVER () AS r, doc_id, text, source FROM documents),
+sites AS (SELECT text, coalesce('=' || min(source), 'null') AS site FROM docs WHERE text IS NOT NULL GROUP BY text),
 lines AS (
-  SELECT r, source, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS place
+  SELECT r, text, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS place
   FROM docs WHERE text IS NOT NULL),
 keyed AS (SELECT *, trim(line, ' ' || chr(9) || chr(13)) AS k FROM lines),
-spread AS (
-  SELECT k FROM keyed WHERE length(k) >= 20 GROUP BY k HAVING count(DISTINCT coalesce('=' || source, 'null')) >= 8),
+spread AS (SELECT k FROM keyed JOIN sites USING (text) WHERE k <> '' GROUP BY k HAVING count(DISTINCT site) >= 8),
 marked AS (SELECT r, place, line, k IN (SELECT k FROM spread) AS gone FROM keyed),
 judged AS (
-  SELECT r, count(*) FILTER (gone) AS n, sum(length(line)) FILTER (gone) AS spread_chars, sum(length(line)) AS chars,
-         string_agg(line, chr(10) ORDER BY place) FILTER (NOT gone) AS kept
-  FROM marked GROUP BY r)
-SELECT doc_id, CASE WHEN spread_chars <= 0.5 * chars THEN n ELSE 0 END::INTEGER AS removed_lines,
-       CASE WHEN spread_chars <= 0.5 * chars THEN kept ELSE text END AS text
+  SELECT r, count(*) FILTER (gone) AS n, string_agg(line, chr(10) ORDER BY place) FILTER (NOT gone) AS kept FROM marked GROUP BY r)
+SELECT doc_id, coalesce(n, 0)::INTEGER AS removed_lines, CASE WHEN n > 0 THEN coalesce(kept, '') ELSE text END AS text
 FROM docs LEFT JOIN judged USING (r)
 """
 

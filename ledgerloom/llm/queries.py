@@ -38,8 +38,8 @@ def op3_neighbours(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op4_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    rows = line_dedup.clean(table(spark, folder, "documents"), counted=True)
-    return rows.select("doc_id", "removed_lines", "text")
+    rows = line_dedup.cleaned(table(spark, folder, "documents"))
+    return rows.select("row.doc_id", "removed_lines", "row.text")
 
 
 def op5_warc(spark: SparkSession, folder: str) -> DataFrame:

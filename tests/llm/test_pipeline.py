@@ -1,5 +1,10 @@
 from __future__ import annotations
 
+import math
+import re
+import zlib
+
+import numpy as np
 import pytest
 
 import corpus_pipeline
@@ -50,3 +55,123 @@ def test_every_stage_does_what_its_operator_says(spark, stages):
 
 def test_labels_are_read_from_the_folder(spark, stages):
     assert stages[1].count() < stages[0].count()
+
+
+# --- odd rows --------------------------------------------------------------------------------------------
+
+LONG = " ".join(f"word{k % 977}x{k}" for k in range(30_000))
+ODD = [
+    (1, "The same words stand here and there today.", "en", "a"),
+    (2, "The same words stand here and there today.", "en", "b"),
+    (1, "The same words stand here and there today.", "en", "a"),
+    (None, "A document without an id has words of its own.", None, None),
+    (4, None, None, None),
+    (5, "", "en", "a"),
+    (6, " \n\t\n ", "en", "c"),
+    (7, LONG, "en", "b"),
+    (8, "Noch ein Text mit ganz anderen Worten als die anderen hier.", "de", "c"),
+]
+
+
+def odd_documents(spark, rows=ODD):
+    docs = spark.createDataFrame([(*row, len(row[1] or "")) for row in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    return docs.selectExpr("*", "9 as removed_lines", "'r' as row", "1 as component", "2 as score", "3 as predicted", "4 as copies", "'t' as target")
+
+
+def run_stages(spark, docs, path):
+    """Rows of every stage, each written and read again."""
+    found = [docs]
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        stage(spark, found[-1], FOLDER).write.parquet(f"{path}/{k}")
+        found.append(spark.read.parquet(f"{path}/{k}"))
+    return found
+
+
+def test_odd_rows_pass_every_stage(spark, tmp_path):
+    documents, clean, lines, single, mixed, packed = run_stages(spark, odd_documents(spark), tmp_path)
+    for rows in (clean, lines, single, mixed):
+        assert rows.columns == documents.columns
+        assert all((r["removed_lines"], r["row"], r["copies"], r["target"]) == (9, "r", 4, "t") for r in rows.collect())
+    texts = sorted((repr(r["doc_id"]), r["text"]) for r in lines.where("text is not null").collect())
+    assert texts == sorted((repr(i), text) for i, text, *_ in ODD if text is not None) and lines.where("text is null").count() == 1
+    # copies and repeated rows are one group, and so are texts without words; the smallest id stays, nulls last
+    assert sorted(repr(r["doc_id"]) for r in single.collect()) == sorted(map(repr, [1, None, 4, 7, 8]))
+    assert {r["doc_id"] for r in mixed.collect()} <= {1, None, 4, 7, 8}
+    kept = [r["doc_id"] for r in mixed.collect()]
+    assert sorted(repr(r["doc_id"]) for r in packed.where("piece = 0").collect()) == sorted(map(repr, kept))
+    if 7 in kept:  # only the packing cuts, and nothing is lost by it
+        parts = sorted((r["start"], r["length"]) for r in packed.where("doc_id = 7").collect())[:: kept.count(7)]
+        assert len(parts) > 10 and all(a + n == b for (a, n), (b, _) in zip(parts, parts[1:]))
+
+
+def test_an_empty_table_passes_every_stage(spark, tmp_path):
+    found = run_stages(spark, odd_documents(spark, []), tmp_path)
+    assert [rows.count() for rows in found] == [0] * 6
+    assert all(rows.columns == found[0].columns for rows in found[1:5])
+
+
+# --- stages against plain versions -----------------------------------------------------------------------
+
+
+def test_line_and_duplicate_stages_equal_plain_versions(spark, stages):
+    from test_line_dedup import plain_clean
+    from test_simhash import plain_fingerprint
+
+    clean, lines, single = stages[1:4]
+    rows = [(r["doc_id"], r["text"], r["source"]) for r in clean.collect()]
+    want = [(i, text) for i, text, _ in plain_clean(rows)]
+    assert sorted(((r["doc_id"], r["text"]) for r in lines.collect()), key=repr) == sorted(want, key=repr)
+    prints = {i: plain_fingerprint(text) for i, text in want}
+    group = {i: i for i in prints}
+    changed = True
+    while changed:
+        changed = False
+        for a in prints:
+            for b in prints:
+                if group[b] < group[a] and (prints[a] ^ prints[b]).bit_count() <= 4:
+                    group[a], changed = group[b], True
+    assert ids(single) == sorted(i for i in group if group[i] == i)
+
+
+def test_mixing_and_packing_stages_equal_plain_versions(stages):
+    from tokenizers import Tokenizer
+
+    single, mixed, packed = stages[3:6]
+    sizes = {}
+    for r in single.collect():
+        sizes[r["source"]] = sizes.get(r["source"], 0) + len(re.findall("[^ \t-\r]+", r["text"] or ""))
+    names = sorted(sizes, key=lambda name: (name is None, name or ""))
+    weight = {name: 1 + k % 3 for k, name in enumerate(names)}
+    target, open_ = {}, set(names)
+    while True:  # shares of what is left, stopping at three times a source's size
+        left = sum(sizes.values()) - sum(target.values())
+        share = {name: left * weight[name] / sum(weight[n] for n in open_) for name in open_}
+        full = [name for name in open_ if share[name] > 3 * sizes[name]]
+        if not full:
+            target |= share
+            break
+        target |= {name: 3 * sizes[name] for name in full}
+        open_ -= set(full)
+    rate = {name: target[name] / sizes[name] if sizes[name] else 0 for name in names}
+    copies = {}
+    for r in mixed.collect():
+        copies[r["doc_id"]] = copies.get(r["doc_id"], 0) + 1
+    for r in single.collect():
+        assert math.floor(rate[r["source"]]) <= copies.get(r["doc_id"], 0) <= math.floor(rate[r["source"]]) + 1
+    tokenizer = Tokenizer.from_file(queries.vocabulary())
+    text = {r["doc_id"]: r["text"] for r in mixed.collect()}
+    pieces = {}
+    for r in packed.collect():
+        pieces.setdefault((r["doc_id"], r["piece"]), []).append(r)
+    for doc_id, n in copies.items():
+        tokens = np.array(tokenizer.encode(text[doc_id] or "", add_special_tokens=False).ids + [0], "<u4")
+        for piece, at in enumerate(range(0, len(tokens), 2048)):
+            part = tokens[at : at + 2048]
+            assert [(r["start"], r["length"], r["ids_crc32"]) for r in pieces.pop((doc_id, piece))] == [(at, len(part), zlib.crc32(part.tobytes()))] * n
+    assert not pieces
+    room = {}
+    for r in packed.collect():
+        room.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for parts in room.values():
+        parts.sort()
+        assert parts[0][0] == 0 and all(a + n == b for (a, n), (b, _) in zip(parts, parts[1:])) and sum(n for _, n in parts) <= 2048
