@@ -54,7 +54,10 @@ FEATURES = (
 _WORD = re.compile(r"[^\W_]+")
 _MIXED = re.compile(r"(?<![^\W_])[^\W\d_]+(?:[0-9@$!*|.\-]+[^\W\d_]+)+(?![^\W_])")
 _SPACED = re.compile(r"(?<![^\W_])(?:[^\W\d_][ .*\-]){3,}[^\W\d_](?![^\W_])")
-_STRETCHED = re.compile(r"([a-z])\1{2,}")
+_STRETCHED = re.compile(r"([^\W\d_])\1{2,}")
+#: Letters beyond ASCII three times in a row, which few texts have.
+_TRIPLE_BEYOND = re.compile("([\u0080-\U0010ffff])\\1\\1")
+_BEYOND_LATIN = re.compile("[\u0100-\U0010ffff]")
 #: A sign inside a word; most texts have none, and are spared the search for the whole spelling.
 _INNER_SIGN = re.compile(r"[0-9@$!*|.\-][^\W\d_]")
 #: Anything but ASCII and Latin-1 letters; without it ASCII signs alone part words.
@@ -98,12 +101,15 @@ def features(text: str | None, lexicon: dict[str, float]) -> list[float]:
             near += at < len(you) and you[at] <= place + NEAR_WORDS
     mixed = [_plain_spelling(found) for found in _MIXED.findall(lowered)] if _INNER_SIGN.search(lowered) else []
     mixed += [_plain_spelling(found.group()) for found in _SPACED.finditer(lowered)]
-    if any(triple in lowered for triple in _TRIPLES):
+    if any(triple in lowered for triple in _TRIPLES) or not lowered.isascii() and _TRIPLE_BEYOND.search(lowered):
         mixed += [_STRETCHED.sub(r"\1", word) for word in words if _STRETCHED.search(word)]
     hidden = sum(word in lexicon for word in mixed)
     # a text without two capitals in a row has no word in capitals
     cased = _WORD.findall(text) if _CAPITAL_RUN.search(text) else []
     signs = len("".join(text.split())) - letters
+    capitals = len(_CAPITAL.findall(text))
+    if not text.isascii():
+        capitals += sum(map(str.isupper, _BEYOND_LATIN.findall(text)))
     return [
         len(hits) / total,
         sum(weights) / total,
@@ -112,7 +118,7 @@ def features(text: str | None, lexicon: dict[str, float]) -> list[float]:
         max(weights, default=0.0),
         math.log1p(near),
         len(you) / total,
-        len(_CAPITAL.findall(text)) / letters,
+        capitals / letters,
         sum(len(word) > 2 and word.isupper() for word in cased) / total,
         max(0, signs) / len(text),
         (text.count("!") + text.count("?")) / len(text),

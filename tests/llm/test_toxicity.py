@@ -95,3 +95,13 @@ def test_copies_make_no_word(spark, documents):
     labels += [(500 + k, 1, 1) for k in range(60)]
     scorer = toxicity.fit(documents(rows), spark.createDataFrame(labels, LABELS))
     assert "onlyhere" not in scorer.lexicon and "zorp" in scorer.lexicon
+
+
+def test_letters_of_every_script_count():
+    """Stretched spellings and capitals beyond ASCII and Latin-1 are seen, with or without other signs around."""
+    for text, capitals in (("ÉCOLE été", 5), ("ПРИВЕТ мир", 6), ("ΑΒΓ — δ", 3), ("ŠKODA “auto”", 5), ("Straße ÄÖ", 3), ("plain Text", 1)):
+        letters = sum(map(len, toxicity._WORD.findall(text)))
+        assert feature(text, "capitals") == capitals / letters
+    for text in ("ééééé là", "приииивет мир", "sooo", "ＡＡＡ"):
+        assert feature(text, "obfuscated") > 0
+    assert feature("éé là ——— 111 ...", "obfuscated") == 0
