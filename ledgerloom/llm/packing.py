@@ -14,6 +14,7 @@ has room. What came back is dealt anew, to fewer partitions, until one partition
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
 from collections.abc import Iterator
@@ -28,7 +29,6 @@ from ledgerloom.llm.common import Scratch
 CAPACITY = 2048
 SEPARATOR = 0
 DEALT = 4_000  # pieces a partition packs
-MAX_ROUNDS = 8
 CACHED_WORDS = 120_000
 
 PIECES = "doc_id long, piece int, start long, length int, ids_crc32 long"
@@ -36,7 +36,30 @@ PACKED = f"{PIECES}, sequence_id long, offset int, certified boolean, back boole
 
 #: Printable ASCII and Latin-1 letters: such words are already in normal form, and each is lower-cased alone.
 _PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
-#: The split that the vocabulary file states, for those characters (fixed values).
+#: How a vocabulary file must say that texts are normalised and split for the way word by word.
+BY_WORD = {
+    "normalizer": {
+        "type": "Sequence",
+        "normalizers": [
+            {"type": "NFC"},
+            {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "},
+            {"type": "Lowercase"},
+        ],
+    },
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {
+                "type": "Split",
+                "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+                "behavior": "Removed",
+                "invert": True,
+            },
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+}
+#: The same split, for plain characters.
 _SPLIT = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
 
 
@@ -45,7 +68,7 @@ class WordEncoder:
 
     White space never takes part in a token here, so the ids of a text are those of its words in turn. Plain
     words go straight to the vocabulary's merge step; all others, and the names of special tokens, through
-    the whole tokenizer.
+    the whole tokenizer. A vocabulary whose file states other rules than ``BY_WORD`` encodes whole texts.
     """
 
     def __init__(self, path: str, cached: int = CACHED_WORDS):
@@ -53,6 +76,8 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.merge = self.tokenizer.model.tokenize
+        stated = json.loads(self.tokenizer.to_str())
+        self.by_word = all(stated[name] == rules for name, rules in BY_WORD.items())
         self.cached = cached
         self.words: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
@@ -80,6 +105,8 @@ class WordEncoder:
 
     def encode(self, text: bytes) -> bytes:
         """Little-endian unsigned 32-bit ids."""
+        if not self.by_word:
+            return np.array(self.tokenizer.encode(text.decode(), add_special_tokens=False).ids, "<u4").tobytes()
         get, look_up = self.words.get, self._look_up
         ids = []
         for word in text.lower().split():
@@ -208,10 +235,10 @@ def pack(
     capacity: int = CAPACITY,
     separator: int = SEPARATOR,
     dealt: int = DEALT,
-    max_rounds: int = MAX_ROUNDS,
 ) -> DataFrame:
     """Pieces with the sequence they go to, their offset there, and whether that packing met its bound.
 
+    Partitions with gaps exchange documents as long as a round needs fewer sequences than the one before.
     Memory of a task is bounded by ``dealt`` pieces, about; only numbers of pieces come to the driver.
     """
     scratch = Scratch(docs.sparkSession)
@@ -226,9 +253,8 @@ def pack(
     )
     results, pool = [full], rows.where(F.col("length") < capacity)
     left = pool.count()
-    for turn in range(max_rounds):
-        if not left:
-            break
+    turn, before = 0, None
+    while left:
         parts = -(-left // dealt)
         part = F.pmod(F.xxhash64("uid", F.lit(turn)), F.lit(parts))
         packed = scratch.store(
@@ -237,13 +263,14 @@ def pack(
             ),
             "packed",
         )
-        pool = packed.where("back").select(*rows.columns)
-        left = pool.count()
-        last = parts == 1 or not left or turn == max_rounds - 1
-        kept = packed if last else packed.where("not back")
-        results.append(kept.select(*full.columns))
+        first = F.col("offset") == 0  # one piece of every sequence
+        made, left, again = packed.agg(F.count_if(first), F.count_if("back"), F.count_if(first & F.col("back"))).first()
+        stuck = before is not None and made >= before
+        last = parts == 1 or not left or stuck
+        results.append((packed if last else packed.where("not back")).select(*full.columns))
         if last:
             break
+        pool, before, turn = packed.where("back").select(*rows.columns), again, turn + 1
     whole = results[0]
     for more in results[1:]:
         whole = whole.unionByName(more)
