@@ -3,9 +3,11 @@
 Words and their character n-grams are counted per language over all training documents, and all counts score. A
 word that was never seen is scored by the longest known n-gram at each of its positions, from ``LONGEST`` letters
 down to one. The counts grow with the corpus, what is sent to the tasks does not: the most frequent words up to
-``MAX_WORDS`` go there with their counts in every language, and the n-grams where both fit whole; other words of a
-text are looked up in the stored counts, by one join over distinct words and one over the n-grams of unseen ones.
+``MAX_WORDS`` go there with their counts in every language. The other words of a text are joined with the stored
+counts, and the distinct ones that were never seen with the stored n-grams. There is one way to score, whatever the
+size of the table and of what is sent.
 
+* a word is a run of letters and of marks that follow a letter, in any script, in lower case; all else parts words;
 * documents whose crc32(doc_id) mod 5 is 0, without language or without id are never learned from;
 * a text that is null or has no letter is ``und`` with score 0, as is every text where nothing was learned;
 * ties between languages go to the first by name; repeated rows are predicted alike;
@@ -17,34 +19,33 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+import regex
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerloom.llm.common import Scratch
 
 MAX_WORDS = 150_000
-MAX_GRAMS = 100_000
 LONGEST = 4
 SMOOTHING = 0.5
 FOLDS = 5
 FLUSHED = 300_000
-CACHED = 200_000
 UNKNOWN = "und"
 
-#: ASCII bytes that are no letters part words; all others, of which scripts beyond ASCII are made, stay.
-_LETTERS = bytes(byte if chr(byte).isascii() is False or chr(byte).isalpha() else 32 for byte in range(256))
+#: ASCII bytes that are no letters part words; of the others only letters and their marks are left by then.
+_LETTERS = bytes(byte if byte > 127 or chr(byte).isalpha() else 32 for byte in range(256))
+_OTHER_SIGN = regex.compile(r"[^\x00-\x7F\p{L}\p{M}]\p{M}*|(?<![\p{L}\p{M}])\p{M}+")
 
 
 def words_of(text: str | None) -> list[bytes]:
     """Lower-case words as UTF-8; none where the text has no letter."""
     lowered = (text or "").lower()
-    words = lowered.encode().translate(_LETTERS).split()
-    if words and not any(word[0] < 128 for word in words) and not any(map(str.isalpha, lowered)):
-        return []  # signs beyond ASCII only
-    return words
+    if not lowered.isascii():
+        lowered = _OTHER_SIGN.sub(" ", lowered)
+    return lowered.encode().translate(_LETTERS).split()
 
 
 def grams_of(word: str) -> Iterator[str]:
@@ -98,62 +99,18 @@ def most_frequent(rows: DataFrame, at_most: int) -> DataFrame:
     return rows.where(step >= lowest) if math.isfinite(lowest) else rows.limit(0)
 
 
-@dataclass
-class Rest:
-    """All counts as tables (word, counts: one per language), and what each language's counts are divided by."""
-
-    words: DataFrame
-    word_sums: np.ndarray
-    grams: DataFrame
-    gram_sums: np.ndarray
-
-
 @dataclass
 class Model:
-    """Log frequencies of words and n-grams, a row per entry and a column per language."""
+    """All counts as stored tables (word, n, counts: one per language), what each language's counts are divided by,
+    and the most frequent words as log frequencies, a row per word and a column per language."""
 
     langs: list[str]
     words: dict[bytes, int]
     word_logs: np.ndarray
-    grams: dict[str, int]
-    gram_logs: np.ndarray
-    rest: Rest | None = None  # the stored counts, where the entries above are not all
-    unseen: dict[bytes, list[int]] = field(default_factory=dict)
-
-    def _back_off(self, word: bytes) -> list[int]:
-        """The longest known n-gram at each position of the word, as rows of ``gram_logs``."""
-        padded, rows, known = f"^{word.decode()}$", [], self.grams.get
-        for at in range(len(padded)):
-            for end in range(min(at + LONGEST, len(padded)), at, -1):
-                row = known(padded[at:end])
-                if row is not None:
-                    rows.append(row)
-                    break
-        if len(self.unseen) >= CACHED:
-            self.unseen.clear()
-        self.unseen[word] = rows
-        return rows
-
-    def predict(self, text: str | None) -> tuple[str, float]:
-        words = words_of(text)
-        if not words or not self.langs:
-            return UNKNOWN, 0.0
-        rows = list(map(self.words.get, words))
-        known = [row for row in rows if row is not None]
-        total = self.word_logs[known].sum(axis=0, dtype=np.float64)
-        if len(known) < len(rows):
-            # an unseen word counts with the mean of its n-grams
-            parts, sizes = [], []
-            for word, row in zip(words, rows):
-                if row is None:
-                    found = self.unseen.get(word)
-                    found = self._back_off(word) if found is None else found
-                    parts += found
-                    sizes.append(len(found))
-            shares = 1 / np.maximum(sizes, 1)
-            total = total + np.repeat(shares, sizes) @ self.gram_logs[parts].astype(np.float64)
-        best = int(total.argmax())
-        return self.langs[best], float(1 / np.exp(total - total[best]).sum())
+    all_words: DataFrame
+    word_sums: np.ndarray
+    all_grams: DataFrame
+    gram_sums: np.ndarray
 
 
 def _by_word(rows: DataFrame, langs: list[str]) -> DataFrame:
@@ -162,14 +119,8 @@ def _by_word(rows: DataFrame, langs: list[str]) -> DataFrame:
     return rows.groupBy("word").agg(F.sum("n").alias("n"), F.array(*counts).cast("array<long>").alias("counts"))
 
 
-def _logs(rows: list, sums: np.ndarray) -> tuple[dict[str, int], np.ndarray]:
-    counts = np.array([row["counts"] for row in rows], float).reshape(len(rows), len(sums))
-    return {row["word"]: k for k, row in enumerate(rows)}, np.log((counts + SMOOTHING) / sums)
-
-
-def fit(docs: DataFrame, max_words: int = MAX_WORDS, max_grams: int = MAX_GRAMS) -> Model:
+def fit(docs: DataFrame, scratch: Scratch, max_words: int = MAX_WORDS) -> Model:
     """Count words over all training documents and n-grams over all distinct words."""
-    scratch = Scratch(docs.sparkSession)
     train = docs.where((F.crc32(docs["doc_id"].cast("string")) % FOLDS != 0) & docs["lang"].isNotNull())
     shape = "lang string, word string, n long"
     words = train.select(docs["lang"], docs["text"]).mapInArrow(_count_words, shape)
@@ -184,18 +135,13 @@ def fit(docs: DataFrame, max_words: int = MAX_WORDS, max_grams: int = MAX_GRAMS)
     all_words = scratch.store(_by_word(words, order), "word-counts")
     all_grams = scratch.store(_by_word(grams, order), "gram-counts")
     scratch.drop(words, grams)
-    word_count, gram_count = all_words.count(), all_grams.count()
-    word_sums = np.array([langs[lang] for lang in order], float) + SMOOTHING * max(1, word_count)
-    gram_sums = np.array([letters.get(lang, 0) for lang in order], float) + SMOOTHING * max(1, gram_count)
+    word_sums = np.array([langs[lang] for lang in order], float) + SMOOTHING * max(1, all_words.count())
+    gram_sums = np.array([letters.get(lang, 0) for lang in order], float) + SMOOTHING * max(1, all_grams.count())
     # a row holds all languages: with very many of them fewer rows are sent
-    fewer = max(1, len(order) // 8)
-    word_rows = most_frequent(all_words, max_words // fewer).orderBy("word").collect()
-    whole = len(word_rows) == word_count and gram_count <= max_grams // fewer
-    gram_rows = all_grams.orderBy("word").collect() if whole else []
-    word_index, word_logs = _logs(word_rows, word_sums)
-    gram_index, gram_logs = _logs(gram_rows, gram_sums)
-    rest = None if whole else Rest(all_words, word_sums, all_grams, gram_sums)
-    return Model(order, {word.encode(): row for word, row in word_index.items()}, word_logs, gram_index, gram_logs, rest)
+    sent = most_frequent(all_words, max_words // max(1, len(order) // 8)).orderBy("word").collect()
+    counts = np.array([row["counts"] for row in sent], float).reshape(len(sent), len(order))
+    index = {row["word"].encode(): k for k, row in enumerate(sent)}
+    return Model(order, index, np.log((counts + SMOOTHING) / word_sums), all_words, word_sums, all_grams, gram_sums)
 
 
 def _positions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -215,28 +161,22 @@ def _positions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(column) for column in zip(*rows)], names)
 
 
-def _looked_up(scratch: Scratch, asked: DataFrame, rest: Rest) -> DataFrame:
-    """(word, logs) of distinct words: their own counts, for unseen words the mean of their longest known n-grams."""
-    every = range(len(rest.word_sums))
+def _logs(sums: np.ndarray) -> list[Column]:
+    """Log frequency of a row's counts in every language."""
+    return [F.log((F.col("counts")[k] + SMOOTHING) / F.lit(float(total))) for k, total in enumerate(sums)]
 
-    def logs(sums: np.ndarray) -> list:
-        return [F.log((F.col("counts")[k] + SMOOTHING) / F.lit(float(sums[k]))) for k in every]
 
-    found = asked.join(rest.words, "word", "left").select("word", "counts")
-    found = scratch.store(found.withColumn("number", F.monotonically_increasing_id()), "asked")
-    seen = found.where(F.col("counts").isNotNull()).select("word", F.array(*logs(rest.word_sums)).alias("logs"))
-    unseen = found.where(F.col("counts").isNull()).select("number", "word")
-    grams = unseen.mapInArrow(_positions, "number long, at long, size long, word string").join(rest.grams, "word")
-    grams = grams.select("number", "at", "size", *[log.alias(f"log_{k}") for k, log in enumerate(logs(rest.gram_sums))])
-    longest = grams.groupBy("number", "at").agg(*[F.max_by(f"log_{k}", "size").alias(f"log_{k}") for k in every])
-    means = longest.groupBy("number").agg(F.array(*[F.avg(f"log_{k}") for k in every]).alias("logs"))
-    return seen.unionByName(unseen.join(means, "number").select("word", "logs"))
+def _backed_off(words: DataFrame, model: Model) -> DataFrame:
+    """(word, log_0, ...) of distinct unseen words: the mean of the longest known n-grams at their positions."""
+    every = [f"log_{k}" for k in range(len(model.langs))]
+    grams = words.mapInArrow(_positions, "number long, at long, size long, word string").join(model.all_grams, "word")
+    grams = grams.select("number", "at", "size", *[log.alias(name) for log, name in zip(_logs(model.gram_sums), every)])
+    longest = grams.groupBy("number", "at").agg(*[F.max_by(name, "size").alias(name) for name in every])
+    return words.join(longest.groupBy("number").agg(*[F.avg(name).alias(name) for name in every]), "number").drop("number")
 
 
-def _with_rest(rows: DataFrame, model: Model) -> DataFrame:
-    """Predictions where some words have to be looked up; the model's words are summed in the tasks."""
-    scratch = Scratch(rows.sparkSession)
-    rest, langs = model.rest, model.langs
+def _summed(rows: DataFrame, model: Model) -> DataFrame:
+    """(number, doc_id, sums, others, times): logs of the words sent to the tasks, and the other words with their number."""
     sent = rows.sparkSession.sparkContext.broadcast((model.words, model.word_logs))
 
     def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -259,43 +199,48 @@ def _with_rest(rows: DataFrame, model: Model) -> DataFrame:
 
     shape = "number long, doc_id long, sums array<double>, others array<string>, times array<long>"
     rows = rows.select(F.monotonically_increasing_id().alias("number"), "doc_id", "text")
-    rows = scratch.store(rows.mapInArrow(summed, shape), "summed")
+    return rows.mapInArrow(summed, shape)
+
+
+def _predicted(rows: DataFrame, model: Model, scratch: Scratch) -> DataFrame:
+    """(doc_id, lang_pred, score). Occurrences of words that were not sent are shuffled once by word; only the unseen
+    ones among them meet their n-grams and are shuffled again."""
+    rows = scratch.store(_summed(rows, model), "summed")
     others = rows.select("number", F.explode(F.arrays_zip("others", "times")).alias("of"))
     others = others.select("number", F.col("of.others").alias("word"), F.col("of.times").alias("times"))
-    logs = scratch.store(_looked_up(scratch, others.select("word").distinct(), rest), "looked-up")
-    every = range(len(langs))
-    more = others.join(logs, "word").groupBy("number").agg(
-        F.array(*[F.sum(F.col("times") * F.col("logs")[k]) for k in every]).alias("more")
-    )
-    total = F.array(*[F.col("sums")[k] + F.coalesce(F.col("more")[k], F.lit(0.0)) for k in every])
+    met = others.join(model.all_words.select("word", "counts"), "word", "left")
+    unseen = F.col("counts").isNull()
+    met = scratch.store(met.select("number", "times", F.when(unseen, F.col("word")).alias("word"), "counts"), "met")
+    scratch.drop(model.all_words)
+    words = met.where(unseen).select("word").distinct().withColumn("number", F.monotonically_increasing_id())
+    words = scratch.store(words.select("number", "word"), "unseen")
+    backed_off = scratch.store(_backed_off(words, model), "backed-off")
+    scratch.drop(words, model.all_grams)
+
+    every = [f"log_{k}" for k in range(len(model.langs))]
+    seen = met.where(~unseen).select("number", "times", *[log.alias(name) for log, name in zip(_logs(model.word_sums), every)])
+    more = seen.unionByName(met.where(unseen).join(backed_off, "word").select("number", "times", *every))
+    more = more.groupBy("number").agg(*[F.sum(F.col("times") * F.col(name)).alias(name) for name in every])
+    total = F.array(*[F.col("sums")[k] + F.coalesce(F.col(name), F.lit(0.0)) for k, name in enumerate(every)])
     total = rows.select("number", "doc_id", "sums").join(more, "number", "left").select(
         "doc_id", F.when(F.col("sums").isNotNull(), total).alias("total")
     )
     most = F.array_max("total")
-    first = F.get(F.array(*map(F.lit, langs)), (F.array_position("total", most) - 1).cast("int"))
+    first = F.get(F.array(*map(F.lit, model.langs)), (F.array_position("total", most) - 1).cast("int"))
     shares = F.aggregate("total", F.lit(0.0), lambda sum_, x: sum_ + F.exp(x - most))
     return total.select(
         "doc_id", F.coalesce(first, F.lit(UNKNOWN)).alias("lang_pred"), F.coalesce(1 / shares, F.lit(0.0)).alias("score")
     )
 
 
-def identify(docs: DataFrame) -> DataFrame:
+def identify(docs: DataFrame, max_words: int = MAX_WORDS) -> DataFrame:
     """One row per document: doc_id, held_out, lang_pred, score."""
-    fitted = fit(docs)
+    scratch = Scratch(docs.sparkSession)
+    model = fit(docs, scratch, max_words)
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"])
-    if fitted.rest is not None:
-        rows = _with_rest(rows, fitted)
+    if model.langs:
+        rows = _predicted(rows, model, scratch)
     else:
-        model = docs.sparkSession.sparkContext.broadcast(fitted)
-
-        def predicted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            predict = model.value.predict
-            for batch in batches:
-                found = [predict(text.as_py()) for text in batch.column(1)]
-                langs, scores = zip(*found) if found else ((), ())
-                columns = [batch.column(0), pa.array(langs, pa.string()), pa.array(scores, pa.float64())]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "lang_pred", "score"])
-
-        rows = rows.mapInArrow(predicted, "doc_id long, lang_pred string, score double")
+        rows = rows.select("doc_id", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % FOLDS == 0, F.lit(False))
     return rows.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
