@@ -867,3 +867,4 @@ for _name, _same in {
     "v_monthly_trends_rollup": "v_monthly_trends",
 }.items():
     ORACLES[_name] = ORACLES[_same]
+ORACLES["fact_merged"] = f"SELECT * EXCLUDE (transaction_key) FROM ({ORACLES['state_fact']})"

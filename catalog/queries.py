@@ -535,6 +535,17 @@ def state_fact_carried(spark: SparkSession, folder: str) -> DataFrame:
     return comparable(daily.read_fact_with_history(store))
 
 
+def fact_merged(spark: SparkSession, folder: str) -> DataFrame:
+    """The fact table after four loads that were merged, and a fifth after that; keys depend on the loads, so are left out."""
+    days = ("2024-01-28 00:00:00", "2024-02-01 00:00:00", "2024-02-05 00:00:00")
+    *before, last = _batches(spark, folder, *days)
+    store = _loaded(spark, folder, Upkeep(), before)
+    daily.merge_fact_loads(store, fan_in=2)
+    store.drop_merged(WAREHOUSE, daily.FACT)
+    daily.load_fact(store, store.replace(STAGING, "transactions", last), store.read(WAREHOUSE, "dim_customer"))
+    return comparable(daily.read_fact_with_history(store).drop("transaction_key"))
+
+
 def metrics_merged(spark: SparkSession, folder: str) -> DataFrame:
     """Metrics per customer from the parts of three loads; the fact table is not read."""
     store = _loaded(spark, folder, Upkeep(parts=True), _batches(spark, folder, "2024-02-01 00:00:00"))
@@ -677,6 +688,7 @@ QUERIES: dict[str, Query] = {
     "ingest_rejected": ingest_rejected,
     "state_fact": state_fact,
     "state_fact_carried": state_fact_carried,
+    "fact_merged": fact_merged,
     "metrics_merged": metrics_merged,
     "fact_new_rows_indexed": fact_new_rows_indexed,
     "v_monthly_trends_rollup": v_monthly_trends_rollup,

@@ -23,7 +23,7 @@ from ledgerloom.operators.merge import new_rows, require_unique
 from ledgerloom.plans import partials, products, profile, quality, running, scoring, staging, warehouse
 from ledgerloom.sources.csv_files import MALFORMED, read_csv
 from ledgerloom.sources.id_index import BUCKETS, IdIndex
-from ledgerloom.sources.loads import catch_up, newest
+from ledgerloom.sources.loads import FAN_IN, SMALL_BYTES, catch_up, merge_small, missing, newest
 from ledgerloom.sources.tables import ANALYTICS, STAGING, WAREHOUSE, TableStore
 
 RUN_NAME = "daily_risk_run"
@@ -228,6 +228,27 @@ def keep_up(store: TableStore, upkeep: Upkeep = Upkeep()) -> None:
         transaction_ids(store, upkeep.id_buckets).catch_up(loads, lambda load: fact_load(store, load).select("transaction_id"))
 
 
+def merge_fact_loads(
+    store: TableStore, upkeep: Upkeep = Upkeep(), fan_in: int = FAN_IN, small_bytes: int = SMALL_BYTES
+) -> list[tuple[int, int]]:
+    """Merge small neighbouring loads of the fact table, with or without stored running columns.
+
+    What is kept per load is caught up first. A part that lags behind because ``upkeep`` names it no longer is refused:
+    it could not be told afterwards which rows of a merged load it holds.
+    """
+    keep_up(store, upkeep)
+    loads = fact_loads(store)
+    kept = ["fact_counts", *partials.PARTS, "transaction_ids"]
+    behind = [name for name in kept if store.exists(WAREHOUSE, name) and missing(store, WAREHOUSE, name, loads)]
+    if behind:
+        raise ValueError(f"not caught up with the fact table: {', '.join(behind)}")
+    if store.exists(WAREHOUSE, running.ROWS):
+        table, schema, upto = running.ROWS, schemas.FACT_RUNNING, running.committed(store)
+    else:
+        table, schema, upto = FACT, FACT_STORED, None
+    return merge_small(store, WAREHOUSE, table, schema, [warehouse.MONTH], upto, fan_in, small_bytes)
+
+
 def fact_loads(store: TableStore) -> list[int]:
     """Numbers of the committed loads of the fact table."""
     if store.exists(WAREHOUSE, running.ROWS):

@@ -6,6 +6,9 @@ the highest version with a load is the table. A replaced table can therefore be
 written, and a job that dies half way changes nothing, whether it replaces or appends. The root lies on storage
 all executors share.
 
+Small loads can be merged: ``load=<first>-<last>`` holds the rows of all loads from the first number to the last, and
+once it is committed they count no longer. It goes by the last number. A merge that is lost changes nothing either.
+
 One writer at a time: whoever writes a load first creates a claim file for its number, which only one can do, and
 removes it afterwards. A claim left by a lost job gives way after ``lease_seconds``.
 """
@@ -45,16 +48,34 @@ class TableStore:
         return sorted({version for version, _ in self.loads(layer, table)})
 
     def loads(self, layer: str, table: str) -> list[tuple[int, int]]:
-        """(version, load) of everything committed, in order."""
+        """(version, load) of everything committed, in order; merged loads go by their last number."""
+        return [(version, last) for version, _, last in self.ranges(layer, table)]
+
+    def ranges(self, layer: str, table: str, merged_away: bool = False) -> list[tuple[int, int, int]]:
+        """(version, first, last load) of every folder that counts, in order; or of those merged into another."""
         jvm = self.spark._jvm
         pattern = jvm.org.apache.hadoop.fs.Path(f"{self._folder(layer, table)}/v=*/load=*/_SUCCESS")
         files = pattern.getFileSystem(self.spark._jsc.hadoopConfiguration())
         folders = [mark.getPath().getParent() for mark in files.globStatus(pattern) or []]
 
-        def number(name: str) -> int:
-            return int(name.partition("=")[2])
-
-        return sorted((number(folder.getParent().getName()), number(folder.getName())) for folder in folders)
+        def numbers(folder) -> tuple[int, int, int]:
+            first, _, last = folder.getName().partition("=")[2].partition("-")
+            return int(folder.getParent().getName().partition("=")[2]), int(first), int(last or first)
+
+        # the widest range comes first among those that begin alike
+        found = sorted(map(numbers, folders), key=lambda of: (of[0], of[1], -of[2]))
+        counting: list[tuple[int, int, int]] = []
+        covered = []
+        for version, first, last in found:
+            inside = counting and counting[-1][0] == version and last <= counting[-1][2]
+            (covered if inside else counting).append((version, first, last))
+        return covered if merged_away else counting
+
+    def load_bytes(self, layer: str, table: str, version: int, first: int, last: int) -> int:
+        """Size of one load's files."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self._load(layer, table, version, last, first))
+        files = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        return files.getContentSummary(path).getLength()
 
     def exists(self, layer: str, table: str) -> bool:
         return bool(self.versions(layer, table))
@@ -64,14 +85,14 @@ class TableStore:
     ) -> DataFrame:
         """The current version. With ``schema`` a table that was never written reads as empty; any other
         failure stays a failure. ``upto`` leaves out later loads, ``only`` names the loads to read."""
-        loads = self.loads(layer, table)
-        if loads:
-            newest = loads[-1][0]
-            numbers = [load for version, load in loads if version == newest]
-            numbers = [n for n in numbers if (upto is None or n <= upto) and (only is None or n in only)]
+        ranges = self.ranges(layer, table)
+        if ranges:
+            newest = ranges[-1][0]
+            chosen = [(first, last) for version, first, last in ranges if version == newest]
+            chosen = [of for of in chosen if (upto is None or of[1] <= upto) and (only is None or of[1] in only)]
             reader = self.spark.read if schema is None else self.spark.read.schema(schema)
-            if numbers:
-                paths = [self._load(layer, table, newest, load) for load in numbers]
+            if chosen:
+                paths = [self._load(layer, table, newest, last, first) for first, last in chosen]
                 return reader.option("basePath", self._version(layer, table, newest)).parquet(*paths).drop("load")
         if schema is None:
             raise MissingTable(f"{layer}.{table}")
@@ -99,6 +120,28 @@ class TableStore:
         self._write(layer, table, version, last + 1 if load is None else load, rows, partition_by, again=load is not None)
         return self.read(layer, table)
 
+    def merge(
+        self, layer: str, table: str, first: int, last: int, schema: T.StructType | None = None, partition_by: Sequence[str] = ()
+    ) -> None:
+        """Write the loads ``first`` to ``last`` of the current version as one, which replaces them."""
+        version = self.loads(layer, table)[-1][0]
+        inside = [of for of in self.ranges(layer, table) if of[0] == version and first <= of[1] and of[2] <= last]
+        if len(inside) < 2 or inside[0][1] != first or inside[-1][2] != last:
+            raise ValueError(f"{layer}.{table}: {first} to {last} are not whole loads of version {version}")
+        rows = self.read(layer, table, schema, only=[of[2] for of in inside])
+        if partition_by:
+            rows = rows.hint("rebalance", *partition_by)
+        rows.write.mode("overwrite").partitionBy(*partition_by).parquet(self._load(layer, table, version, last, first))
+
+    def drop_merged(self, layer: str, table: str) -> int:
+        """Delete the loads that were merged into another, and return their number. Jobs that read them must be over."""
+        jvm = self.spark._jvm
+        old = self.ranges(layer, table, merged_away=True)
+        for version, first, last in old:
+            path = jvm.org.apache.hadoop.fs.Path(self._load(layer, table, version, last, first))
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        return len(old)
+
     def _write(
         self, layer: str, table: str, version: int, load: int, rows: DataFrame, partition_by: Sequence[str], again: bool = False
     ) -> None:
@@ -159,5 +202,6 @@ class TableStore:
     def _version(self, layer: str, table: str, number: int) -> str:
         return f"{self._folder(layer, table)}/v={number:08d}"
 
-    def _load(self, layer: str, table: str, version: int, load: int) -> str:
-        return f"{self._version(layer, table, version)}/load={load:08d}"
+    def _load(self, layer: str, table: str, version: int, load: int, first: int | None = None) -> str:
+        name = f"{load:08d}" if first in (None, load) else f"{first:08d}-{load:08d}"
+        return f"{self._version(layer, table, version)}/load={name}"

@@ -14,7 +14,7 @@ from ledgerloom.operators.hot_keys import HotKeyPolicy
 from ledgerloom.plans import daily, partials, products, profile, running, warehouse
 from ledgerloom.plans.daily import Upkeep
 from ledgerloom.sources.id_index import IdIndex
-from ledgerloom.sources.loads import catch_up, missing, newest
+from ledgerloom.sources.loads import catch_up, merge_small, missing, newest, tier_of, to_merge
 from ledgerloom.sources.tables import STAGING, WAREHOUSE, BusyTable, TableStore
 
 SF = "/root/testdata/sf0.001"
@@ -307,3 +307,76 @@ def test_a_daily_run_with_everything_kept(spark, store, tmp_path):
         scored = at.read("analytics", "customer_profile").drop("features", "scaled_features")
         found.append((rounded(scored, ("ml_scored_at", "last_updated", "created_at")), rounded(daily.read_fact_with_history(at))))
     assert found[0] == found[1]
+
+
+def test_which_loads_are_merged():
+    assert [tier_of(size, 4, 100) for size in (0, 100, 101, 400, 401, 1600, 1601)] == [0, 0, 1, 1, 2, 2, 3]
+    assert to_merge([0, 0], 3) is None and to_merge([], 3) is None
+    assert to_merge([1, 0, 0, 0], 3) == (1, 4)
+    assert to_merge([5, 0, 0], 3) is None  # a large load is not written again for two small ones
+    assert to_merge([2, 1, 0, 1, 0, 1], 3) == (1, 6)  # smaller ones between go along
+    assert to_merge([0, 0, 1, 0, 0], 3) is None
+
+
+def test_merges_write_a_row_once_per_tier():
+    loads, written, most = [], 0, 0
+    for _ in range(1000):
+        loads.append(1)
+        while found := to_merge([tier_of(size, 4, 1) for size in loads], 4):
+            start, end = found
+            loads[start:end] = [sum(loads[start:end])]
+            written += loads[start]
+        most = max(most, len(loads))
+    assert sum(loads) == 1000 and most <= 3 * 5 + 1 and written <= 1000 * 5
+
+
+@pytest.mark.parametrize("carry", [False, True])
+def test_merged_loads_hold_the_same_rows(spark, store, carry):
+    upkeep, customers = Upkeep(carry=carry, parts=True, ids=True, id_buckets=2), keys(spark)
+    batches = [transactions(spark, 12, k, (80 * k, 80 * k + 120)) for k in range(5)]
+    load_all(store, batches, upkeep, customers)
+    table = running.ROWS if carry else daily.FACT
+    before, metrics = rounded(daily.read_fact_with_history(store)), rounded(partials.stored_metrics(store, "2024-06-01"))
+    loads, files = daily.fact_loads(store), len(store.read(WAREHOUSE, table).inputFiles())
+
+    assert daily.merge_fact_loads(store, upkeep, fan_in=6) == []
+    assert daily.merge_fact_loads(store, upkeep, fan_in=4) == [(loads[0], loads[-1])]
+    assert daily.fact_loads(store) == loads[-1:] and len(store.read(WAREHOUSE, table).inputFiles()) < files
+    assert rounded(daily.read_fact_with_history(store)) == before
+    assert store.drop_merged(WAREHOUSE, table) == 5 and store.drop_merged(WAREHOUSE, table) == 0
+    assert rounded(daily.read_fact_with_history(store)) == before
+
+    load_all(store, [transactions(spark, 20, 9, (0, 900)), batches[2]], upkeep, customers)
+    assert rounded(daily.read_fact_with_history(store)) == rounded(windows(store)) and len(before) + 20 == daily.read_fact(store).count()
+    assert sum(row.rows for row in daily.read_counts(store).collect()) == len(before) + 20
+    whole = rounded(profile.transaction_metrics(daily.read_fact(store), "2024-06-01"))
+    assert rounded(partials.stored_metrics(store, "2024-06-01")) == whole != metrics
+
+
+def test_a_lost_merge_changes_nothing(spark, store):
+    for k in range(4):
+        store.append(WAREHOUSE, "t", spark.range(10 * k, 10 * k + 10).withColumn("m", F.col("id") % 2), ["m"])
+    store.merge(WAREHOUSE, "t", 0, 2, partition_by=["m"])
+    folder = store._load(WAREHOUSE, "t", 1, 2, 0)
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{folder}/_SUCCESS")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, False)
+    assert [load for _, load in store.loads(WAREHOUSE, "t")] == [0, 1, 2, 3]
+    assert sorted(row.id for row in store.read(WAREHOUSE, "t").collect()) == list(range(40))
+    assert merge_small(store, WAREHOUSE, "t", partition_by=["m"], upto=2, fan_in=3) == [(0, 2)]
+    assert store.ranges(WAREHOUSE, "t") == [(1, 0, 2), (1, 3, 3)]
+    assert sorted(row.id for row in store.read(WAREHOUSE, "t").collect()) == list(range(40))
+    assert sorted(row.id for row in store.read(WAREHOUSE, "t", upto=2).collect()) == list(range(30))
+    with pytest.raises(ValueError, match="not whole loads"):
+        store.merge(WAREHOUSE, "t", 1, 3)
+    with store.claim(f"{WAREHOUSE}/t/merge"), pytest.raises(BusyTable):
+        merge_small(store, WAREHOUSE, "t", partition_by=["m"], fan_in=2)
+
+
+def test_loads_with_a_part_that_lags_behind_are_not_merged(spark, store):
+    customers = keys(spark)
+    load_all(store, [transactions(spark, 9, 1)], Upkeep(parts=True), customers)
+    load_all(store, [transactions(spark, 9, 2)], Upkeep(), customers)
+    with pytest.raises(ValueError, match="not caught up"):
+        daily.merge_fact_loads(store, fan_in=2)
+    assert len(daily.merge_fact_loads(store, Upkeep(parts=True), fan_in=2)) == 1
