@@ -9,11 +9,13 @@ on the curves, a query stands at the rank of the candidate before it, so queries
 The window is measured, not guessed: for ``MEASURED`` queries the true neighbours are found by a scan of all
 vectors, and the window is the distance along the nearest curve that covers ``COVERED`` of them. On data
 without structure it is a fixed share of the vectors and the search costs as much as a scan; it never misses
-its recall silently. Places are cut into blocks, queries of a block into slots, and a task holds one block of
-vectors and one slot of queries.
+its recall silently. Places are cut into blocks of as many vectors as the window holds, at most ``CELLS``
+numbers. A task holds the vectors of one block once and streams the queries past them; only a block that more
+than ``SLOT`` queries look at is copied, once for each further ``SLOT`` of them.
 
-* vectors that are null, empty, zero or hold null or non-finite components neither ask nor are found; so are
-  vectors of another length than the most frequent one;
+* vectors that are null, empty, zero or hold null or non-finite components neither ask nor are found;
+* vectors of every length are searched among their own length, each length with its own curves and window; the
+  lengths of which a least window holds all vectors need no curve and are searched together;
 * of equal vectors only the 21 smallest ids can be among 20 neighbours, the others are left out before the
   search (a grouped limit, not a sample); equal queries ask once, and each gets the answer without itself;
 * ties go to the smaller vec_id; a null vec_id is not searched; repeated ids are each other's candidates;
@@ -27,9 +29,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ledgerloom.llm.common import Scratch
+from ledgerloom.llm.common import Scratch, run_bounds
 from ledgerloom.llm.embeddings import unit_vectors, usable
 
 NEIGHBOURS = 20
@@ -37,7 +39,9 @@ CURVES = 8
 DIMENSIONS, BITS = 6, 10
 MEASURED = 128
 COVERED = 0.97
-LEAST_WINDOW, MOST_BLOCK, SLOT = 256, 8192, 4096
+LEAST_WINDOW, SLOT = 256, 65536
+#: numbers of a block of vectors, and of the products made at a time: 32 MB in double precision
+CELLS = 1 << 22
 SEED = 5
 TIE = 1e-9
 
@@ -102,8 +106,43 @@ def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
     return groups[0][1] if groups else np.zeros((0, 0))
 
 
-def _places(size: int, longest: float, spread: list[list[float]]):
-    """Curve keys of a batch: every vector as a candidate, every query also at the place it looks from."""
+def _lifted(vectors: np.ndarray, longest: float) -> np.ndarray:
+    """Vectors with the component that gives all of them the length of the longest one."""
+    return np.hstack([vectors, np.sqrt(np.maximum(longest**2 - (vectors**2).sum(axis=1, keepdims=True), 0))])
+
+
+def _moments(longest: float):
+    """Number, mean and squared distances of every component of a partition."""
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        count, mean, squares = 0, 0.0, 0.0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            points = _lifted(_matrix(batch.column(0)), longest)
+            new, centre = len(points), points.mean(axis=0)
+            squares = squares + ((points - centre) ** 2).sum(axis=0) + (centre - mean) ** 2 * (count * new / (count + new))
+            mean, count = mean + (centre - mean) * (new / (count + new)), count + new
+        if count:
+            columns = [pa.array(np.arange(len(mean), dtype=np.int32)), pa.array(np.full(len(mean), count)), pa.array(mean), pa.array(squares)]
+            yield pa.RecordBatch.from_arrays(columns, ["at", "n", "mean", "squares"])
+
+    return summed
+
+
+def _spread(found: DataFrame, longest: float) -> tuple[np.ndarray, np.ndarray]:
+    """Mean and deviation of the lifted components; a row per partition and component is aggregated."""
+    parts = found.select("vector").mapInArrow(_moments(longest), "at int, n long, mean double, squares double")
+    here = Window.partitionBy("at")
+    parts = parts.withColumn("all", F.sum(F.col("n") * F.col("mean")).over(here) / F.sum("n").over(here))
+    apart = F.col("n") * (F.col("mean") - F.col("all")) * (F.col("mean") - F.col("all"))
+    sums = parts.groupBy("at").agg(F.first("all").alias("mean"), F.sqrt(F.sum(F.col("squares") + apart) / F.sum("n")).alias("spread"))
+    sums = sorted(sums.collect())  # a row per component
+    return np.array([row["mean"] for row in sums]), np.array([row["spread"] for row in sums])
+
+
+def _places(size: int, longest: float, mean: np.ndarray, scale: np.ndarray):
+    """Curve keys of a batch: a candidate where it stands, a query at the place it looks from."""
 
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         random = np.random.default_rng(SEED)
@@ -111,26 +150,19 @@ def _places(size: int, longest: float, spread: list[list[float]]):
         for curve in range(CURVES):
             rotation = np.linalg.qr(random.standard_normal((size + 1, size + 1)))[0][:, :DIMENSIONS]
             frames.append((rotation, random.uniform(-0.5, 0.5, rotation.shape[1])))
-        mean, scale = np.array(spread[0]), np.array(spread[1])
         for batch in batches:
-            vectors = _matrix(batch.column(1))
-            asks, found = np.array(batch.column(2).to_pylist(), bool), np.array(batch.column(3).to_pylist(), bool)
+            if not batch.num_rows:
+                continue
+            vectors, kinds = _matrix(batch.column("vector")), batch.column("kind").to_numpy()
             lengths = np.linalg.norm(vectors, axis=1, keepdims=True)
-            lifted = np.hstack([vectors, np.sqrt(np.maximum(longest**2 - lengths**2, 0))])
             looking = np.hstack([vectors / lengths * longest, np.zeros_like(lengths)])
-            for kind, rows, points in ((0, np.flatnonzero(found), lifted), (1, np.flatnonzero(asks), looking)):
-                for curve, (rotation, shift) in enumerate(frames):
-                    flat = ((points[rows] - mean) @ rotation) / np.sqrt(np.maximum((scale**2) @ rotation**2, 1e-300))
-                    cells = np.clip((flat + shift + 4) / 8, 0, 1 - 1e-9) * (1 << BITS)
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(np.full(len(rows), curve, np.int32)),
-                            pa.array(hilbert(np.floor(cells), BITS)),
-                            pa.array(np.full(len(rows), kind, np.int32)),
-                            batch.column(0).take(pa.array(rows)),
-                        ],
-                        ["curve", "place", "kind", "node"],
-                    )
+            points = np.where(kinds[:, None] == 0, _lifted(vectors, longest), looking)
+            for curve, (rotation, shift) in enumerate(frames):
+                flat = ((points - mean) @ rotation) / np.sqrt(np.maximum((scale**2) @ rotation**2, 1e-300))
+                cells = np.clip((flat + shift + 4) / 8, 0, 1 - 1e-9) * (1 << BITS)
+                columns = [pa.array(np.full(len(points), curve, np.int32)), pa.array(hilbert(np.floor(cells), BITS))]
+                columns += [batch.column("kind"), batch.column("node")]
+                yield pa.RecordBatch.from_arrays(columns, ["curve", "place", "kind", "node"])
 
     return placed
 
@@ -158,37 +190,128 @@ def _measured_best(queries: np.ndarray, names: np.ndarray, own: np.ndarray, k: i
     return scanned
 
 
-def _searched(k: int):
-    """The best of one block for one slot of queries."""
+def _met(k: int):
+    """The best of every block for the queries that look at it; rows come sorted by cell, candidates first.
 
-    def search(rows: pa.Table) -> pa.Table:
-        kinds = rows.column("kind").to_numpy()
-        vectors, nodes, ids = _matrix(rows.column("vector")), rows.column("node").to_numpy(), rows.column("vec_id").to_numpy()
-        asks, found = np.flatnonzero(kinds == 1), np.flatnonzero(kinds == 0)
-        out = []
-        for at in range(0, len(asks) if len(found) else 0, 512):
-            some = asks[at : at + 512]
-            none = np.full(len(some), -1)  # own rows are taken out where the copies of a query are joined back
-            asked, hit, exact = best(vectors[some], none, vectors[found], nodes[found], ids[found], k)
-            out.append((nodes[some][asked], nodes[found][hit], ids[found][hit], exact))
-        columns = [np.concatenate(column) for column in zip(*out)] if out else [np.zeros(0, np.int64)] * 3 + [np.zeros(0)]
-        return pa.table([pa.array(column) for column in columns], names=["asked", "node", "vec_id", "score"])
+    Only the candidates of one cell are held, as a matrix; its queries pass in batches.
+    """
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cell, held, block = None, [], None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            cells, kinds = batch.column("cell").to_numpy(), batch.column("kind").to_numpy()
+            for low, high in run_bounds(cells * 2 + kinds):
+                some = batch.slice(low, high - low)
+                if cells[low] != cell:
+                    cell, held, block = cells[low], [], None
+                if kinds[low] == 0:
+                    held.append(some)
+                    continue
+                if held:
+                    rows, held = pa.Table.from_batches(held), []
+                    block = _matrix(rows.column("vector")), rows.column("node").to_numpy(), rows.column("vec_id").to_numpy()
+                if block is None:
+                    continue
+                vectors, nodes, ids = block
+                asks, names = _matrix(some.column("vector")), some.column("node").to_numpy()
+                step = max(1, min(512, CELLS // len(nodes)))
+                for at in range(0, len(names), step):
+                    asking = names[at : at + step]
+                    none = np.full(len(asking), -1)  # own rows are taken out where the copies of a query are joined back
+                    asked, hit, exact = best(asks[at : at + step], none, vectors, nodes, ids, k)
+                    columns = [pa.array(asking[asked]), pa.array(nodes[hit]), pa.array(ids[hit]), pa.array(exact)]
+                    yield pa.RecordBatch.from_arrays(columns, ["asked", "node", "vec_id", "score"])
 
     return search
 
 
+FOUND = "asked long, node long, vec_id long, score double"
+
+
+def _rank() -> Column:
+    return F.row_number().over(Window.partitionBy("asked").orderBy(F.desc("score"), "vec_id", "node"))
+
+
+def _hits(candidates: DataFrame, looks: DataFrame, k: int) -> DataFrame:
+    """The best candidates of every cell for each query that looks at it (columns cell, node, vec_id, vector)."""
+    both = candidates.withColumn("kind", F.lit(0)).unionByName(looks.withColumn("kind", F.lit(1)))
+    both = both.select("cell", "kind", "node", "vec_id", "vector").repartition("cell")
+    return both.sortWithinPartitions("cell", "kind").mapInArrow(_met(k + 1), FOUND)
+
+
+def _window(scratch: Scratch, found: DataFrame, queries: DataFrame, placed: DataFrame, k: int, covered: float) -> int | None:
+    """Steps along the nearest curve that cover the true neighbours of a few queries; None without a query."""
+    few = queries.orderBy(F.xxhash64("vector"), "node").limit(MEASURED).collect()
+    if not few:
+        return None
+    names = [row["node"] for row in few]
+    # one candidate of each stands for the query itself, which is not its own neighbour
+    selves = found.where(F.col("same").isin(names)).groupBy("same").agg(F.min("node").alias("node"))
+    selves = {row["same"]: row["node"] for row in selves.collect()}
+    own = np.array([selves[name] for name in names], np.int64)
+    asked = np.array([row["vector"] for row in few], np.float64)
+    scanned = found.select("node", "vector", "vec_id").mapInArrow(_measured_best(asked, np.array(names, np.int64), own, k), FOUND)
+    truth = scanned.withColumn("rank", _rank()).where(F.col("rank") <= k).select("asked", F.col("node").alias("hit"))
+    truth = scratch.store(truth, "truth")  # MEASURED x k rows
+    from_there = placed.where("kind = 1").join(F.broadcast(truth), F.col("node") == F.col("asked"))
+    from_there = from_there.select("asked", "hit", F.col("curve").alias("on"), F.col("at").alias("from"))
+    there = placed.where("kind = 0").join(
+        F.broadcast(scratch.store(from_there, "from")), (F.col("node") == F.col("hit")) & (F.col("curve") == F.col("on"))
+    )
+    steps = there.groupBy("asked", "hit").agg(F.min(F.abs(F.col("at") - F.col("from"))).alias("steps"))
+    return max(LEAST_WINDOW, int(steps.agg(F.percentile("steps", covered)).first()[0] or 0) + 1)
+
+
+def _ranks(scratch: Scratch, found: DataFrame, queries: DataFrame, size: int) -> DataFrame:
+    """(curve, kind, node, at): candidates numbered along the curves, queries at the candidate before them."""
+    lengths = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda total, x: total + x.cast("double") * x))
+    longest = found.select(F.max(lengths)).first()[0]
+    points = found.select("node", "vector", F.lit(0).alias("kind")).unionByName(queries.select("node", "vector", F.lit(1).alias("kind")))
+    shape = "curve int, place long, kind int, node long"
+    placed = points.mapInArrow(_places(size, longest, *_spread(found, longest)), shape)
+    order = ["curve", "place", "kind", "node"]
+    placed = placed.repartitionByRange(*order).sortWithinPartitions(*order)
+    placed = scratch.store(placed.mapInArrow(_ranked, "part long, curve int, kind int, node long, rank long"), "places")
+    before, total = [], 0
+    for number, count in sorted(placed.groupBy("part").agg(F.max("rank")).collect()):  # a row per partition
+        before.append((number, total))
+        total += count
+    offsets = found.sparkSession.createDataFrame(before, "part long, before long")
+    placed = placed.join(F.broadcast(offsets), "part")
+    return scratch.store(placed.select("curve", "kind", "node", (F.col("before") + F.col("rank")).alias("at")), "ranked")
+
+
+def _curve_hits(scratch: Scratch, found: DataFrame, queries: DataFrame, size: int, k: int, covered: float) -> DataFrame | None:
+    """What the queries of one length see in their windows; None without a query."""
+    placed = _ranks(scratch, found, queries, size)
+    window = _window(scratch, found, queries, placed, k, covered)
+    if window is None:
+        return None
+    block = max(1, min(window, CELLS // size))
+    first, last = F.floor((F.col("at") - window) / block), F.floor((F.col("at") + window) / block)
+    looks = placed.where("kind = 1").select("curve", "node", F.explode(F.sequence(first, last)).alias("block"))
+    looks = scratch.store(looks.select((F.col("block") * CURVES + F.col("curve")).alias("cell"), "node"), "looks")
+    lists = placed.where("kind = 0").select((F.floor(F.col("at") / block) * CURVES + F.col("curve")).alias("cell"), "node")
+    # cells at which very many queries look are split, and only they are copied
+    busy = looks.groupBy("cell").agg(F.ceil(F.count("*") / SLOT).alias("slots")).where("slots > 1")
+    busy = scratch.store(busy, "busy")
+    most = (busy.agg(F.max("slots")).first()[0] or 1) + 1
+    slots = F.coalesce("slots", F.lit(1))
+    cell = lambda slot: (F.col("cell") * most + slot).alias("cell")
+    lists = lists.join(busy, "cell", "left").withColumn("slot", F.explode(F.sequence(F.lit(0).cast("long"), slots - 1)))
+    lists = lists.select(cell(F.col("slot")), "node").join(found.select("node", "vec_id", "vector"), "node")
+    looks = looks.join(busy, "cell", "left").select(cell(F.pmod(F.xxhash64("node"), slots)), "node")
+    looks = looks.join(queries.select("node", F.lit(-1).cast("long").alias("vec_id"), "vector"), "node")  # no id is read
+    return _hits(lists, looks, k)
+
+
 def search(vectors: DataFrame, every: int = 20, k: int = NEIGHBOURS, covered: float = COVERED) -> DataFrame:
     """The k nearest of all vectors for each whose vec_id is divisible by ``every``: query_id, rank, vec_id, score."""
-    spark = vectors.sparkSession
-    scratch = Scratch(spark)
-    found_shape = "asked long, node long, vec_id long, score double"
+    scratch = Scratch(vectors.sparkSession)
     rows = vectors.select(vectors["vec_id"].cast("long").alias("vec_id"), vectors["embedding"].alias("vector"))
     rows = rows.where(F.col("vec_id").isNotNull() & usable(F.col("vector")))
-    sizes = rows.groupBy(F.size("vector").alias("size")).count().orderBy(F.desc("count"), "size").first()
-    if sizes is None:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    size = sizes["size"]
-    rows = rows.where(F.size("vector") == size)
     # of equal vectors only the k + 1 smallest ids can be neighbours; the limit works before the shuffle
     same = F.row_number().over(Window.partitionBy("vector").orderBy("vec_id"))
     tops = rows.withColumn("among", same).where(F.col("among") <= k + 1).groupBy("vector").agg(F.max("vec_id").alias("top"))
@@ -202,76 +325,20 @@ def search(vectors: DataFrame, every: int = 20, k: int = NEIGHBOURS, covered: fl
     queries = tops.join(names.select("same").distinct(), "same", "left_semi")
     queries = scratch.store(queries.select(F.col("same").alias("node"), F.col("of").alias("vector")), "queries")
 
-    # scale of the components, and places on the curves
-    moments = rows.select(F.posexplode("vector").alias("at", "x"), "node").groupBy("at").agg(
-        F.avg("x").alias("mean"), F.stddev_pop("x").alias("spread")
-    )
-    moments = sorted(moments.collect())  # a row per component
-    lengths = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda total, x: total + x.cast("double") * x))
-    longest, mean_lift, spread_lift = rows.select(F.max(lengths)).first()[0], 0.0, 0.0
-    lift = F.sqrt(F.greatest(F.lit(longest**2) - lengths * lengths, F.lit(0.0)))
-    mean_lift, spread_lift = rows.select(F.avg(lift), F.stddev_pop(lift)).first()
-    spread = [[row["mean"] for row in moments] + [mean_lift], [row["spread"] for row in moments] + [spread_lift]]
-    points = rows.where("found").select("node", "vector", F.lit(False).alias("asks"), F.lit(True).alias("found"))
-    points = points.unionByName(queries.select("node", "vector", F.lit(True).alias("asks"), F.lit(False).alias("found")))
-    placed = points.mapInArrow(
-        _places(size, longest, spread), "curve int, place long, kind int, node long"
-    )
-    order = ["curve", "place", "kind", "node"]
-    placed = placed.repartitionByRange(*order).sortWithinPartitions(*order)
-    placed = scratch.store(placed.mapInArrow(_ranked, "part long, curve int, kind int, node long, rank long"), "places")
-    counts = sorted(placed.groupBy("part").agg(F.max("rank")).collect())  # a row per partition
-    before, total = [], 0
-    for number, count in counts:
-        before.append((number, total))
-        total += count
-    offsets = spark.createDataFrame(before, "part long, before long")
-    placed = placed.join(F.broadcast(offsets), "part")
-    placed = scratch.store(placed.select("curve", "kind", "node", (F.col("before") + F.col("rank")).alias("at")), "ranked")
-
-    # measure the window on a few queries, against all vectors
-    few = queries.orderBy(F.xxhash64("vector"), "node").limit(MEASURED).collect()
-    if not few:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    few_names = [row["node"] for row in few]
-    # one candidate of each stands for the query itself, which is not its own neighbour
-    selves = rows.where(F.col("found") & F.col("same").isin(few_names)).groupBy("same").agg(F.min("node").alias("node"))
-    selves = {row["same"]: row["node"] for row in selves.collect()}
-    own = np.array([selves[name] for name in few_names], np.int64)
-    few_vectors = np.array([row["vector"] for row in few], np.float64)
-    scanned = rows.where("found").select("node", "vector", "vec_id").mapInArrow(
-        _measured_best(few_vectors, np.array(few_names, np.int64), own, k), found_shape
-    )
-    ranks = F.row_number().over(Window.partitionBy("asked").orderBy(F.desc("score"), "vec_id", "node"))
-    truth = scanned.withColumn("rank", ranks).where(F.col("rank") <= k).select("asked", F.col("node").alias("hit"))
-    truth = scratch.store(truth, "truth")  # MEASURED x k rows
-    from_there = placed.where("kind = 1").join(F.broadcast(truth), F.col("node") == F.col("asked"))
-    from_there = from_there.select("asked", "hit", F.col("curve").alias("on"), F.col("at").alias("from"))
-    there = placed.where("kind = 0").join(
-        F.broadcast(scratch.store(from_there, "from")), (F.col("node") == F.col("hit")) & (F.col("curve") == F.col("on"))
-    )
-    steps = there.groupBy("asked", "hit").agg(F.min(F.abs(F.col("at") - F.col("from"))).alias("steps"))
-    window = steps.agg(F.percentile("steps", covered)).first()[0]
-    window = max(LEAST_WINDOW, int(window or 0) + 1)
-
-    # blocks of places and slots of queries
-    block = min(window, MOST_BLOCK)
-    places_of_a_curve = max(1, total // CURVES)
-    asked = queries.count()
-    met = asked * min(1.0, (2 * window + block) / places_of_a_curve)
-    slots = max(1, round(met / SLOT))
-    lists = placed.where("kind = 0").join(rows.where("found").select("node", "vector", "vec_id"), "node").select(
-        "curve", F.floor(F.col("at") / block).alias("block"), F.explode(F.sequence(F.lit(0), F.lit(slots - 1))).alias("slot"),
-        "kind", "node", "vec_id", "vector",
-    )
-    first, last = F.floor((F.col("at") - window) / block), F.floor((F.col("at") + window) / block)
-    looks = queries.withColumn("vec_id", F.lit(-1).cast("long"))  # not read
-    looks = placed.where("kind = 1").join(looks, "node").select(
-        "curve", F.explode(F.sequence(first, last)).alias("block"), F.pmod(F.xxhash64("node"), F.lit(slots)).cast("int").alias("slot"),
-        "kind", "node", "vec_id", "vector",
-    )
-    hits = lists.unionByName(looks).groupBy("curve", "block", "slot").applyInArrow(_searched(k + 1), found_shape)
-    hits = hits.distinct().withColumn("rank", ranks).where(F.col("rank") <= k + 1)
+    # every length by itself; those whose vectors a least window holds need no curve
+    size, found = F.size("vector"), rows.where("found")
+    sizes = found.groupBy(size.alias("size")).count().where(F.col("count") > LEAST_WINDOW)
+    sizes = sorted(row["size"] for row in sizes.collect())
+    few = ~size.isin(sizes) if sizes else F.lit(True)
+    cell = size.cast("long").alias("cell")
+    looks = queries.where(few).select(cell, "node", F.lit(-1).cast("long").alias("vec_id"), "vector")
+    hits = _hits(found.where(few).select(cell, "node", "vec_id", "vector"), looks, k)
+    for length in sizes:
+        more = _curve_hits(scratch, found.where(size == length), queries.where(size == length), length, k, covered)
+        hits = hits if more is None else hits.unionByName(more)
+
+    # one shuffle: what curves share goes and ranks are given where the hits of a query meet
+    hits = hits.repartition("asked").distinct().withColumn("rank", _rank()).where(F.col("rank") <= k + 1)
     answers = hits.groupBy("asked").agg(F.sort_array(F.collect_list(F.struct("rank", "node", "vec_id", "score"))).alias("answer"))
     answers = scratch.store(answers, "answers")  # so that the join of a query with very many copies can be split
     others = F.slice(F.filter("answer", lambda hit: hit["node"] != F.col("own")), 1, k)

@@ -130,7 +130,7 @@ def test_recall_on_vectors_without_structure(spark, monkeypatch):
 
 
 def test_few_and_unusable_vectors(spark):
-    vectors = [[1, 0], None, [0, 0], [float("nan"), 1], [1, 1], [None, 2], [3, 3, 3]]
+    vectors = [[1, 0], None, [0, 0], [float("nan"), 1], [1, 1], [None, 2], [3, 3, 3], []]
     assert answers(table(spark, vectors).selectExpr("*", "1 as curve", "2 as at")) == {0: [(4, 1.0)]}
     assert answers(table(spark, [])) == {} and answers(table(spark, [[1, 2]], first=7)) == {}
     assert answers(table(spark, [[1, 2]], first=20)) == {}
@@ -149,3 +149,24 @@ def test_queries_with_more_copies_than_the_window(spark, monkeypatch):
     copies = range(1000, 1021)
     assert found == {k: [c for c in copies if c != k][:20] for k in range(1000, 2000, 20)}
     assert sorted(row["rank"] for row in rows if row["query_id"] == 1000) == list(range(1, 21))
+
+
+@pytest.mark.parametrize("least", [256, 8])
+def test_every_length_is_searched_by_itself(spark, monkeypatch, least):
+    monkeypatch.setattr(neighbours, "LEAST_WINDOW", least)
+    monkeypatch.setattr(neighbours, "SLOT", 7)  # some blocks are looked at by more queries
+    random = np.random.default_rng(11)
+    sizes = [12] * 400 + [5] * 120 + [3] * 9 + [1]
+    vectors = [random.normal(size=size).astype(np.float32) for size in sizes]
+    order = random.permutation(len(vectors))
+    rows = spark.createDataFrame([(int(k), [float(x) for x in vectors[i]], 0) for k, i in enumerate(order)], SHAPE)
+    found, want = answers(rows.repartition(3), every=2, covered=1.0), {}
+    for size in set(sizes):
+        ids = np.array([k for k, i in enumerate(order) if sizes[i] == size])
+        want |= plain_neighbours(np.array([vectors[order[k]] for k in ids]), ids, 2, 20)
+    want = {query: hits for query, hits in want.items() if hits}
+    assert found.keys() == want.keys()
+    same = sum(len({v for v, _ in found[q]} & {v for v, _ in want[q]}) for q in want)
+    assert same / sum(map(len, want.values())) >= (0.9 if least == 8 else 0.97)
+    small = [q for q in want if sizes[order[q]] in (1, 3)]
+    assert all([v for v, _ in found[q]] == [v for v, _ in want[q]] for q in small)
