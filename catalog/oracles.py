@@ -868,3 +868,4 @@ for _name, _same in {
 }.items():
     ORACLES[_name] = ORACLES[_same]
 ORACLES["fact_merged"] = f"SELECT * EXCLUDE (transaction_key) FROM ({ORACLES['state_fact']})"
+ORACLES["merchants_sketched"] = _with("SELECT customer_id, unique_merchants, TRUE AS within_bound FROM metrics", "metrics")

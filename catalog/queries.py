@@ -552,6 +552,18 @@ def metrics_merged(spark: SparkSession, folder: str) -> DataFrame:
     return comparable(partials.stored_metrics(store, AS_OF))
 
 
+def merchants_sketched(spark: SparkSession, folder: str) -> DataFrame:
+    """Merchants per customer by the sketches of three loads: whether each is within the stated error of the exact count."""
+    kept = Upkeep(parts=True, sketched=True)
+    store = _loaded(spark, folder, kept, _batches(spark, folder, "2024-02-01 00:00:00"))
+    sketched = partials.stored_metrics(store, AS_OF, sketched=True).select("customer_id", F.col("unique_merchants").alias("estimate"))
+    exact = base_fact(spark, folder).groupBy("customer_id").agg(F.count_distinct("merchant_name").alias("unique_merchants"))
+    error = F.abs(F.col("estimate") - F.col("unique_merchants"))
+    within = F.coalesce(error <= F.col("unique_merchants") * partials.SKETCH_ERROR, F.lit(False))
+    rows = exact.join(sketched, "customer_id", "full")
+    return comparable(rows.select("customer_id", "unique_merchants", within.alias("within_bound")))
+
+
 def fact_new_rows_indexed(spark: SparkSession, folder: str) -> DataFrame:
     """Rows the second load adds, known ones told by the index of ids."""
     store = _loaded(spark, folder, Upkeep(ids=True, id_buckets=16), _batches(spark, folder))
@@ -690,6 +702,7 @@ QUERIES: dict[str, Query] = {
     "state_fact_carried": state_fact_carried,
     "fact_merged": fact_merged,
     "metrics_merged": metrics_merged,
+    "merchants_sketched": merchants_sketched,
     "fact_new_rows_indexed": fact_new_rows_indexed,
     "v_monthly_trends_rollup": v_monthly_trends_rollup,
     "state_fact_selected": state_fact_selected,

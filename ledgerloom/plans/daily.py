@@ -57,7 +57,7 @@ class Upkeep:
     """What a load keeps beside the rows, so that later loads and reports need not read the history.
 
     ``carry`` stores the running columns (``plans.running``), ``parts`` the parts metrics and trends are merged from
-    (``plans.partials``), ``ids`` an index of the transaction ids in ``id_buckets`` buckets, a number that never
+    (``plans.partials``), with ``sketched`` the merchants of a customer as a sketch, ``ids`` an index of the transaction ids in ``id_buckets`` buckets, a number that never
     changes. Parts and index catch up when they are switched on later, stored running columns do not.
     """
 
@@ -65,6 +65,7 @@ class Upkeep:
     parts: bool = False
     ids: bool = False
     id_buckets: int = BUCKETS
+    sketched: bool = False
 
 
 @dataclass(frozen=True)
@@ -223,7 +224,7 @@ def keep_up(store: TableStore, upkeep: Upkeep = Upkeep()) -> None:
 
     catch_up(store, WAREHOUSE, "fact_counts", loads, counts_of, _merged_counts)
     if upkeep.parts:
-        partials.keep_up(store, loads, lambda load: fact_load(store, load))
+        partials.keep_up(store, loads, lambda load: fact_load(store, load), sketched=upkeep.sketched)
     if upkeep.ids:
         transaction_ids(store, upkeep.id_buckets).catch_up(loads, lambda load: fact_load(store, load).select("transaction_id"))
 
@@ -316,7 +317,7 @@ def score_customers(
     )
     # written once and read back: scaling needs the statistics of all rows before the first row can be scored
     unscored = store.replace(STAGING, "customer_profile", wide)
-    scored = store.replace(ANALYTICS, "customer_profile", scoring.score_profile(unscored, at, ml_scaling))
+    scored = store.replace(ANALYTICS, "customer_profile", scoring.score_profile(unscored, at, ml_scaling), find_by="customer_id")
     append_history(store, scoring.risk_snapshot(scored, as_of, at))
     return scored
 
@@ -336,7 +337,7 @@ def rescore_customers(store: TableStore, chosen: DataFrame, as_of: dates.AsOf =
     """Rescore chosen customers by points: patch the stored profile and append to the history."""
     before = store.read(ANALYTICS, "customer_profile")
     result = scoring.rescore(before, chosen, as_of, at)
-    after = store.replace(ANALYTICS, "customer_profile", result.profile)
+    after = store.replace(ANALYTICS, "customer_profile", result.profile, find_by="customer_id")
     append_history(store, result.history)
     return after
 

@@ -2,7 +2,8 @@
 
 * Amounts per customer: counts, sums, extremes, and the moments of the amounts (number, mean, sum of squared
   distances), which merge by the parallel formula for variances.
-* Uses per customer and category, and the distinct merchants of a customer: sums and distinct pairs.
+* Uses per customer and category, and the distinct merchants of a customer: sums and distinct pairs. Instead of the
+  pairs, which grow with the merchants, a HyperLogLog sketch per customer can be kept; then the count is an estimate.
 * Totals per month; the customers of a month as bitmaps over their dense keys, which merge by OR, and the ids of
   transactions whose customer was unknown when they were loaded.
 
@@ -20,6 +21,10 @@ from ledgerloom.sources.loads import catch_up
 from ledgerloom.sources.tables import WAREHOUSE, TableStore
 
 AMOUNTS, CATEGORIES, MERCHANTS = "part_amounts", "part_categories", "part_merchants"
+MERCHANT_SKETCHES = "part_merchant_sketches"
+#: 2**12 registers, at most about 4 KB a customer, far less for few merchants; four standard errors of the estimate
+SKETCH_LOG_SIZE = 12
+SKETCH_ERROR = 4 * 1.04 / 2 ** (SKETCH_LOG_SIZE / 2)
 MONTHS, MONTH_CUSTOMERS, MONTH_UNKNOWN = "part_months", "part_month_customers", "part_month_unknown"
 SUMS = [
     "transactions", "rows", "total", "online", "weekend", "frauds", "fraud_amount", "hours", "hour_total", "high_values",
@@ -102,8 +107,29 @@ def merchants_of(fact: DataFrame) -> DataFrame:
     return fact.filter(F.col("merchant_name").isNotNull()).select("customer_id", "merchant_name").distinct()
 
 
+def merchant_sketches_of(fact: DataFrame) -> DataFrame:
+    """Sketches are built on the map side, so a hot customer is one small row per task."""
+    named = fact.filter(F.col("merchant_name").isNotNull())
+    return named.groupBy("customer_id").agg(F.hll_sketch_agg("merchant_name", F.lit(SKETCH_LOG_SIZE)).alias("merchants"))
+
+
+def merge_merchant_sketches(parts: DataFrame) -> DataFrame:
+    return parts.groupBy("customer_id").agg(F.hll_union_agg("merchants").alias("merchants"))
+
+
+def merchant_counts(merchants: DataFrame) -> DataFrame:
+    """Distinct merchants per customer, from pairs exactly, from sketches as an estimate."""
+    if "merchant_name" in merchants.columns:
+        return merchants.distinct().groupBy("customer_id").agg(F.count("*").alias("unique_merchants"))
+    estimate = F.hll_sketch_estimate("merchants").alias("unique_merchants")
+    return merge_merchant_sketches(merchants).select("customer_id", estimate)
+
+
 def metrics_from(amounts: DataFrame, categories: DataFrame, merchants: DataFrame, as_of: dates.AsOf = None) -> DataFrame:
-    """The metrics of ``profile.transaction_metrics`` from parts; nothing here depends on the number of transactions."""
+    """The metrics of ``profile.transaction_metrics`` from parts; nothing here depends on the number of transactions.
+
+    ``merchants`` are distinct pairs or sketches.
+    """
     moments = F.col("moments")
     number = moments["number"]
     spread = F.when(number > 1, F.sqrt(moments["squares"] / F.when(number > 1, number - 1)))
@@ -112,8 +138,8 @@ def metrics_from(amounts: DataFrame, categories: DataFrame, merchants: DataFrame
         F.min_by("merchant_category", named).alias("favorite_merchant_category"),
         F.count("merchant_category").alias("unique_merchant_categories"),
     )
-    distinct = merchants.distinct().groupBy("customer_id").agg(F.count("*").alias("unique_merchants"))
-    known = merge_amounts(amounts).join(favorite, "customer_id", "left").join(distinct, "customer_id", "left")
+    known = merge_amounts(amounts).join(favorite, "customer_id", "left")
+    known = known.join(merchant_counts(merchants), "customer_id", "left")
     values = {
         "total_transactions": F.col("transactions"),
         "total_spent": F.col("total"),
@@ -203,18 +229,24 @@ PARTS = {
     AMOUNTS: (amounts_of, merge_amounts),
     CATEGORIES: (categories_of, merge_categories),
     MERCHANTS: (merchants_of, DataFrame.distinct),
+    MERCHANT_SKETCHES: (merchant_sketches_of, merge_merchant_sketches),
     MONTHS: (months_of, merge_months),
     MONTH_CUSTOMERS: (bitmaps_of, merge_bitmaps),
     MONTH_UNKNOWN: (unknown_of, DataFrame.distinct),
 }
 
 
-def keep_up(store: TableStore, loads: list[int], fact_load, most: int | None = None) -> None:
-    """Work out the parts that fact loads still lack. ``fact_load`` gives the rows a load has brought."""
+def keep_up(store: TableStore, loads: list[int], fact_load, most: int | None = None, sketched: bool = False) -> None:
+    """Work out the parts that fact loads still lack. ``fact_load`` gives the rows a load has brought; merchants are
+    kept as pairs, or ``sketched``."""
+    left_out = MERCHANTS if sketched else MERCHANT_SKETCHES
     for table, (make, merge) in PARTS.items():
+        if table == left_out:
+            continue
         more = {} if most is None else {"most": most}
         catch_up(store, WAREHOUSE, table, loads, lambda load, make=make: make(fact_load(load)), merge, **more)
 
 
-def stored_metrics(store: TableStore, as_of: dates.AsOf = None) -> DataFrame:
-    return metrics_from(*[store.read(WAREHOUSE, table) for table in (AMOUNTS, CATEGORIES, MERCHANTS)], as_of)
+def stored_metrics(store: TableStore, as_of: dates.AsOf = None, sketched: bool = False) -> DataFrame:
+    merchants = MERCHANT_SKETCHES if sketched else MERCHANTS
+    return metrics_from(*[store.read(WAREHOUSE, table) for table in (AMOUNTS, CATEGORIES, merchants)], as_of)

@@ -9,6 +9,9 @@ all executors share.
 Small loads can be merged: ``load=<first>-<last>`` holds the rows of all loads from the first number to the last, and
 once it is committed they count no longer. It goes by the last number. A merge that is lost changes nothing either.
 
+A table written with ``find_by`` is sorted by that column over all files and has Bloom filters for it: rows of given
+values are read from the one row group that can hold them.
+
 One writer at a time: whoever writes a load first creates a claim file for its number, which only one can do, and
 removes it afterwards. A claim left by a lost job gives way after ``lease_seconds``.
 """
@@ -99,11 +102,21 @@ class TableStore:
         return empty(self.spark, schema)
 
     def replace(
-        self, layer: str, table: str, rows: DataFrame, partition_by: Sequence[str] = (), load: int = 0
+        self,
+        layer: str,
+        table: str,
+        rows: DataFrame,
+        partition_by: Sequence[str] = (),
+        load: int = 0,
+        find_by: str | None = None,
     ) -> DataFrame:
-        """Write a new version holding exactly ``rows``, as its load number ``load``, and return it."""
+        """Write a new version holding exactly ``rows``, as its load number ``load``, and return it.
+
+        ``find_by`` names a column whose values are looked up one by one. It costs a shuffle, and one more pass over
+        the input that draws the bounds.
+        """
         versions = self.versions(layer, table)
-        self._write(layer, table, versions[-1] + 1 if versions else 1, load, rows, partition_by)
+        self._write(layer, table, versions[-1] + 1 if versions else 1, load, rows, partition_by, find_by=find_by)
         # without rows there are no partition folders, and no file to tell the columns from
         return self.read(layer, table, rows.schema if partition_by else None)
 
@@ -143,13 +156,26 @@ class TableStore:
         return len(old)
 
     def _write(
-        self, layer: str, table: str, version: int, load: int, rows: DataFrame, partition_by: Sequence[str], again: bool = False
+        self,
+        layer: str,
+        table: str,
+        version: int,
+        load: int,
+        rows: DataFrame,
+        partition_by: Sequence[str],
+        again: bool = False,
+        find_by: str | None = None,
     ) -> None:
         with self.claim(f"{layer}/{table}/v={version:08d}-load={load:08d}"):
             if not again and (version, load) in self.loads(layer, table):
                 raise BusyTable(f"{layer}.{table}: version {version}, load {load} was written meanwhile")
             # overwrite: a load left unfinished by a lost job may lie there
-            rows.write.mode("overwrite").partitionBy(*partition_by).parquet(self._load(layer, table, version, load))
+            options = {}
+            if find_by is not None:
+                rows = rows.repartitionByRange(find_by).sortWithinPartitions(*partition_by, find_by)
+                options = {f"parquet.bloom.filter.enabled#{find_by}": "true", "parquet.bloom.filter.adaptive.enabled": "true"}
+            writer = rows.write.mode("overwrite").options(**options).partitionBy(*partition_by)
+            writer.parquet(self._load(layer, table, version, load))
 
     @contextmanager
     def claim(self, name: str) -> Iterator[None]:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerloom.functions import dates, labels
@@ -9,16 +11,20 @@ from ledgerloom.functions.bands import ladder_sql
 from ledgerloom.plans import products, quality
 
 
-def register_functions(spark: SparkSession) -> None:
-    """Scalar functions ``calculate_age``, ``get_income_bracket`` and ``get_credit_rating``."""
+def register_functions(spark: SparkSession, as_of: dt.date | None = None) -> None:
+    """Scalar functions ``calculate_age``, ``get_income_bracket`` and ``get_credit_rating``.
+
+    Ages are those at the day ``as_of``, or at the day of the query.
+    """
+    today = "current_date()" if as_of is None else f"DATE '{as_of.isoformat()}'"
     bracket = ladder_sql("income", "<", labels.INCOME_BRACKETS, labels.TOP_INCOME_BRACKET)
     rating = ladder_sql("score", ">=", labels.CREDIT_RATINGS, labels.LOWEST_CREDIT_RATING)
     not_yet = (
-        "CASE WHEN month(current_date()) * 100 + day(current_date()) < month(birth_date) * 100 + day(birth_date)"
+        f"CASE WHEN month({today}) * 100 + day({today}) < month(birth_date) * 100 + day(birth_date)"
         " THEN 1 ELSE 0 END"
     )
     bodies = [
-        ("calculate_age(birth_date DATE) RETURNS INT", f"year(current_date()) - year(birth_date) - {not_yet}"),
+        ("calculate_age(birth_date DATE) RETURNS INT", f"year({today}) - year(birth_date) - {not_yet}"),
         ("get_income_bracket(income DOUBLE) RETURNS STRING", bracket),
         ("get_credit_rating(score INT) RETURNS STRING", rating),
     ]

@@ -16,6 +16,7 @@ from ledgerloom.plans.daily import Upkeep
 from ledgerloom.sources.id_index import IdIndex
 from ledgerloom.sources.loads import catch_up, merge_small, missing, newest, tier_of, to_merge
 from ledgerloom.sources.tables import STAGING, WAREHOUSE, BusyTable, TableStore
+from ledgerloom.views import register_functions, register_views
 
 SF = "/root/testdata/sf0.001"
 START = dt.datetime(2022, 1, 1)
@@ -380,3 +381,85 @@ def test_loads_with_a_part_that_lags_behind_are_not_merged(spark, store):
     with pytest.raises(ValueError, match="not caught up"):
         daily.merge_fact_loads(store, fan_in=2)
     assert len(daily.merge_fact_loads(store, Upkeep(parts=True), fan_in=2)) == 1
+
+
+# --- sketches and point reads ------------------------------------------------------------------------------
+
+
+def test_sketches_stay_within_their_error_and_fold(spark, store):
+    rows = spark.range(60_000).selectExpr(
+        "concat('c', id % 3) AS customer_id",
+        "CASE id % 3 WHEN 0 THEN concat('m', id) WHEN 1 THEN concat('m', id % 1000) END AS merchant_name", "id",
+    )
+    parts = [partials.merchant_sketches_of(rows.where(F.col("id") % 7 == k)) for k in range(7)]
+    folded = partials.merge_merchant_sketches(parts[0].unionByName(parts[1]))
+    for part in parts[2:]:
+        folded = partials.merge_merchant_sketches(folded.unionByName(part))
+    exact = {r[0]: r[1] for r in partials.merchant_counts(partials.merchants_of(rows)).collect()}
+    found = {r[0]: r[1] for r in partials.merchant_counts(folded).collect()}
+    assert exact.keys() == found.keys() == {"c0", "c1"}  # c2 has no named merchant
+    assert exact["c0"] == 20_000
+    assert all(abs(found[name] - exact[name]) <= partials.SKETCH_ERROR * exact[name] for name in exact)
+    assert max(len(r["merchants"]) for r in folded.collect()) < 8192
+
+
+def test_sketched_metrics_replace_only_the_merchant_count(spark, store):
+    batches = [transactions(spark, 150, seed) for seed in (1, 2, 3)]
+    load_all(store, batches, Upkeep(parts=True, sketched=True), keys(spark))
+    assert not store.exists(WAREHOUSE, partials.MERCHANTS)
+    want = profile.transaction_metrics(daily.read_fact(store), dt.date(2024, 2, 15))
+    found = partials.stored_metrics(store, dt.date(2024, 2, 15), sketched=True).select(*want.columns)
+    assert rounded(found) == rounded(want)  # three merchants: the estimate is exact
+    assert daily.merge_fact_loads(store, Upkeep(parts=True, sketched=True), fan_in=2)
+
+
+def scanned(rows) -> int:
+    """Rows that came out of the scans of a collected query."""
+    rows.collect()
+    plan, total = rows._jdf.queryExecution().executedPlan(), 0
+    plan = plan.executedPlan() if "Adaptive" in plan.nodeName() else plan
+    leaves = plan.collectLeaves()
+    for at in range(leaves.size()):
+        metrics = leaves.apply(at).metrics()
+        if metrics.contains("numOutputRows"):
+            total += metrics.apply("numOutputRows").value()
+    return total
+
+
+def test_point_reads_touch_one_row_group(spark, store):
+    count = 16_000
+    rows = spark.range(count).selectExpr("concat('c', lpad(id * 2 * 7919 % 32000, 6, '0')) AS customer_id", "id AS amount")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # several files, small as they are
+    try:
+        table = store.replace("analytics", "points", rows.repartition(5), find_by="customer_id")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    files = len(table.inputFiles())
+    assert files > 4 and sorted(table.collect()) == sorted(rows.collect())
+    one = table.where("customer_id = 'c000040'")
+    assert one.count() == 1 and scanned(one) <= 2 * count / files
+    assert scanned(table.where("customer_id = 'c000041'")) == 0  # within the bounds of a file, but in no Bloom filter
+    two = table.where("customer_id IN ('c000040', 'c031998')")
+    assert two.count() == 2 and scanned(two) <= 4 * count / files
+
+
+def test_the_table_function_looks_a_customer_up(spark, store):
+    scored = queries.full_profile(spark, SF)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        stored = store.replace("analytics", "customer_profile", scored, find_by="customer_id")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    register_views(stored, queries.base_fact(spark, SF), dt.date(2024, 2, 15))
+    wanted = sorted(row["customer_id"] for row in stored.select("customer_id").collect())[len(stored.inputFiles()) * 3]
+    found = spark.sql(f"SELECT * FROM calculate_customer_ltv('{wanted}')")
+    want = products.lifetime_value(scored).where(F.col("customer_id") == wanted).first()
+    assert [row["churn_risk"] for row in found.collect()] == [want["churn_risk"]]
+    assert scanned(found) <= 2 * stored.count() / len(stored.inputFiles())
+
+
+def test_ages_at_a_given_day(spark):
+    register_functions(spark, dt.date(2024, 2, 15))
+    days = "DATE '2000-02-15'", "DATE '2000-02-16'", "DATE '2024-02-15'", "CAST(NULL AS DATE)"
+    assert list(spark.sql("SELECT " + ", ".join(f"calculate_age({day})" for day in days)).first()) == [24, 23, 0, None]
+    register_functions(spark)
