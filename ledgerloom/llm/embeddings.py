@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ledgerloom.llm.common import Scratch, components, run_bounds, spanning_labels, whole_runs
 
 MIN_COSINE = 0.9
+ROUNDING = 1e-9
 MISS = 0.002
 WIDTH = 4.0  # in units of the distance at the threshold
 MATES = 128  # unrelated vectors that a bucket may hold, about
@@ -156,13 +157,28 @@ def _checker(plan: tuple[float, int, int], min_cosine: float):
     return checked
 
 
+def close_pairs(one: np.ndarray, two: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of two sets of unit vectors whose cosine is ``least`` or more.
+
+    Matrix products of different shape round differently. Pairs within that rounding of the threshold are decided
+    by a sum in one fixed order, so that a pair gets the same answer in every bucket.
+    """
+    rough = one @ two.T
+    left, right = np.nonzero(rough >= least - ROUNDING)
+    unsure = np.flatnonzero(rough[left, right] < least + ROUNDING)
+    kept = np.ones(len(left), bool)
+    kept[unsure] = (one[left[unsure]] * two[right[unsure]]).sum(axis=1) >= least
+    return left[kept], right[kept]
+
+
 def _links(units: np.ndarray, halves: np.ndarray, tab: int, plan: tuple[float, int, int], min_cosine: float):
     """Linked pairs of rows, and which of them have met in no earlier table."""
     if halves[0] < 0:
-        left, right = np.nonzero(np.triu(units @ units.T >= min_cosine, 1))
+        left, right = close_pairs(units, units, min_cosine)
+        left, right = left[left < right], right[left < right]
     else:
         one, two = np.flatnonzero(halves == 0), np.flatnonzero(halves == 1)
-        left, right = np.nonzero(units[one] @ units[two].T >= min_cosine)
+        left, right = close_pairs(units[one], units[two], min_cosine)
         left, right = one[left], two[right]
     if not len(left):
         return None

@@ -60,6 +60,22 @@ def test_chance_to_miss_holds_right_at_the_threshold():
     assert 1 - met.mean() <= 3 * embeddings.MISS
 
 
+def test_pairs_at_the_threshold_get_one_answer_in_every_block():
+    random = np.random.default_rng(4)
+    a = embeddings.normalised(random.normal(size=(200, 48)))
+    b = random.normal(size=a.shape)
+    b = embeddings.normalised(b - (a * b).sum(axis=1, keepdims=True) * a)
+    b = embeddings.normalised(0.9 * a + math.sqrt(1 - 0.81) * b)  # cosines within rounding of 0.9
+    want = set(np.flatnonzero((a * b).sum(axis=1) >= 0.9).tolist())
+    assert 0 < len(want) < 200
+    for size in (1, 2, 3, 7, 64, 200):
+        found = set()
+        for at in range(0, 200, size):
+            left, right = embeddings.close_pairs(a[at : at + size], b[at : at + size], 0.9)
+            found |= {int(at + row) for row in left[left == right]}
+        assert found == want
+
+
 def test_unusable_vectors_and_repeats(spark):
     nan, inf = float("nan"), float("inf")
     vectors = [[1, 0], [1, 0], [2, 0], None, [], [0, 0], [nan, 1], [inf, 1], [None, 1], [1, 0, 0], [0, 1], [1e-30, 0]]
