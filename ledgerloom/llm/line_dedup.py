@@ -5,11 +5,11 @@ merged by aggregation; where the estimate is near the threshold the distinct sit
 Lines on ``MIN_SITES`` sites or more are removed from every document, however short they are and however much of it
 they make up.
 
-A document copied to many sites is no boilerplate: equal texts speak for one site together, the first by code point,
-so that copies alone never make a line spread. They are for the document operators to judge.
+Every document speaks for its site, a copy too. Only a line that stands in one text and its copies alone is no
+boilerplate however many sites they lie on: such a document is for the document operators to judge.
 
 * lines are compared without blanks around them; empty lines are not looked at and stay;
-* a null site counts as one site, and comes last; null text stays null, empty texts stay as they are; a text all
+* a null site counts as one site; null text stays null, empty texts stay as they are; a text all
   of whose lines are spread becomes empty;
 * the decision depends on the text alone, so repeated rows and null or repeated ids are treated alike;
 * very long texts are cut into lines row by row; an empty table gives an empty result; other columns of any
@@ -31,37 +31,33 @@ def _hashes(text: Column, name: str) -> list[Column]:
     return [F.xxhash64(text).alias(f"{name}_a"), F.xxhash64(text, F.lit(name)).alias(f"{name}_b")]
 
 
-def sites_of(docs: DataFrame, site: str) -> DataFrame:
-    """(text_a, text_b, site): the one site that equal texts speak for."""
-    rows = docs.where(docs["text"].isNotNull()).select(*_hashes(docs["text"], "text"), docs[site].cast("string").alias("site"))
-    first = F.min("site").alias("site")  # null only where all are
-    return rows.groupBy("text_a", "text_b").agg(first)
-
-
-def lines_of(docs: DataFrame) -> DataFrame:
-    """(text_a, text_b, place, line_a, line_b): every line that is not empty, by hash."""
+def lines_of(docs: DataFrame, site: str) -> DataFrame:
+    """(text_a, text_b, site, place, line_a, line_b): every line that is not empty, by hash, once per text and site."""
+    named = F.coalesce(F.concat(F.lit("="), docs[site].cast("string")), F.lit("null")).alias("site")
     lines = docs.where(docs["text"].isNotNull()).select(
-        *_hashes(docs["text"], "text"), F.posexplode(F.split(docs["text"], "\n")).alias("place", "line")
+        *_hashes(docs["text"], "text"), named, F.posexplode(F.split(docs["text"], "\n")).alias("place", "line")
     )
     line = F.trim("line", F.lit(" \t\r"))
-    return lines.where(line != "").select("text_a", "text_b", "place", *_hashes(line, "line"))
+    return lines.where(line != "").select("text_a", "text_b", "site", "place", *_hashes(line, "line"))
 
 
-def spread_lines(scratch: Scratch, lines: DataFrame, sites: DataFrame, min_sites: int) -> tuple[DataFrame, DataFrame]:
+def spread_lines(scratch: Scratch, lines: DataFrame, min_sites: int) -> tuple[DataFrame, DataFrame]:
     """Places of the lines that occur ``min_sites`` times or more, and the hashes of those on so many sites."""
     key = ["line_a", "line_b"]
     often = lines.groupBy(*key).agg(F.count("*").alias("times")).where(F.col("times") >= min_sites)
     often = scratch.store(often.select(*key), "often")
-    places = scratch.store(lines.join(often, key, "left_semi").distinct(), "places")  # equal texts once
-    named = F.coalesce(F.concat(F.lit("="), "site"), F.lit("null")).alias("site")
-    seen = places.select(*key, "text_a", "text_b").join(sites, ["text_a", "text_b"]).select(*key, named)
-    seen = scratch.store(seen, "seen")
-    sketches = seen.groupBy(*key).agg(F.hll_sketch_agg("site", F.lit(LG_SKETCH)).alias("sketch"))
+    places = scratch.store(lines.join(often, key, "left_semi").distinct(), "places")  # copies on one site once
+    text = F.struct("text_a", "text_b")
+    sketches = places.groupBy(*key).agg(
+        F.hll_sketch_agg("site", F.lit(LG_SKETCH)).alias("sketch"), F.min(text).alias("first"), F.max(text).alias("last")
+    )
     estimate = F.hll_sketch_estimate("sketch")
     band = max(1, round(NEAR * min_sites))
-    judged = scratch.store(sketches.select(*key, estimate.alias("sites")).where(F.col("sites") >= min_sites - band), "judged")
+    several = sketches.where(F.col("first") != F.col("last")).select(*key, estimate.alias("sites"))
+    judged = scratch.store(several.where(F.col("sites") >= min_sites - band), "judged")
     near = judged.where(F.col("sites") <= min_sites + band).select(*key)
-    exact = seen.join(near, key, "left_semi").distinct().groupBy(*key).agg(F.count("*").alias("sites"))
+    seen = places.select(*key, "site").join(near, key, "left_semi").distinct()
+    exact = seen.groupBy(*key).agg(F.count("*").alias("sites"))
     spread = judged.where(F.col("sites") > min_sites + band).select(*key).unionByName(
         exact.where(F.col("sites") >= min_sites).select(*key)
     )
@@ -74,9 +70,9 @@ def cleaned(docs: DataFrame, site: str = "source", min_sites: int = MIN_SITES) -
     The count stands beside the row, so that it clashes with no column of it.
     """
     scratch = Scratch(docs.sparkSession)
-    places, spread = spread_lines(scratch, lines_of(docs), sites_of(docs, site), min_sites)
+    places, spread = spread_lines(scratch, lines_of(docs, site), min_sites)
     found = places.join(spread, ["line_a", "line_b"], "left_semi")
-    removed = scratch.store(found.groupBy("text_a", "text_b").agg(F.collect_list("place").alias("places")), "removed")
+    removed = scratch.store(found.groupBy("text_a", "text_b").agg(F.collect_set("place").alias("places")), "removed")
     whole = F.struct(*[docs[f"`{name}`"] for name in docs.columns]).alias("row")
     rows = docs.select(whole, *_hashes(docs["text"], "text")).join(removed, ["text_a", "text_b"], "left")
     taken = F.col("places").isNotNull() & F.col("row.text").isNotNull()

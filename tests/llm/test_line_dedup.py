@@ -88,3 +88,14 @@ def test_null_sites_are_one_site(documents):
     rows = [(k, f"{BOILER}\n{'z' * 60} {k}", f"s{k}" if k < 7 else None) for k in range(12)]
     assert all(BOILER not in row["text"] for row in line_dedup.clean(documents(rows)).collect())
     assert all(BOILER in row["text"] for row in line_dedup.clean(documents(rows[1:])).collect())
+
+
+def test_every_copy_speaks_for_its_site(documents):
+    """Texts that all lie on one first site too: the line they share stands on all their sites, not on that one alone."""
+    rows = [(10 * k + j, f"{BOILER}\nown words of text {k}", site) for k in range(4) for j, site in enumerate(["s0", f"s{2 * k + 1}", f"s{2 * k + 2}"])]
+    rows += [(100 + k, "One text,\ncopied to many sites.", f"s{k}") for k in range(12)]
+    found = {doc_id: (text, removed) for doc_id, text, removed in cleaned(documents(rows))}
+    assert all(found[10 * k + j] == (f"own words of text {k}", 1) for k in range(4) for j in range(3))
+    assert all(found[100 + k] == ("One text,\ncopied to many sites.", 0) for k in range(12))
+    few = rows[:9]  # s0 to s6
+    assert all(removed == 0 for _, _, removed in cleaned(documents(few)))
