@@ -483,22 +483,12 @@ FIRST_DAY = "2024-01-24"
 ACCEPTED = ["unknown_customer_ids", "scores_out_of_range"]
 
 
-_LOADED: dict[tuple[str, str], TableStore] = {}
-
-
 def two_days(spark: SparkSession, folder: str) -> TableStore:
     """Two daily runs from CSV files: all customers twice, then new transactions and renewed credit rows.
 
-    The queries on stored tables read what the same two runs have stored, so a session runs them once.
+    Every query on stored tables makes its own two runs, over the tables as they are then.
     """
-    known = spark.sparkContext.applicationId, folder
-    if known not in _LOADED:
-        _LOADED[known] = _run_two_days(new_store(spark), folder)
-    return _LOADED[known]
-
-
-def _run_two_days(store: TableStore, folder: str) -> TableStore:
-    spark = store.spark
+    store = new_store(spark)
     days = [
         (FIRST_DAY, inputs.first_load, inputs.raw_credit_scores),
         (AS_OF, inputs.second_load, inputs.renewed_credit_scores),
