@@ -7,7 +7,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from catalog import inputs
+from catalog import inputs, queries
 from ledgerloom import schemas
 from ledgerloom.operators.merge import DuplicateKeys, MissingKeys
 from ledgerloom.plans import daily, products, quality, scoring, staging, warehouse
@@ -389,3 +389,22 @@ def test_scoring_rules(spark):
     rules = scoring.scoring_rules(spark).orderBy("rule_id").collect()
     assert [row.rule_id for row in rules] == [1, 2, 3, 4, 5, 6]
     assert float(rules[2].rule_weight) == 0.25 and rules[4].risk_points == 10
+
+
+def test_every_query_on_stored_tables_makes_its_own_runs(spark, monkeypatch):
+    written, runs = [], []
+    monkeypatch.setattr(inputs, "write_csv", lambda rows, table, path: written.append(path))
+    monkeypatch.setattr(daily, "run_daily", lambda store, path, day, **_: runs.append((store.root, day)))
+    roots = {queries.two_days(spark, SF).root for _ in range(2)}
+    assert len(roots) == 2 and len(written) == 12 and len(set(written)) == 12
+    assert sorted(runs) == sorted((root, day) for root in roots for day in (dt.date(2024, 1, 24), AS_OF))
+
+
+def test_written_csv_has_a_file_per_core(spark, tmp_path):
+    rows = [(f"CUST-{k}", str(k), None) for k in range(200)] + [("CUST-1", "1", "a, b")] * 2
+    path = tmp_path / "in.csv"
+    inputs.write_csv(spark.createDataFrame(rows, "customer_id string, credit_score string, note string"), "credit_scores", str(path))
+    files = [file.read_text().splitlines() for file in path.glob("part-*")]
+    assert len(files) == max(3, spark.sparkContext.defaultParallelism) and all(lines[0] == "customer_id,credit_score,note" for lines in files)
+    found = spark.read.option("header", True).csv(str(path))
+    assert sorted(map(tuple, found.collect()), key=repr) == sorted(rows, key=repr)
