@@ -1,4 +1,8 @@
-"""Staging tables to the star schema: two dimensions and one fact table."""
+"""Staging tables to the star schema: two dimensions and one fact table.
+
+Joins with all ids of a table are merge joins. Left to itself Spark broadcasts a stored table by its size on disk,
+which is a small part of that in memory, so that all ids would pass through the driver.
+"""
 
 from __future__ import annotations
 
@@ -46,7 +50,7 @@ def dim_credit(
     who = customers.select("customer_id", "customer_key", "annual_income")
     ratio = labels.debt_to_income(F.col("total_debt"), F.col("annual_income"))
     derived = (
-        credit.join(who, "customer_id", "left")
+        credit.join(who.hint("merge"), "customer_id", "left")
         .withColumn("debt_to_income_ratio", ratio)
         .withColumns(
             {
@@ -67,9 +71,9 @@ def merge_dimension(stored: DataFrame, rows: DataFrame, key_column: str) -> Data
     Known rows keep their key and their creation time. ``rows`` has one row per customer_id. Only ids that are
     new are numbered, from slim columns; the rows themselves meet in one full outer join.
     """
-    fresh = rows.select("customer_id").join(stored.select("customer_id"), "customer_id", "left_anti")
+    fresh = rows.select("customer_id").join(stored.select("customer_id").hint("merge"), "customer_id", "left_anti")
     numbers = number_ids(fresh, "customer_id", key_column, stored)
-    keyed = rows.join(numbers, "customer_id", "left").select(*stored.columns)
+    keyed = rows.join(numbers.hint("merge"), "customer_id", "left").select(*stored.columns)
     return upsert(stored, keyed, ["customer_id"], keep=[key_column, "created_at"])
 
 
@@ -111,7 +115,7 @@ def keyed_fact_rows(fresh: DataFrame, stored: DataFrame, keys: DataFrame, at: Co
     expensive. Transactions of unknown customers stay, with a null customer key.
     """
     ids = number_ids(fresh.select("transaction_id", "customer_id"), "transaction_id", "transaction_key", stored)
-    known = ids.join(keys.select("customer_id", "customer_key"), "customer_id", "left").drop("customer_id")
+    known = ids.join(keys.select("customer_id", "customer_key").hint("merge"), "customer_id", "left").drop("customer_id")
     keyed = _fact_columns(fresh, at).join(known, "transaction_id", "left")
     return keyed.select(*schemas.FACT_TRANSACTIONS.fieldNames())
 
