@@ -1,7 +1,8 @@
 """Staging tables to the star schema: two dimensions and one fact table.
 
-Joins with all ids of a table are merge joins. Left to itself Spark broadcasts a stored table by its size on disk,
-which is a small part of that in memory, so that all ids would pass through the driver.
+Dimensions join all ids of a table, by merge joins. Left to itself Spark broadcasts a stored table by its size on disk,
+which is a small part of that in memory, so that all ids would pass through the driver. Fact rows leave the choice to
+Spark for the customer keys.
 """
 
 from __future__ import annotations
@@ -115,7 +116,7 @@ def keyed_fact_rows(fresh: DataFrame, stored: DataFrame, keys: DataFrame, at: Co
     expensive. Transactions of unknown customers stay, with a null customer key.
     """
     ids = number_ids(fresh.select("transaction_id", "customer_id"), "transaction_id", "transaction_key", stored)
-    known = ids.join(keys.select("customer_id", "customer_key").hint("merge"), "customer_id", "left").drop("customer_id")
+    known = ids.join(keys.select("customer_id", "customer_key"), "customer_id", "left").drop("customer_id")
     keyed = _fact_columns(fresh, at).join(known, "transaction_id", "left")
     return keyed.select(*schemas.FACT_TRANSACTIONS.fieldNames())
 
