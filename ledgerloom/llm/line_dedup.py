@@ -5,8 +5,10 @@ merged by aggregation; where the estimate is near the threshold the distinct sit
 Lines on ``MIN_SITES`` sites or more are removed from every document, however short they are and however much of it
 they make up.
 
-Every document speaks for its site, a copy too. Only a line that stands in one text and its copies alone is no
-boilerplate however many sites they lie on: such a document is for the document operators to judge.
+A document copied to many sites is no boilerplate; it is for the document operators to judge. With ``every_copy`` each
+copy speaks for its own site, and only lines that stand in one text and its copies alone are spared. Without, equal
+texts speak for one site together, the first by code point: then a line in several copied texts can count fewer sites
+than it stands on.
 
 * lines are compared without blanks around them; empty lines are not looked at and stay;
 * a null site counts as one site; null text stays null, empty texts stay as they are; a text all
@@ -41,22 +43,28 @@ def lines_of(docs: DataFrame, site: str) -> DataFrame:
     return lines.where(line != "").select("text_a", "text_b", "site", "place", *_hashes(line, "line"))
 
 
-def spread_lines(scratch: Scratch, lines: DataFrame, min_sites: int) -> tuple[DataFrame, DataFrame]:
+def spread_lines(scratch: Scratch, lines: DataFrame, min_sites: int, every_copy: bool) -> tuple[DataFrame, DataFrame]:
     """Places of the lines that occur ``min_sites`` times or more, and the hashes of those on so many sites."""
     key = ["line_a", "line_b"]
     often = lines.groupBy(*key).agg(F.count("*").alias("times")).where(F.col("times") >= min_sites)
     often = scratch.store(often.select(*key), "often")
     places = scratch.store(lines.join(often, key, "left_semi").distinct(), "places")  # copies on one site once
     text = F.struct("text_a", "text_b")
-    sketches = places.groupBy(*key).agg(
+    voices = places
+    if not every_copy:
+        first = F.min("site").alias("site")  # null only where all are: "=" comes before "null"
+        voices = scratch.store(places.groupBy(*key, "text_a", "text_b").agg(first), "voices")
+    sketches = voices.groupBy(*key).agg(
         F.hll_sketch_agg("site", F.lit(LG_SKETCH)).alias("sketch"), F.min(text).alias("first"), F.max(text).alias("last")
     )
     estimate = F.hll_sketch_estimate("sketch")
     band = max(1, round(NEAR * min_sites))
-    several = sketches.where(F.col("first") != F.col("last")).select(*key, estimate.alias("sites"))
-    judged = scratch.store(several.where(F.col("sites") >= min_sites - band), "judged")
+    if every_copy:
+        sketches = sketches.where(F.col("first") != F.col("last"))
+    judged = sketches.select(*key, estimate.alias("sites"))
+    judged = scratch.store(judged.where(F.col("sites") >= min_sites - band), "judged")
     near = judged.where(F.col("sites") <= min_sites + band).select(*key)
-    seen = places.select(*key, "site").join(near, key, "left_semi").distinct()
+    seen = voices.select(*key, "site").join(near, key, "left_semi").distinct()
     exact = seen.groupBy(*key).agg(F.count("*").alias("sites"))
     spread = judged.where(F.col("sites") > min_sites + band).select(*key).unionByName(
         exact.where(F.col("sites") >= min_sites).select(*key)
@@ -64,13 +72,13 @@ def spread_lines(scratch: Scratch, lines: DataFrame, min_sites: int) -> tuple[Da
     return places, scratch.store(spread, "spread")
 
 
-def cleaned(docs: DataFrame, site: str = "source", min_sites: int = MIN_SITES) -> DataFrame:
+def cleaned(docs: DataFrame, site: str = "source", min_sites: int = MIN_SITES, every_copy: bool = False) -> DataFrame:
     """(row, removed_lines): every row of ``docs`` as one struct without its spread lines, and how many those were.
 
     The count stands beside the row, so that it clashes with no column of it.
     """
     scratch = Scratch(docs.sparkSession)
-    places, spread = spread_lines(scratch, lines_of(docs, site), min_sites)
+    places, spread = spread_lines(scratch, lines_of(docs, site), min_sites, every_copy)
     found = places.join(spread, ["line_a", "line_b"], "left_semi")
     removed = scratch.store(found.groupBy("text_a", "text_b").agg(F.collect_set("place").alias("places")), "removed")
     whole = F.struct(*[docs[f"`{name}`"] for name in docs.columns]).alias("row")
@@ -88,6 +96,6 @@ def cleaned(docs: DataFrame, site: str = "source", min_sites: int = MIN_SITES) -
     return rows.select(F.struct(*columns).alias("row"), F.when(taken, F.size("places")).otherwise(0).alias("removed_lines"))
 
 
-def clean(docs: DataFrame, site: str = "source", min_sites: int = MIN_SITES) -> DataFrame:
+def clean(docs: DataFrame, site: str = "source", min_sites: int = MIN_SITES, every_copy: bool = False) -> DataFrame:
     """``docs`` with the spread lines taken out of ``text``."""
-    return cleaned(docs, site, min_sites).select("row.*")
+    return cleaned(docs, site, min_sites, every_copy).select("row.*")

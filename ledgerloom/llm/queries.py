@@ -38,7 +38,7 @@ def op3_neighbours(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op4_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    rows = line_dedup.cleaned(table(spark, folder, "documents"))
+    rows = line_dedup.cleaned(table(spark, folder, "documents"), every_copy=True)
     return rows.select("row.doc_id", "removed_lines", "row.text")
 
 

@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import random
 
-from ledgerloom.llm import line_dedup
+from ledgerloom.llm import line_dedup, queries
 
 BOILER = "This line stands on a great many sites."
 COPY = "\n".join(f"Sentence number {k} of a copied document." for k in range(6))
@@ -90,12 +90,22 @@ def test_null_sites_are_one_site(documents):
     assert all(BOILER in row["text"] for row in line_dedup.clean(documents(rows[1:])).collect())
 
 
-def test_every_copy_speaks_for_its_site(documents):
+def test_every_copy_speaks_for_its_site(spark, documents, tmp_path):
     """Texts that all lie on one first site too: the line they share stands on all their sites, not on that one alone."""
     rows = [(10 * k + j, f"{BOILER}\nown words of text {k}", site) for k in range(4) for j, site in enumerate(["s0", f"s{2 * k + 1}", f"s{2 * k + 2}"])]
     rows += [(100 + k, "One text,\ncopied to many sites.", f"s{k}") for k in range(12)]
-    found = {doc_id: (text, removed) for doc_id, text, removed in cleaned(documents(rows))}
+
+    def queried(rows, name):
+        documents(rows).write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        return {r["doc_id"]: (r["text"], r["removed_lines"]) for r in queries.op4_line_dedup(spark, f"{tmp_path}/{name}").collect()}
+
+    found = queried(rows, "all")
     assert all(found[10 * k + j] == (f"own words of text {k}", 1) for k in range(4) for j in range(3))
     assert all(found[100 + k] == ("One text,\ncopied to many sites.", 0) for k in range(12))
-    few = rows[:9]  # s0 to s6
-    assert all(removed == 0 for _, _, removed in cleaned(documents(few)))
+    assert all(removed == 0 for _, removed in queried(rows[:9], "few").values())  # s0 to s6
+
+
+def test_every_copy_equals_brute_force_without_copies_of_shared_lines(documents):
+    rows = corpus()
+    found = line_dedup.cleaned(documents(rows), every_copy=True).select("row.doc_id", "row.text", "removed_lines")
+    assert sorted(map(tuple, found.collect()), key=repr) == plain_clean(rows)
